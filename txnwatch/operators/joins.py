@@ -1,0 +1,21 @@
+"""Join helpers: broadcast only behind a measured size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a small side may have before it stops being broadcast.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast-hint ``small`` only if it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows.  Above the bound the side
+    is left alone and Spark shuffles both sides (AQE may still switch to a
+    broadcast at run time when the measured size allows it).
+    """
+    if small.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(small)
+    return small
