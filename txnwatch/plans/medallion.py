@@ -21,8 +21,11 @@ def bronze(parsed: DataFrame, ingest_time: Column | None = None) -> DataFrame:
     return parsed.select(*[F.col(c) for c in FLAT_COLUMNS], stamp.alias("ingest_time"))
 
 
-def silver(bronze_df: DataFrame, salt: str, octets: int = 2) -> DataFrame:
-    """PRJ-6..9: pseudonymise the account, mask the address, drop the device."""
+def silver(bronze_df: DataFrame, salt: str, octets: int = 2, keep: tuple[str, ...] = ()) -> DataFrame:
+    """PRJ-6..9: pseudonymise the account, mask the address, drop the device.
+
+    ``keep`` names extra (layout) columns to carry through after the 14.
+    """
     replaced = {
         "user_id": pseudonym("user_id", salt).alias("user_hash"),
         "ip_address": ip_mask("ip_address", octets).alias("ip_mask"),
@@ -32,6 +35,4 @@ def silver(bronze_df: DataFrame, salt: str, octets: int = 2) -> DataFrame:
         if name == "device_id":
             continue
         out.append(replaced.get(name, F.col(name)))
-    result = bronze_df.select(*out)
-    assert tuple(result.columns) == SILVER_COLUMNS
-    return result
+    return bronze_df.select(*out, *keep)
