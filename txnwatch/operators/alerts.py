@@ -54,8 +54,24 @@ def _only(tag: str, column: str | Column) -> Column:
     return F.when(F.col("rule_type") == tag, c)
 
 
+_DETAIL_CACHE: dict = {}
+
+
 def detail_struct(rules: RuleSet) -> Column:
-    """PRJ-11: label, description, thresholds, then the rule's runtime evidence."""
+    """PRJ-11: label, description, thresholds, then the rule's runtime evidence.
+
+    The expression depends only on the rule set, so it is built once per rule
+    set and session and reused (streaming builds alerts every micro-batch).
+    """
+    from pyspark import SparkContext
+
+    key = (rules, id(SparkContext._active_spark_context))
+    if key not in _DETAIL_CACHE:
+        _DETAIL_CACHE[key] = _build_detail(rules)
+    return _DETAIL_CACHE[key]
+
+
+def _build_detail(rules: RuleSet) -> Column:
     by_tag = {TAG_VELOCITY: rules.r1, TAG_GEO_JUMP: rules.r2,
               TAG_NIGHT_LARGE: rules.r3, TAG_MERCHANT_VELOCITY: rules.r4}
     label = {t: f"{RULE_IDS[t]}: {r.name} — {r.description}" for t, r in by_tag.items()}

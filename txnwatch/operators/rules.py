@@ -113,45 +113,55 @@ def _hit_columns(df: DataFrame) -> list[str]:
     return cols + ["rule_type"]
 
 
-def _conform(df: DataFrame, source: DataFrame, columns: list[str]) -> DataFrame:
+def _conform(df: DataFrame, source: DataFrame, columns: list[str],
+             ts_type: str | None = None) -> DataFrame:
     """Select ``columns`` in order, null-filling evidence another rule adds."""
     types = {
         "txn_count": "bigint", "merchant_txn_count": "bigint", "prev_lat": "double",
         "prev_lon": "double", "distance_km": "double", "time_diff_minutes": "double",
-        "prev_ts": source.schema["timestamp"].dataType.simpleString(), "rule_type": "string",
+        "prev_ts": ts_type or source.schema["timestamp"].dataType.simpleString(),
+        "rule_type": "string",
     }
     have = set(df.columns)
     return df.select(*[F.col(c) if c in have else F.lit(None).cast(types[c]).alias(c)
                        for c in columns])
 
 
-def apply_all_rules(df: DataFrame, rules: RuleSet | None = None,
-                    strategy: str = "bucketed") -> DataFrame:
+def apply_all_rules(df: DataFrame, rules: RuleSet | None = None, strategy: str = "bucketed",
+                    inputs: dict[str, DataFrame] | None = None) -> DataFrame:
     """RUL-5: add ``user_hash``, run the enabled rules, tag and ``UNION ALL``.
 
     A row hitting k rules yields k rows.  The result always has the same
     columns (input, ``user_hash``, every rule's evidence, ``rule_type``), and
-    is an empty frame of that shape when every rule is off.
+    is an empty frame of that shape when every rule is off.  ``inputs`` may
+    give a rule (``"R1"``..``"R4"``) its own input of ``df``'s shape, e.g. the
+    look-back slice of the streaming job.
     """
     rules = rules or RuleSet()
+    inputs = inputs or {}
+
+    def source(rule: str) -> DataFrame:
+        return inputs.get(rule, df).withColumn("user_hash", pseudonym("user_id", rules.salt))
+
     base = df.withColumn("user_hash", pseudonym("user_id", rules.salt))
     columns = _hit_columns(base)
     branches = []
     if rules.r1.enabled:
-        branches.append(check_velocity(base, rules.r1.window_minutes, rules.r1.threshold, strategy)
-                        .withColumn("rule_type", F.lit(TAG_VELOCITY)))
+        branches.append(check_velocity(source("R1"), rules.r1.window_minutes, rules.r1.threshold,
+                                       strategy).withColumn("rule_type", F.lit(TAG_VELOCITY)))
     if rules.r2.enabled:
-        branches.append(check_geo_jump(base, rules.r2.max_distance_km,
+        branches.append(check_geo_jump(source("R2"), rules.r2.max_distance_km,
                                        rules.r2.max_interval_minutes, strategy)
                         .withColumn("rule_type", F.lit(TAG_GEO_JUMP)))
     if rules.r3.enabled:
-        branches.append(check_night_large(base, rules.r3.min_amount, rules.r3.start_hour,
+        branches.append(check_night_large(source("R3"), rules.r3.min_amount, rules.r3.start_hour,
                                           rules.r3.end_hour)
                         .withColumn("rule_type", F.lit(TAG_NIGHT_LARGE)))
     if rules.r4.enabled:
-        branches.append(check_merchant_velocity(base, rules.r4.window_minutes, rules.r4.threshold,
-                                                strategy)
+        branches.append(check_merchant_velocity(source("R4"), rules.r4.window_minutes,
+                                                rules.r4.threshold, strategy)
                         .withColumn("rule_type", F.lit(TAG_MERCHANT_VELOCITY)))
     if not branches:
         return _conform(base.filter(F.lit(False)), base, columns)
-    return reduce(DataFrame.unionByName, [_conform(b, base, columns) for b in branches])
+    ts_type = base.schema["timestamp"].dataType.simpleString()
+    return reduce(DataFrame.unionByName, [_conform(b, base, columns, ts_type) for b in branches])

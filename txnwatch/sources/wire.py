@@ -68,6 +68,11 @@ def _all_present(cols=REQUIRED):
     return cond
 
 
+def split_valid_condition():
+    """True when every field the wire schema declares NOT NULL is present."""
+    return _all_present()
+
+
 def split_valid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """SRC-4: rows with every NOT NULL field present, and the rejects."""
     ok = _all_present()

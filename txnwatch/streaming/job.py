@@ -21,10 +21,11 @@ batches equals the batch result on the accepted rows.  R2 equals it for
 in-order input; a late row slipping between two others can leave an extra
 R2 alert behind, never a missing one.
 
-Layout under ``root``: ``bronze``, ``silver``, ``alerts``, ``rejects``,
-``late_rows``, ``_batches`` (one row per batch: stamp and max event time),
-``_checkpoints/<name>``.  Tables are partitioned by ``event_date`` and
-``batch_id`` (Bronze/Silver also by ``late``).
+Layout under ``root``: ``bronze``, ``silver``, ``alerts``, ``rejects`` (only
+written when a batch has any), ``_batches`` (one row per batch: stamp and max
+event time), ``_checkpoints/<name>``.  Bronze and Silver are partitioned by
+``event_date / late / batch_id`` -- too-late rows are kept but sit under
+``late=true`` (``late_rows`` reads them) -- alerts by ``event_date / batch_id``.
 """
 
 from __future__ import annotations
@@ -50,7 +51,7 @@ from txnwatch.operators.alerts import to_alerts
 from txnwatch.operators.rules import apply_all_rules
 from txnwatch.plans.medallion import bronze, silver
 from txnwatch.schemas import ALERT, ALERT_COLUMNS, BRONZE, BRONZE_COLUMNS, SILVER
-from txnwatch.sources.wire import parse_wire, split_valid
+from txnwatch.sources.wire import parse_wire, split_valid, split_valid_condition
 
 _LOG_SCHEMA = StructType([
     StructField("batch_id", LongType(), False),
@@ -66,7 +67,6 @@ _BATCH = StructField("batch_id", LongType(), True)
 TABLE_SCHEMAS = {
     "bronze": StructType(BRONZE.fields + [_DATE, _LATE, _BATCH]),
     "silver": StructType(SILVER.fields + [_DATE, _LATE, _BATCH]),
-    "late_rows": StructType(BRONZE.fields + [_DATE, _BATCH]),
     "alerts": StructType(ALERT.fields + [_DATE, _BATCH]),
     "_batches": _LOG_SCHEMA,
 }
@@ -136,42 +136,43 @@ class StreamJob:
         stamp_col = F.lit(stamp).cast("timestamp")
         delay = _interval_seconds(self.watermark)
 
-        parsed = parse_wire(batch_df)
-        valid, rejects = split_valid(parsed)
-        sec = epoch_seconds(valid, "timestamp")
-        late = (F.lit(prior_max - delay) > sec) if prior_max is not None else F.lit(False)
-        rows = (bronze(valid, stamp_col)
-                .withColumn("event_date", F.to_date("timestamp"))
-                .withColumn("late", late)
-                .withColumn("batch_id", F.lit(batch_id).cast("long"))
-                .persist())
+        parsed = parse_wire(batch_df).persist()
         try:
-            stats = rows.agg(
-                F.count(F.lit(1)).alias("n"),
-                F.min(F.when(~F.col("late"), epoch_seconds(rows, "timestamp"))).alias("lo"),
-                F.max(F.when(~F.col("late"), epoch_seconds(rows, "timestamp"))).alias("hi"),
-                F.max(epoch_seconds(rows, "timestamp")).alias("mx"),
+            valid, rejects = split_valid(parsed)
+            sec = epoch_seconds(valid, "timestamp")
+            late = (F.lit(prior_max - delay) > sec) if prior_max is not None else F.lit(False)
+            rows = (bronze(valid, stamp_col)
+                    .withColumn("event_date", F.to_date("timestamp"))
+                    .withColumn("late", late)
+                    .withColumn("batch_id", F.lit(batch_id).cast("long")))
+            ok = split_valid_condition()
+            psec = F.when(ok, epoch_seconds(parsed, "timestamp"))
+            on_time = ok & (F.lit(True) if prior_max is None else psec >= F.lit(prior_max - delay))
+            stats = parsed.agg(
+                F.count(F.when(ok, 1)).alias("n"),
+                F.count(F.when(~ok, 1)).alias("bad"),
+                F.min(F.when(on_time, psec)).alias("lo"),
+                F.max(F.when(on_time, psec)).alias("hi"),
+                F.max(psec).alias("mx"),
             ).first()
-            self._write(rejects.withColumn("batch_id", F.lit(batch_id).cast("long")),
-                        "rejects", ["batch_id"])
+            if stats["bad"]:
+                self._write(rejects.withColumn("batch_id", F.lit(batch_id).cast("long")),
+                            "rejects", ["batch_id"])
+            layout = ("event_date", "late", "batch_id")
             if stats["n"]:
-                self._write(rows.select(*BRONZE_COLUMNS, "event_date", "late", "batch_id"),
-                            "bronze", ["event_date", "late", "batch_id"])
-                layout = ("event_date", "late", "batch_id")
+                self._write(rows.select(*BRONZE_COLUMNS, *layout), "bronze", list(layout))
                 self._write(silver(rows, self.rules.salt, self.ip_octets, keep=layout),
                             "silver", list(layout))
-                self._write(rows.filter("late").select(*BRONZE_COLUMNS, "event_date", "batch_id"),
-                            "late_rows", ["event_date", "batch_id"])
                 if stats["lo"] is not None:
                     self._alerts(spark, rows, batch_id, stats["lo"], stats["hi"], stamp_col)
-            mx = stats["mx"] if stats["mx"] is not None else None
+            mx = stats["mx"]
             if prior_max is not None and (mx is None or prior_max > mx):
                 mx = prior_max
             entry = spark.createDataFrame([(int(batch_id), stamp, mx)], _LOG_SCHEMA)
             self._write(entry.coalesce(1), "_batches", ["batch_id"])
             self._seen[int(batch_id)] = (stamp, mx)
         finally:
-            rows.unpersist()
+            parsed.unpersist()
 
     def _alerts(self, spark, rows: DataFrame, batch_id: int, lo: int, hi: int, stamp_col) -> None:
         span = self.lookback_seconds()
@@ -188,20 +189,10 @@ class StreamJob:
         by_user = hist.join(users, "user_id", "left_semi").select(*BRONZE_COLUMNS)
         by_merchant = hist.join(merchants, "merchant_id", "left_semi").select(*BRONZE_COLUMNS)
         r = self.rules
-        off = dict(enabled=False)
-        parts = []
-        if r.r1.enabled or r.r2.enabled:
-            parts.append(apply_all_rules(by_user, r.replace(r3=off, r4=off)))
-        if r.r3.enabled:
-            parts.append(apply_all_rules(accepted.select(*BRONZE_COLUMNS),
-                                         r.replace(r1=off, r2=off, r4=off)))
-        if r.r4.enabled:
-            parts.append(apply_all_rules(by_merchant, r.replace(r1=off, r2=off, r3=off)))
-        if not parts:
+        if not (r.r1.enabled or r.r2.enabled or r.r3.enabled or r.r4.enabled):
             return
-        hits = parts[0]
-        for p in parts[1:]:
-            hits = hits.unionByName(p)
+        hits = apply_all_rules(accepted.select(*BRONZE_COLUMNS), r, inputs={
+            "R1": by_user, "R2": by_user, "R4": by_merchant})
         hit_sec = epoch_seconds(hits, "timestamp")
         hits = hits.filter(hit_sec.between(lo, hi + span))
         alerts = to_alerts(hits, r, alert_time=stamp_col).withColumn(
@@ -255,3 +246,8 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     schema = TABLE_SCHEMAS.get(table)
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(path)
+
+
+def late_rows(spark: SparkSession, root: str) -> DataFrame:
+    """STR-2: rows that arrived after the watermark (kept in Bronze, never scored)."""
+    return read_table(spark, root, "bronze").filter(F.col("late"))
