@@ -82,9 +82,9 @@ def check_geo_jump(df: DataFrame, max_distance_km: float = 1000, max_interval_mi
         df, "user_id", "timestamp", order=["transaction_id"],
         carry=["latitude", "longitude", "timestamp"],
         max_gap_seconds=int(gap_limit) + 1, prefix="prev_", strategy=strategy)
-    with_prev = (with_prev.withColumnRenamed("prev_latitude", "prev_lat")
-                          .withColumnRenamed("prev_longitude", "prev_lon")
-                          .withColumnRenamed("prev_timestamp", "prev_ts"))
+    with_prev = with_prev.withColumnsRenamed({"prev_latitude": "prev_lat",
+                                              "prev_longitude": "prev_lon",
+                                              "prev_timestamp": "prev_ts"})
     gap = epoch_seconds(with_prev, "timestamp") - epoch_seconds(with_prev, "prev_ts")
     scored = (with_prev
               .filter(F.col("prev_lat").isNotNull() & F.col("prev_ts").isNotNull())

@@ -38,27 +38,28 @@ def _check(strategy: str) -> None:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
 
 
-def _twice(df: DataFrame, ts: str, width: int) -> DataFrame:
-    """Each row as copy 0 (itself, bucket b) and copy 1 (marker for bucket b + 1)."""
-    return (df.withColumn(_SEC, epoch_seconds(df, ts))
-              .withColumn(_COPY, F.explode(F.array(F.lit(0), F.lit(1))))
-              .withColumn(_BKT, F.floor(F.col(_SEC) / F.lit(width)) + F.col(_COPY)))
+def _twice(df: DataFrame, ts: str, width: int, keep: Sequence[str],
+           extra: dict[str, Column] | None = None) -> DataFrame:
+    """Each row as copy 0 (itself, bucket b) and copy 1 (marker for bucket
+    b + 1).  Marker copies carry only ``keep`` (other columns null) so the
+    shuffle moves each row once plus a narrow marker.  ``extra`` columns are
+    computed on top, from the helper columns ``__sec``, ``__copy``, ``__bkt``.
+    """
+    cols = [c for c in df.columns if c != _SEC]
+    doubled = df.select(*cols, epoch_seconds(df, ts).alias(_SEC),
+                        F.explode(F.array(F.lit(0), F.lit(1))).alias(_COPY))
+    own = F.col(_COPY) == 0
+    out = [F.col(c) if c in keep else F.when(own, F.col(c)).alias(c) for c in cols]
+    out += [F.col(_SEC), F.col(_COPY),
+            (F.floor(F.col(_SEC) / F.lit(width)) + F.col(_COPY)).alias(_BKT)]
+    out += [expr.alias(name) for name, expr in (extra or {}).items()]
+    return doubled.select(*out)
 
 
 def _own() -> Column:
     return F.col(_COPY) == 0
 
 
-def _marker_nulls(df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Null the payload of marker copies so the shuffle carries only ``keep``."""
-    own = _own()
-    helpers = {_SEC, _BKT, _COPY}
-    return df.select(*[
-        F.col(c) if (c in keep or c in helpers) else F.when(own, F.col(c)).alias(c)
-        for c in df.columns
-    ])
-
-
 def trailing_count(df: DataFrame, key: str, ts: str, window_seconds: int, out: str,
                    strategy: str = "bucketed") -> DataFrame:
     """Add ``out`` = number of rows with the same ``key`` whose whole-second
@@ -74,17 +75,17 @@ def trailing_count(df: DataFrame, key: str, ts: str, window_seconds: int, out: s
                   .select(*cols, out))
     width = max(window_seconds, 1)
     own = _own()
-    twice = _marker_nulls(_twice(df, ts, width), keep=[key])
     # A marker leaves the frame of later rows at second sec + W + 1.
-    scored = (twice.withColumn(_T, F.when(own, F.col(_SEC))
-                                     .otherwise(F.col(_SEC) + F.lit(window_seconds + 1)))
-                   .withColumn(_W, F.when(own, F.lit(1)).otherwise(F.lit(-1))))
+    scored = _twice(df, ts, width, keep=[key], extra={
+        _T: F.when(own, F.col(_SEC)).otherwise(F.col(_SEC) + F.lit(window_seconds + 1)),
+        _W: F.when(own, F.lit(1)).otherwise(F.lit(-1)),
+    })
     base = Window.partitionBy(key, _BKT).orderBy(_T)
     running = base.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     whole = base.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     markers = F.sum(F.when(own, F.lit(0)).otherwise(F.lit(1))).over(whole)
-    counted = scored.withColumn(out, (F.sum(_W).over(running) + markers).cast("long"))
-    return counted.filter(own).select(*cols, out)
+    count = (F.sum(_W).over(running) + markers).cast("long").alias(out)
+    return scored.select("*", count).filter(own).select(*cols, out)
 
 
 def previous_within(df: DataFrame, key: str, ts: str, order: Sequence[str], carry: Sequence[str],
@@ -104,8 +105,7 @@ def previous_within(df: DataFrame, key: str, ts: str, order: Sequence[str], carr
         w = Window.partitionBy(key).orderBy(*ordering)
         return df.select(*cols, *[F.lag(c).over(w).alias(prefix + c) for c in carry])
     width = max(int(max_gap_seconds), 1)
-    keep = [key, ts, *order, *carry]
-    twice = _marker_nulls(_twice(df, ts, width), keep=keep)
+    twice = _twice(df, ts, width, keep=[key, ts, *order, *carry])
     w = Window.partitionBy(key, _BKT).orderBy(*ordering)
     lagged = twice.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in carry])
     return lagged.filter(_own()).select(*cols, *[prefix + c for c in carry])
@@ -145,7 +145,10 @@ def trailing_distinct(df: DataFrame, key: str, item: str, ts: str, window_second
     twice = (with_prev.withColumn("__start", start)
                       .withColumn(_COPY, F.explode(F.array(F.lit(0), F.lit(1))))
                       .withColumn(_BKT, F.floor(F.col(_SEC) / F.lit(width)) + F.col(_COPY)))
-    twice = _marker_nulls(twice.drop(pair, "__p" + _SEC), keep=[key, "__start"])
+    twice = twice.drop(pair, "__p" + _SEC)
+    twice = twice.select(*[
+        F.col(c) if c in (key, "__start", _SEC, _BKT, _COPY) else F.when(_own(), F.col(c)).alias(c)
+        for c in twice.columns])
     live = F.col("__start") < end_after
 
     def ev(t, w, probe):

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnwatch.sources.tables import read_parquet
+
 # The five city locations (name, latitude, longitude), chosen
 # per transaction by event_id % 5 in this order.
 CITIES = (
@@ -60,4 +62,5 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
 
 
 def load_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transactions_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    """The transaction view over ``<sf_dir>/events.parquet`` (whole table)."""
+    return transactions_from_events(read_parquet(spark, f"{sf_dir}/events.parquet"))

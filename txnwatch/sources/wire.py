@@ -47,8 +47,12 @@ def parse_wire(raw: DataFrame) -> DataFrame:
     Malformed JSON or an unparsable time gives nulls (PERMISSIVE), never an error.
     """
     decoded = decode_envelope(raw)
-    parsed = decoded.select(
-        F.from_json("json_str", WIRE).alias("data"), "kafka_partition", "kafka_offset")
+    # ``inline(array(struct))`` is a Generate node: predicates on the parsed
+    # fields (e.g. the validity split) stop above it instead of being pushed
+    # below with ``from_json`` inlined into every conjunct, so each record is
+    # parsed exactly once.
+    parsed = decoded.select(F.inline(F.array(F.struct(
+        F.from_json("json_str", WIRE).alias("data"), "kafka_partition", "kafka_offset"))))
     return parsed.select(
         "data.transaction_id", "data.user_id", "data.merchant_id", "data.amount",
         "data.currency",

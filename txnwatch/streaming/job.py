@@ -22,10 +22,14 @@ in-order input; a late row slipping between two others can leave an extra
 R2 alert behind, never a missing one.
 
 Layout under ``root``: ``bronze``, ``silver``, ``alerts``, ``rejects`` (only
-written when a batch has any), ``_batches`` (one row per batch: stamp and max
-event time), ``_checkpoints/<name>``.  Bronze and Silver are partitioned by
-``event_date / late / batch_id`` -- too-late rows are kept but sit under
-``late=true`` (``late_rows`` reads them) -- alerts by ``event_date / batch_id``.
+written when a batch has any), ``_batches`` (one row per batch: stamp, max
+event time so far, event range of its accepted rows), ``_checkpoints/<name>``.
+Bronze and Silver are partitioned ``batch_id / event_date / late`` -- too-late
+rows are kept but sit under ``late=true`` (``late_rows`` reads them) -- alerts
+``batch_id / event_date``.  Batch-major layout lets a micro-batch read exactly
+the batches whose event range meets its look-back window (explicit paths, from
+the batch log), so its cost is bounded by the horizon, never by the age of the
+stream; readers of whole tables still prune on ``event_date``.
 """
 
 from __future__ import annotations
@@ -56,7 +60,11 @@ from txnwatch.sources.wire import parse_wire, split_valid, split_valid_condition
 _LOG_SCHEMA = StructType([
     StructField("batch_id", LongType(), False),
     StructField("stamp", TimestampType(), False),
+    # largest event second seen up to and including this batch (watermark base)
     StructField("max_event_sec", LongType(), True),
+    # event-second range of the batch's accepted rows (null when none)
+    StructField("lo_sec", LongType(), True),
+    StructField("hi_sec", LongType(), True),
 ])
 
 
@@ -65,9 +73,9 @@ _LATE = StructField("late", BooleanType(), True)
 _BATCH = StructField("batch_id", LongType(), True)
 # Declared schemas of the job's tables, layout (partition) columns last.
 TABLE_SCHEMAS = {
-    "bronze": StructType(BRONZE.fields + [_DATE, _LATE, _BATCH]),
-    "silver": StructType(SILVER.fields + [_DATE, _LATE, _BATCH]),
-    "alerts": StructType(ALERT.fields + [_DATE, _BATCH]),
+    "bronze": StructType(BRONZE.fields + [_BATCH, _DATE, _LATE]),
+    "silver": StructType(SILVER.fields + [_BATCH, _DATE, _LATE]),
+    "alerts": StructType(ALERT.fields + [_BATCH, _DATE]),
     "_batches": _LOG_SCHEMA,
 }
 
@@ -106,16 +114,38 @@ class StreamJob:
                 rows = self.table(spark, "_batches").collect()
             except AnalysisException:
                 rows = []
-            self._seen = {r["batch_id"]: (r["stamp"], r["max_event_sec"]) for r in rows}
+            self._seen = {r["batch_id"]: (r["stamp"], r["max_event_sec"], r["lo_sec"], r["hi_sec"])
+                          for r in rows}
         return self._seen
 
     def _prior(self, spark: SparkSession, batch_id: int):
         """(stamp already given to this batch or None, max event second before it)."""
         seen = self._load_log(spark)
-        stamp = seen.get(batch_id, (None, None))[0]
-        earlier = [mx for b, (_, mx) in seen.items() if b < batch_id and mx is not None]
+        stamp = seen.get(batch_id, (None,))[0]
+        earlier = [e[1] for b, e in seen.items() if b < batch_id and e[1] is not None]
         return stamp, (max(earlier) if earlier else None)
 
+    def _batches_meeting(self, first: int, last: int, exclude: int | None = None,
+                         extend: int = 0) -> list[int]:
+        """Earlier batches whose accepted range (its end pushed by ``extend``)
+        meets ``[first, last]``; bounded by the look-back horizon, not by how
+        long the stream has run."""
+        return sorted(b for b, (_, _, lo, hi) in self._seen.items()
+                      if b != exclude and lo is not None and lo <= last and hi + extend >= first)
+
+    def _read_batches(self, spark: SparkSession, table: str, batch_ids: list[int]) -> DataFrame | None:
+        """Just the listed ``batch_id`` partitions of a table (explicit paths,
+        so listing cost does not grow with the number of batches)."""
+        if not batch_ids:
+            return None
+        base = self.path(table)
+        pattern = f"{base}/batch_id={{{','.join(str(b) for b in batch_ids)}}}"
+        try:
+            return (spark.read.schema(TABLE_SCHEMAS[table]).option("basePath", base)
+                    .parquet(pattern))
+        except AnalysisException:
+            return None
+
     def lookback_seconds(self) -> int:
         r = self.rules
         spans = [0]
@@ -158,32 +188,38 @@ class StreamJob:
             if stats["bad"]:
                 self._write(rejects.withColumn("batch_id", F.lit(batch_id).cast("long")),
                             "rejects", ["batch_id"])
-            layout = ("event_date", "late", "batch_id")
+            layout = ("batch_id", "event_date", "late")
             if stats["n"]:
                 self._write(rows.select(*BRONZE_COLUMNS, *layout), "bronze", list(layout))
                 self._write(silver(rows, self.rules.salt, self.ip_octets, keep=layout),
                             "silver", list(layout))
                 if stats["lo"] is not None:
-                    self._alerts(spark, rows, batch_id, stats["lo"], stats["hi"], stamp_col)
+                    self._alerts(spark, batch_id, stats["lo"], stats["hi"], stamp_col)
             mx = stats["mx"]
             if prior_max is not None and (mx is None or prior_max > mx):
                 mx = prior_max
-            entry = spark.createDataFrame([(int(batch_id), stamp, mx)], _LOG_SCHEMA)
+            lo, hi = stats["lo"], stats["hi"]
+            entry = spark.createDataFrame([(int(batch_id), stamp, mx, lo, hi)], _LOG_SCHEMA)
             self._write(entry.coalesce(1), "_batches", ["batch_id"])
-            self._seen[int(batch_id)] = (stamp, mx)
+            self._seen[int(batch_id)] = (stamp, mx, lo, hi)
         finally:
             parsed.unpersist()
 
-    def _alerts(self, spark, rows: DataFrame, batch_id: int, lo: int, hi: int, stamp_col) -> None:
+    def _alerts(self, spark, batch_id: int, lo: int, hi: int, stamp_col) -> None:
+        # Everything below reads the Bronze partitions back (this batch's was
+        # just written): shallow file-scan plans, and lineage cut at a durable
+        # table, so a lost executor recomputes from Bronze, not the source.
         span = self.lookback_seconds()
         first, last = lo - span, hi + span
         d0 = _dt.datetime.fromtimestamp(first, _dt.timezone.utc).date()
         d1 = _dt.datetime.fromtimestamp(last, _dt.timezone.utc).date()
-        hist = (self.table(spark, "bronze")
-                .filter(F.col("event_date").between(F.lit(d0), F.lit(d1)) & ~F.col("late")))
+        # this batch (just written) plus the earlier ones reaching into the window
+        sources = self._batches_meeting(first, last, exclude=batch_id) + [batch_id]
+        hist = self._read_batches(spark, "bronze", sources)
+        hist = hist.filter(F.col("event_date").between(F.lit(d0), F.lit(d1)) & ~F.col("late"))
         hist_sec = epoch_seconds(hist, "timestamp")
         hist = hist.filter(hist_sec.between(first, last))
-        accepted = rows.filter(~F.col("late"))
+        accepted = self._read_batches(spark, "bronze", [batch_id]).filter(~F.col("late"))
         users = accepted.select("user_id").distinct()
         merchants = accepted.select("merchant_id").distinct()
         by_user = hist.join(users, "user_id", "left_semi").select(*BRONZE_COLUMNS)
@@ -197,17 +233,17 @@ class StreamJob:
         hits = hits.filter(hit_sec.between(lo, hi + span))
         alerts = to_alerts(hits, r, alert_time=stamp_col).withColumn(
             "event_date", F.to_date("timestamp"))
-        try:
-            earlier = (self.table(spark, "alerts")
-                       .filter(F.col("event_date").between(F.lit(d0), F.lit(d1))
-                               & (F.col("batch_id") != batch_id))
-                       .select("alert_id"))
-            alerts = alerts.join(earlier, "alert_id", "left_anti")
-        except AnalysisException:
-            pass
-        self._write(alerts.select(*ALERT_COLUMNS, "event_date",
-                                  F.lit(batch_id).cast("long").alias("batch_id")),
-                    "alerts", ["event_date", "batch_id"])
+        # alerts on these candidates can only come from batches whose own
+        # candidate window [lo_b, hi_b + span] met this one
+        earlier = self._read_batches(spark, "alerts",
+                                     self._batches_meeting(lo, hi + span, exclude=batch_id,
+                                                           extend=span))
+        if earlier is not None:
+            earlier = earlier.filter(F.col("event_date").between(F.lit(d0), F.lit(d1)))
+            alerts = alerts.join(earlier.select("alert_id"), "alert_id", "left_anti")
+        self._write(alerts.select(*ALERT_COLUMNS, F.lit(batch_id).cast("long").alias("batch_id"),
+                                  "event_date"),
+                    "alerts", ["batch_id", "event_date"])
 
     def _write(self, df: DataFrame, table: str, parts: list[str]) -> None:
         (df.write.mode("overwrite")
