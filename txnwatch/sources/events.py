@@ -7,7 +7,6 @@ Every expression here has a twin in the DuckDB oracle
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from txnwatch.sources.tables import read_parquet
 
@@ -30,37 +29,45 @@ TXN_COLUMNS = ("transaction_id", "user_id", "merchant_id", "amount", "currency",
                "kafka_partition", "kafka_offset")
 
 
+def _sql_list(values) -> str:
+    return "array(" + ", ".join(repr(v) if isinstance(v, str) else f"CAST({v!r} AS DOUBLE)"
+                                for v in values) + ")"
+
+
+def _view_exprs() -> list[str]:
+    """The view as SQL expressions (one analysis pass, mirrors the oracle)."""
+    pick = "element_at({}, CAST(event_id % {} AS INT) + 1)"
+    n = len(CITIES)
+    return [
+        "concat('TXN-', CAST(event_id AS STRING)) AS transaction_id",
+        "concat('U', CAST(user_id AS STRING)) AS user_id",
+        f"concat('M', CAST({MERCHANT_BASE} + CAST(get_json_object(props, '$.k') AS INT) % {MERCHANTS}"
+        " AS STRING)) AS merchant_id",
+        f"value * CAST({AMOUNT_SCALE!r} AS DOUBLE) AS amount",
+        "'USD' AS currency",
+        "ts AS timestamp",
+        pick.format(_sql_list(c[1] for c in CITIES), n) + " AS latitude",
+        pick.format(_sql_list(c[2] for c in CITIES), n) + " AS longitude",
+        pick.format(_sql_list(c[0] for c in CITIES), n) + " AS city",
+        "concat_ws('.', CAST(10 + user_id % 200 AS STRING), CAST(event_id % 256 AS STRING), "
+        "CAST((event_id DIV 256) % 256 AS STRING), CAST(user_id % 256 AS STRING)) AS ip_address",
+        "concat('DEV-', CAST(user_id AS STRING)) AS device_id",
+        "event_type AS transaction_type",
+        f"CAST(user_id % {PARTITIONS} AS INT) AS kafka_partition",
+        "event_id AS kafka_offset",
+    ]
+
+
 def transactions_from_events(events: DataFrame) -> DataFrame:
     """Narrow projection of ``events`` into the 14 transaction columns (F2 layout)."""
-    eid, uid = F.col("event_id"), F.col("user_id")
-    k = F.get_json_object("props", "$.k").cast("int")
-    city_ix = (eid % len(CITIES)).cast("int") + 1
-    pick = lambda i: F.element_at(F.array(*[F.lit(c[i]) for c in CITIES]), city_ix)
-    ip = F.concat_ws(
-        ".",
-        (F.lit(10) + uid % 200).cast("string"),
-        (eid % 256).cast("string"),
-        ((eid / 256).cast("long") % 256).cast("string"),
-        (uid % 256).cast("string"),
-    )
-    return events.select(
-        F.concat(F.lit("TXN-"), eid.cast("string")).alias("transaction_id"),
-        F.concat(F.lit("U"), uid.cast("string")).alias("user_id"),
-        F.concat(F.lit("M"), (F.lit(MERCHANT_BASE) + k % MERCHANTS).cast("string")).alias("merchant_id"),
-        (F.col("value") * F.lit(AMOUNT_SCALE)).alias("amount"),
-        F.lit("USD").alias("currency"),
-        F.col("ts").alias("timestamp"),
-        pick(1).cast("double").alias("latitude"),
-        pick(2).cast("double").alias("longitude"),
-        pick(0).alias("city"),
-        ip.alias("ip_address"),
-        F.concat(F.lit("DEV-"), uid.cast("string")).alias("device_id"),
-        F.col("event_type").alias("transaction_type"),
-        (uid % PARTITIONS).cast("int").alias("kafka_partition"),
-        eid.alias("kafka_offset"),
-    )
+    return events.selectExpr(*_view_exprs())
+
+
+EVENTS_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+                 "value DOUBLE, props STRING")
 
 
 def load_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The transaction view over ``<sf_dir>/events.parquet`` (whole table)."""
-    return transactions_from_events(read_parquet(spark, f"{sf_dir}/events.parquet"))
+    return transactions_from_events(
+        read_parquet(spark, f"{sf_dir}/events.parquet", schema=EVENTS_SCHEMA))

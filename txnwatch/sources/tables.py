@@ -23,6 +23,9 @@ def spread(df: DataFrame, min_splits: int | None = None) -> DataFrame:
     return df.repartition(want) if have < want else df
 
 
-def read_parquet(spark: SparkSession, path: str, spread_small: bool = True) -> DataFrame:
-    df = spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: str, spread_small: bool = True,
+                 schema: str | None = None) -> DataFrame:
+    """Parquet scan; a declared ``schema`` skips footer-based inference."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    df = reader.parquet(path)
     return spread(df) if spread_small else df
