@@ -287,3 +287,15 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
 def late_rows(spark: SparkSession, root: str) -> DataFrame:
     """STR-2: rows that arrived after the watermark (kept in Bronze, never scored)."""
     return read_table(spark, root, "bronze").filter(F.col("late"))
+
+
+def alert_feed(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """SRC-8 / FLT-7: newly written alerts as a stream.
+
+    The alert table is append-only per batch partition, so a file stream over
+    it yields exactly the inserts (replays rewrite identical rows in place).
+    """
+    reader = spark.readStream.schema(TABLE_SCHEMAS["alerts"])
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.parquet(f"{root.rstrip('/')}/alerts")
