@@ -13,9 +13,11 @@ its throughput is reported as ``stream_rows_per_sec``.
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import re
+import shutil
 import sys
 import tempfile
 import time
@@ -48,11 +50,20 @@ def _stream(spark, sf_dir: str, scratch: str, batches: int = 4) -> tuple[float,
 
     env = to_envelope(load_transactions(spark, sf_dir))
     n = env.count()
-    src = f"{scratch}/stream_in"
+    parts = f"{scratch}/stream_parts"
     (env.withColumn("part", (F.col("offset") * batches / F.lit(max(n, 1))).cast("int"))
         .repartition("part").sortWithinPartitions("offset")
-        .write.partitionBy("part").json(src))
-    stream = envelope_file_stream(spark, f"{src}/*", max_files_per_trigger=1)
+        .write.partitionBy("part").json(parts))
+    # one file per micro-batch, oldest first in event order (the file source
+    # orders by modification time)
+    src = f"{scratch}/stream_in"
+    os.makedirs(src)
+    for i in range(batches):
+        for k, f in enumerate(sorted(glob.glob(f"{parts}/part={i}/*.json"))):
+            target = f"{src}/{i:04d}-{k:04d}.json"
+            shutil.copy(f, target)
+            os.utime(target, (1_700_000_000 + i, 1_700_000_000 + i))
+    stream = envelope_file_stream(spark, src, max_files_per_trigger=1)
     job = StreamJob(f"{scratch}/stream_out", rules=catalog.WIDE)
     t0 = time.time()
     job.run_available(stream)

@@ -33,7 +33,10 @@ def _split_files(spark, scratch, k):
     dirs = sorted(glob.glob(f"{scratch}/parts/part=*"), key=lambda p: int(p.split("=")[1]))
     for i, d in enumerate(dirs):
         for f in glob.glob(f"{d}/*.json"):
-            shutil.copy(f, f"{scratch}/in/{i:04d}.json")
+            target = f"{scratch}/in/{i:04d}.json"
+            shutil.copy(f, target)
+            # the file source takes files oldest first: make the order explicit
+            os.utime(target, (1_700_000_000 + i, 1_700_000_000 + i))
     return f"{scratch}/in"
 
 
