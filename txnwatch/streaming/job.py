@@ -4,10 +4,12 @@ Spark rejects row-based windows (R1, R2, R4) on a streaming frame, so the
 rules run inside ``foreachBatch`` over the micro-batch plus a bounded
 look-back into Bronze:
 
-1. decode and parse once; split rejects; mark rows older than the
-   watermark (max event time of earlier batches minus the delay) as late;
-2. write Bronze and Silver into this batch's partitions with dynamic
-   partition overwrite, so a replayed batch rewrites exactly its own files;
+1. decode and parse once; mark rows older than the watermark (max event
+   time of earlier batches minus the delay) as late; write Bronze into this
+   batch's partitions with dynamic partition overwrite, so a replayed batch
+   rewrites exactly its own files -- the batch statistics are observed during
+   that write; rejects (rare) go to their own table;
+2. derive Silver from the Bronze rows just written;
 3. read Bronze back for the keys in the batch, pruned to the event dates
    and seconds ``[min - L, max + L]`` (L = longest rule look-back), excluding
    late rows, and score the rules there; candidates are rows in
@@ -37,7 +39,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
@@ -166,44 +168,47 @@ class StreamJob:
         stamp_col = F.lit(stamp).cast("timestamp")
         delay = _interval_seconds(self.watermark)
 
-        parsed = parse_wire(batch_df).persist()
-        try:
-            valid, rejects = split_valid(parsed)
-            sec = epoch_seconds(valid, "timestamp")
-            late = (F.lit(prior_max - delay) > sec) if prior_max is not None else F.lit(False)
-            rows = (bronze(valid, stamp_col)
-                    .withColumn("event_date", F.to_date("timestamp"))
-                    .withColumn("late", late)
-                    .withColumn("batch_id", F.lit(batch_id).cast("long")))
-            ok = split_valid_condition()
-            psec = F.when(ok, epoch_seconds(parsed, "timestamp"))
-            on_time = ok & (F.lit(True) if prior_max is None else psec >= F.lit(prior_max - delay))
-            stats = parsed.agg(
-                F.count(F.when(ok, 1)).alias("n"),
-                F.count(F.when(~ok, 1)).alias("bad"),
-                F.min(F.when(on_time, psec)).alias("lo"),
-                F.max(F.when(on_time, psec)).alias("hi"),
-                F.max(psec).alias("mx"),
-            ).first()
-            if stats["bad"]:
-                self._write(rejects.withColumn("batch_id", F.lit(batch_id).cast("long")),
-                            "rejects", ["batch_id"])
-            layout = ("batch_id", "event_date", "late")
-            if stats["n"]:
-                self._write(rows.select(*BRONZE_COLUMNS, *layout), "bronze", list(layout))
-                self._write(silver(rows, self.rules.salt, self.ip_octets, keep=layout),
-                            "silver", list(layout))
-                if stats["lo"] is not None:
-                    self._alerts(spark, batch_id, stats["lo"], stats["hi"], stamp_col)
-            mx = stats["mx"]
-            if prior_max is not None and (mx is None or prior_max > mx):
-                mx = prior_max
-            lo, hi = stats["lo"], stats["hi"]
-            entry = spark.createDataFrame([(int(batch_id), stamp, mx, lo, hi)], _LOG_SCHEMA)
-            self._write(entry.coalesce(1), "_batches", ["batch_id"])
-            self._seen[int(batch_id)] = (stamp, mx, lo, hi)
-        finally:
-            parsed.unpersist()
+        parsed = parse_wire(batch_df)
+        ok = split_valid_condition()
+        psec = F.when(ok, epoch_seconds(parsed, "timestamp"))
+        on_time = ok & (F.lit(True) if prior_max is None else psec >= F.lit(prior_max - delay))
+        # Batch statistics ride along with the Bronze write (no extra pass).
+        obs = Observation(f"batch_{batch_id}")
+        observed = parsed.observe(
+            obs,
+            F.count(F.lit(1)).alias("total"),
+            F.count(F.when(ok, 1)).alias("n"),
+            F.min(F.when(on_time, psec)).alias("lo"),
+            F.max(F.when(on_time, psec)).alias("hi"),
+            F.max(psec).alias("mx"),
+        )
+        valid = observed.filter(ok)
+        late = (F.lit(prior_max - delay) > epoch_seconds(valid, "timestamp")
+                if prior_max is not None else F.lit(False))
+        layout = ("batch_id", "event_date", "late")
+        rows = bronze(valid, stamp_col).select(
+            *BRONZE_COLUMNS, F.lit(batch_id).cast("long").alias("batch_id"),
+            F.to_date("timestamp").alias("event_date"), late.alias("late"))
+        self._write(rows, "bronze", list(layout))
+        stats = obs.get
+        if stats["total"] > stats["n"]:
+            _, rejects = split_valid(parse_wire(batch_df))
+            self._write(rejects.withColumn("batch_id", F.lit(batch_id).cast("long")),
+                        "rejects", ["batch_id"])
+        if stats["n"]:
+            # Silver derives from the Bronze rows just written (one stamp, one parse).
+            written = self._read_batches(spark, "bronze", [batch_id])
+            self._write(silver(written, self.rules.salt, self.ip_octets, keep=layout),
+                        "silver", list(layout))
+            if stats["lo"] is not None:
+                self._alerts(spark, batch_id, stats["lo"], stats["hi"], stamp_col)
+        mx = stats["mx"]
+        if prior_max is not None and (mx is None or prior_max > mx):
+            mx = prior_max
+        lo, hi = stats["lo"], stats["hi"]
+        entry = spark.createDataFrame([(int(batch_id), stamp, mx, lo, hi)], _LOG_SCHEMA)
+        self._write(entry.coalesce(1), "_batches", ["batch_id"])
+        self._seen[int(batch_id)] = (stamp, mx, lo, hi)
 
     def _alerts(self, spark, batch_id: int, lo: int, hi: int, stamp_col) -> None:
         # Everything below reads the Bronze partitions back (this batch's was
