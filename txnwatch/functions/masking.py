@@ -31,3 +31,8 @@ def ip_mask(ip, octets: int = 2) -> Column:
         pieces.append(part)
     pieces.extend(F.lit(".*") for _ in range(4 - octets))
     return F.concat(*pieces)
+
+
+def sql_string(value: str) -> str:
+    """A Spark SQL string literal for ``value`` (quotes and backslashes escaped)."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -43,3 +43,20 @@ def as_event_time(df: DataFrame, name: str) -> Column:
     if _is_ntz(df, name):
         return F.to_utc_timestamp(F.col(name), "UTC")
     return F.col(name)
+
+
+def quote(name: str) -> str:
+    """Backtick-quote a column name for SQL expression strings."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def epoch_seconds_sql(df: DataFrame, name: str) -> str:
+    """SQL text of :func:`epoch_seconds` (whole seconds, floor).
+
+    Zone-less times are read as UTC through the session zone, which the
+    session builder pins to UTC.
+    """
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, NumericType):
+        return f"CAST({quote(name)} AS BIGINT)"
+    return f"unix_seconds(CAST({quote(name)} AS TIMESTAMP))"

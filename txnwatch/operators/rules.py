@@ -16,7 +16,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from txnwatch.config import (
     TAG_GEO_JUMP,
@@ -25,9 +24,9 @@ from txnwatch.config import (
     TAG_VELOCITY,
     RuleSet,
 )
-from txnwatch.functions.geo import haversine_km
-from txnwatch.functions.masking import pseudonym
-from txnwatch.functions.time import epoch_seconds
+from txnwatch.functions.geo import haversine_sql
+from txnwatch.functions.masking import sql_string
+from txnwatch.functions.time import epoch_seconds_sql, quote
 from txnwatch.operators.trailing import previous_within, trailing_count, trailing_distinct
 
 # Evidence columns each rule adds, in the order they appear in a hit row.
@@ -48,7 +47,7 @@ def check_velocity(df: DataFrame, window_minutes: float = 5, threshold: int = 5,
     """R1: per user, rows in ``[t - W, t]`` > ``threshold``; adds ``txn_count``."""
     counted = trailing_count(df, "user_id", "timestamp", _seconds(window_minutes), "txn_count",
                              strategy=strategy)
-    return counted.filter(F.col("txn_count") > F.lit(threshold))
+    return counted.where(f"txn_count > {int(threshold)}")
 
 
 def check_merchant_velocity(df: DataFrame, window_minutes: float = 1, threshold: int = 3,
@@ -56,7 +55,7 @@ def check_merchant_velocity(df: DataFrame, window_minutes: float = 1, threshold:
     """R4: per merchant, rows in ``[t - W, t]`` > ``threshold``; adds ``merchant_txn_count``."""
     counted = trailing_count(df, "merchant_id", "timestamp", _seconds(window_minutes),
                              "merchant_txn_count", strategy=strategy)
-    return counted.filter(F.col("merchant_txn_count") > F.lit(threshold))
+    return counted.where(f"merchant_txn_count > {int(threshold)}")
 
 
 def check_merchant_distinct_users(df: DataFrame, window_minutes: float = 1, threshold: int = 3,
@@ -65,7 +64,7 @@ def check_merchant_distinct_users(df: DataFrame, window_minutes: float = 1, thre
     adds ``merchant_user_count``."""
     counted = trailing_distinct(df, "merchant_id", "user_id", "timestamp", _seconds(window_minutes),
                                 "merchant_user_count", strategy=strategy)
-    return counted.filter(F.col("merchant_user_count") > F.lit(threshold))
+    return counted.where(f"merchant_user_count > {int(threshold)}")
 
 
 def check_geo_jump(df: DataFrame, max_distance_km: float = 1000, max_interval_minutes: float = 10,
@@ -85,23 +84,20 @@ def check_geo_jump(df: DataFrame, max_distance_km: float = 1000, max_interval_mi
     with_prev = with_prev.withColumnsRenamed({"prev_latitude": "prev_lat",
                                               "prev_longitude": "prev_lon",
                                               "prev_timestamp": "prev_ts"})
-    gap = epoch_seconds(with_prev, "timestamp") - epoch_seconds(with_prev, "prev_ts")
-    scored = (with_prev
-              .filter(F.col("prev_lat").isNotNull() & F.col("prev_ts").isNotNull())
-              .withColumns({
-                  "distance_km": haversine_km("prev_lat", "prev_lon", "latitude", "longitude"),
-                  "time_diff_minutes": gap / F.lit(60.0),
-              }))
-    return scored.filter((F.col("distance_km") > F.lit(float(max_distance_km)))
-                         & (F.col("time_diff_minutes") < F.lit(float(max_interval_minutes))))
+    gap = (f"({epoch_seconds_sql(with_prev, 'timestamp')} - "
+           f"{epoch_seconds_sql(with_prev, 'prev_ts')})")
+    scored = (with_prev.where("prev_lat IS NOT NULL AND prev_ts IS NOT NULL")
+              .selectExpr("*", f"{haversine_sql('prev_lat', 'prev_lon', 'latitude', 'longitude')}"
+                               " AS distance_km", f"{gap} / 60.0D AS time_diff_minutes"))
+    return scored.where(f"distance_km > {float(max_distance_km)!r}D AND "
+                        f"time_diff_minutes < {float(max_interval_minutes)!r}D")
 
 
 def check_night_large(df: DataFrame, min_amount: float = 5000, start_hour: int = 0,
                       end_hour: int = 5) -> DataFrame:
     """R3: ``amount > min_amount`` and ``start_hour <= hour(timestamp) < end_hour``."""
-    hour = F.hour("timestamp")
-    return df.filter((F.col("amount") > F.lit(min_amount))
-                     & (hour >= F.lit(start_hour)) & (hour < F.lit(end_hour)))
+    return df.where(f"amount > {float(min_amount)!r}D AND hour(`timestamp`) >= {int(start_hour)} "
+                    f"AND hour(`timestamp`) < {int(end_hour)}")
 
 
 def _hit_columns(df: DataFrame) -> list[str]:
@@ -123,8 +119,8 @@ def _conform(df: DataFrame, source: DataFrame, columns: list[str],
         "rule_type": "string",
     }
     have = set(df.columns)
-    return df.select(*[F.col(c) if c in have else F.lit(None).cast(types[c]).alias(c)
-                       for c in columns])
+    return df.selectExpr(*[quote(c) if c in have else f"CAST(NULL AS {types[c]}) AS {quote(c)}"
+                           for c in columns])
 
 
 def apply_all_rules(df: DataFrame, rules: RuleSet | None = None, strategy: str = "bucketed",
@@ -140,28 +136,32 @@ def apply_all_rules(df: DataFrame, rules: RuleSet | None = None, strategy: str =
     rules = rules or RuleSet()
     inputs = inputs or {}
 
+    hashed = f"sha2(concat(user_id, {sql_string(rules.salt)}), 256) AS user_hash"
+
     def source(rule: str) -> DataFrame:
-        return inputs.get(rule, df).withColumn("user_hash", pseudonym("user_id", rules.salt))
+        return inputs.get(rule, df).selectExpr("*", hashed)
+
+    def tag(frame: DataFrame, name: str) -> DataFrame:
+        return frame.selectExpr("*", f"'{name}' AS rule_type")
 
-    base = df.withColumn("user_hash", pseudonym("user_id", rules.salt))
+    base = df.selectExpr("*", hashed)
     columns = _hit_columns(base)
     branches = []
     if rules.r1.enabled:
-        branches.append(check_velocity(source("R1"), rules.r1.window_minutes, rules.r1.threshold,
-                                       strategy).withColumn("rule_type", F.lit(TAG_VELOCITY)))
+        branches.append(tag(check_velocity(source("R1"), rules.r1.window_minutes,
+                                           rules.r1.threshold, strategy), TAG_VELOCITY))
     if rules.r2.enabled:
-        branches.append(check_geo_jump(source("R2"), rules.r2.max_distance_km,
-                                       rules.r2.max_interval_minutes, strategy)
-                        .withColumn("rule_type", F.lit(TAG_GEO_JUMP)))
+        branches.append(tag(check_geo_jump(source("R2"), rules.r2.max_distance_km,
+                                           rules.r2.max_interval_minutes, strategy), TAG_GEO_JUMP))
     if rules.r3.enabled:
-        branches.append(check_night_large(source("R3"), rules.r3.min_amount, rules.r3.start_hour,
-                                          rules.r3.end_hour)
-                        .withColumn("rule_type", F.lit(TAG_NIGHT_LARGE)))
+        branches.append(tag(check_night_large(source("R3"), rules.r3.min_amount,
+                                              rules.r3.start_hour, rules.r3.end_hour),
+                            TAG_NIGHT_LARGE))
     if rules.r4.enabled:
-        branches.append(check_merchant_velocity(source("R4"), rules.r4.window_minutes,
-                                                rules.r4.threshold, strategy)
-                        .withColumn("rule_type", F.lit(TAG_MERCHANT_VELOCITY)))
+        branches.append(tag(check_merchant_velocity(source("R4"), rules.r4.window_minutes,
+                                                    rules.r4.threshold, strategy),
+                            TAG_MERCHANT_VELOCITY))
     if not branches:
-        return _conform(base.filter(F.lit(False)), base, columns)
+        return _conform(base.where("false"), base, columns)
     ts_type = base.schema["timestamp"].dataType.simpleString()
     return reduce(DataFrame.unionByName, [_conform(b, base, columns, ts_type) for b in branches])

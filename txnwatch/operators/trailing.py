@@ -17,20 +17,26 @@ The bucketed form used by default is exact as well:
 
 A hot key is thereby split into one window partition per bucket, the shuffle
 carries each row once plus a narrow marker, and nothing ever enumerates pairs.
+
+Expressions are written as SQL text (``selectExpr``): the plan is the same as
+with Column objects, but building it costs one call per expression instead of
+one per node, which matters for the per-micro-batch planning of the stream.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from txnwatch.functions.time import epoch_seconds
+from txnwatch.functions.time import epoch_seconds_sql, quote
 
 STRATEGIES = ("bucketed", "window")
 
 _SEC, _BKT, _COPY, _T, _W = "__sec", "__bkt", "__copy", "__t", "__w"
+_OWN = f"{_COPY} = 0"
+_RUNNING = "RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+_WHOLE = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
 
 
 def _check(strategy: str) -> None:
@@ -39,25 +45,20 @@ def _check(strategy: str) -> None:
 
 
 def _twice(df: DataFrame, ts: str, width: int, keep: Sequence[str],
-           extra: dict[str, Column] | None = None) -> DataFrame:
+           extra: dict[str, str] | None = None) -> DataFrame:
     """Each row as copy 0 (itself, bucket b) and copy 1 (marker for bucket
     b + 1).  Marker copies carry only ``keep`` (other columns null) so the
-    shuffle moves each row once plus a narrow marker.  ``extra`` columns are
-    computed on top, from the helper columns ``__sec``, ``__copy``, ``__bkt``.
+    shuffle moves each row once plus a narrow marker.  ``extra`` SQL columns
+    are computed on top, from the helpers ``__sec``, ``__copy``, ``__bkt``.
     """
     cols = [c for c in df.columns if c != _SEC]
-    doubled = df.select(*cols, epoch_seconds(df, ts).alias(_SEC),
-                        F.explode(F.array(F.lit(0), F.lit(1))).alias(_COPY))
-    own = F.col(_COPY) == 0
-    out = [F.col(c) if c in keep else F.when(own, F.col(c)).alias(c) for c in cols]
-    out += [F.col(_SEC), F.col(_COPY),
-            (F.floor(F.col(_SEC) / F.lit(width)) + F.col(_COPY)).alias(_BKT)]
-    out += [expr.alias(name) for name, expr in (extra or {}).items()]
-    return doubled.select(*out)
-
-
-def _own() -> Column:
-    return F.col(_COPY) == 0
+    doubled = df.selectExpr(*map(quote, cols), f"{epoch_seconds_sql(df, ts)} AS {_SEC}",
+                            f"explode(array(0, 1)) AS {_COPY}")
+    out = [quote(c) if c in keep else f"CASE WHEN {_OWN} THEN {quote(c)} END AS {quote(c)}"
+           for c in cols]
+    out += [_SEC, _COPY, f"floor({_SEC} / {int(width)}) + {_COPY} AS {_BKT}"]
+    out += [f"{expr} AS {name}" for name, expr in (extra or {}).items()]
+    return doubled.selectExpr(*out)
 
 
 def trailing_count(df: DataFrame, key: str, ts: str, window_seconds: int, out: str,
@@ -66,26 +67,22 @@ def trailing_count(df: DataFrame, key: str, ts: str, window_seconds: int, out: s
     time lies in ``[s - window_seconds, s]`` (the row itself and same-second
     peers included)."""
     _check(strategy)
-    window_seconds = int(window_seconds)
+    w = int(window_seconds)
     cols = df.columns
+    k, o = quote(key), quote(out)
     if strategy == "window":
-        w = Window.partitionBy(key).orderBy(F.col(_SEC)).rangeBetween(-window_seconds, 0)
-        return (df.withColumn(_SEC, epoch_seconds(df, ts))
-                  .withColumn(out, F.count(F.lit(1)).over(w))
-                  .select(*cols, out))
-    width = max(window_seconds, 1)
-    own = _own()
+        return (df.selectExpr("*", f"{epoch_seconds_sql(df, ts)} AS {_SEC}")
+                  .selectExpr(*map(quote, cols), f"count(1) OVER (PARTITION BY {k} ORDER BY {_SEC} "
+                                                 f"RANGE BETWEEN {w} PRECEDING AND CURRENT ROW) AS {o}"))
     # A marker leaves the frame of later rows at second sec + W + 1.
-    scored = _twice(df, ts, width, keep=[key], extra={
-        _T: F.when(own, F.col(_SEC)).otherwise(F.col(_SEC) + F.lit(window_seconds + 1)),
-        _W: F.when(own, F.lit(1)).otherwise(F.lit(-1)),
+    scored = _twice(df, ts, max(w, 1), keep=[key], extra={
+        _T: f"CASE WHEN {_OWN} THEN {_SEC} ELSE {_SEC} + {w + 1} END",
+        _W: f"CASE WHEN {_OWN} THEN 1 ELSE -1 END",
     })
-    base = Window.partitionBy(key, _BKT).orderBy(_T)
-    running = base.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = base.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    markers = F.sum(F.when(own, F.lit(0)).otherwise(F.lit(1))).over(whole)
-    count = (F.sum(_W).over(running) + markers).cast("long").alias(out)
-    return scored.select("*", count).filter(own).select(*cols, out)
+    spec = f"PARTITION BY {k}, {_BKT} ORDER BY {_T}"
+    count = (f"CAST(sum({_W}) OVER ({spec} {_RUNNING}) + "
+             f"sum(CASE WHEN {_OWN} THEN 0 ELSE 1 END) OVER ({spec} {_WHOLE}) AS BIGINT) AS {o}")
+    return scored.selectExpr("*", count).where(_OWN).selectExpr(*map(quote, cols), o)
 
 
 def previous_within(df: DataFrame, key: str, ts: str, order: Sequence[str], carry: Sequence[str],
@@ -100,15 +97,17 @@ def previous_within(df: DataFrame, key: str, ts: str, order: Sequence[str], carr
     """
     _check(strategy)
     cols = df.columns
-    ordering = [F.col(ts), *[F.col(c) for c in order]]
+    ordering = ", ".join(quote(c) for c in [ts, *order])
+    outs = [quote(prefix + c) for c in carry]
     if strategy == "window":
-        w = Window.partitionBy(key).orderBy(*ordering)
-        return df.select(*cols, *[F.lag(c).over(w).alias(prefix + c) for c in carry])
-    width = max(int(max_gap_seconds), 1)
-    twice = _twice(df, ts, width, keep=[key, ts, *order, *carry])
-    w = Window.partitionBy(key, _BKT).orderBy(*ordering)
-    lagged = twice.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in carry])
-    return lagged.filter(_own()).select(*cols, *[prefix + c for c in carry])
+        spec = f"PARTITION BY {quote(key)} ORDER BY {ordering}"
+        return df.selectExpr(*map(quote, cols), *[f"lag({quote(c)}) OVER ({spec}) AS {o}"
+                                                  for c, o in zip(carry, outs)])
+    twice = _twice(df, ts, max(int(max_gap_seconds), 1), keep=[key, ts, *order, *carry])
+    spec = f"PARTITION BY {quote(key)}, {_BKT} ORDER BY {ordering}"
+    lagged = twice.selectExpr("*", *[f"lag({quote(c)}) OVER ({spec}) AS {o}"
+                                     for c, o in zip(carry, outs)])
+    return lagged.where(_OWN).selectExpr(*map(quote, cols), *outs)
 
 
 def trailing_distinct(df: DataFrame, key: str, item: str, ts: str, window_seconds: int, out: str,
@@ -125,53 +124,43 @@ def trailing_distinct(df: DataFrame, key: str, item: str, ts: str, window_second
     guarantees; same-second repeats get an empty interval.
     """
     _check(strategy)
-    window_seconds = int(window_seconds)
+    w = int(window_seconds)
     cols = df.columns
+    k, o = quote(key), quote(out)
     if strategy == "window":
-        w = Window.partitionBy(key).orderBy(F.col(_SEC)).rangeBetween(-window_seconds, 0)
-        return (df.withColumn(_SEC, epoch_seconds(df, ts))
-                  .withColumn(out, F.size(F.collect_set(item).over(w)).cast("long"))
-                  .select(*cols, out))
-    width = max(window_seconds, 1)
-    pair = "__pair"
-    base = (df.withColumn(_SEC, epoch_seconds(df, ts))
-              .withColumn(pair, F.struct(F.col(key).alias("k"), F.col(item).alias("i"))))
+        return (df.selectExpr("*", f"{epoch_seconds_sql(df, ts)} AS {_SEC}")
+                  .selectExpr(*map(quote, cols),
+                              f"CAST(size(collect_set({quote(item)}) OVER (PARTITION BY {k} "
+                              f"ORDER BY {_SEC} RANGE BETWEEN {w} PRECEDING AND CURRENT ROW)) "
+                              f"AS BIGINT) AS {o}"))
+    pair, prev = "__pair", "__p" + _SEC
+    base = df.selectExpr("*", f"{epoch_seconds_sql(df, ts)} AS {_SEC}",
+                         f"named_struct('k', {k}, 'i', {quote(item)}) AS {pair}")
     with_prev = previous_within(base, pair, _SEC, order=[], carry=[_SEC],
-                                max_gap_seconds=window_seconds + 1, prefix="__p")
-    prev = F.col("__p" + _SEC)
-    start = F.when(prev.isNull(), F.col(_SEC)).otherwise(
-        F.greatest(F.col(_SEC), prev + F.lit(window_seconds + 1)))
-    end_after = F.col(_SEC) + F.lit(window_seconds + 1)
-    twice = (with_prev.withColumn("__start", start)
-                      .withColumn(_COPY, F.explode(F.array(F.lit(0), F.lit(1))))
-                      .withColumn(_BKT, F.floor(F.col(_SEC) / F.lit(width)) + F.col(_COPY)))
-    twice = twice.drop(pair, "__p" + _SEC)
-    twice = twice.select(*[
-        F.col(c) if c in (key, "__start", _SEC, _BKT, _COPY) else F.when(_own(), F.col(c)).alias(c)
-        for c in twice.columns])
-    live = F.col("__start") < end_after
-
-    def ev(t, w, probe):
-        return F.struct(t.cast("long").alias("t"), w.alias("w"), F.lit(probe).alias("probe"))
-
-    one = F.lit(1)
-    zero = F.lit(0)
+                                max_gap_seconds=w + 1, prefix="__p")
+    start = f"CASE WHEN {prev} IS NULL THEN {_SEC} ELSE greatest({_SEC}, {prev} + {w + 1}) END"
+    doubled = with_prev.selectExpr(*map(quote, cols), _SEC, f"{start} AS __start",
+                                   f"explode(array(0, 1)) AS {_COPY}")
+    twice = doubled.selectExpr(
+        *[quote(c) if c == key else f"CASE WHEN {_OWN} THEN {quote(c)} END AS {quote(c)}"
+          for c in cols],
+        _SEC, "__start", _COPY, f"floor({_SEC} / {max(w, 1)}) + {_COPY} AS {_BKT}")
+    live = f"(__start < {_SEC} + {w + 1})"
+
+    def ev(t: str, weight: str, probe: bool) -> str:
+        return f"named_struct('t', CAST({t} AS BIGINT), 'w', {weight}, 'probe', {str(probe).lower()})"
+
     # copy 0: probe at its own second (+1 there when its interval starts
     # immediately), else +1 later at the start.  copy 1 (next bucket): +1 at
     # the start, -1 one second after the end.
-    own_events = F.array(
-        ev(F.col(_SEC), F.when(live & (F.col("__start") == F.col(_SEC)), one).otherwise(zero), True),
-        ev(F.col("__start"), F.when(live & (F.col("__start") > F.col(_SEC)), one).otherwise(zero), False),
-    )
-    marker_events = F.array(
-        ev(F.col("__start"), F.when(live, one).otherwise(zero), False),
-        ev(end_after, F.when(live, F.lit(-1)).otherwise(zero), False),
-    )
-    events = F.filter(F.when(_own(), own_events).otherwise(marker_events),
-                      lambda e: e["probe"] | (e["w"] != 0))
-    flat = (twice.withColumn("__e", F.explode(events))
-                 .withColumn(_T, F.col("__e.t")).withColumn(_W, F.col("__e.w")))
-    running = Window.partitionBy(key, _BKT).orderBy(_T).rangeBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    counted = flat.withColumn(out, F.sum(_W).over(running).cast("long"))
-    return counted.filter(F.col("__e.probe")).select(*cols, out)
+    own_events = (f"array({ev(_SEC, f'CASE WHEN {live} AND __start = {_SEC} THEN 1 ELSE 0 END', True)}, "
+                  f"{ev('__start', f'CASE WHEN {live} AND __start > {_SEC} THEN 1 ELSE 0 END', False)})")
+    marker_events = (f"array({ev('__start', f'CASE WHEN {live} THEN 1 ELSE 0 END', False)}, "
+                     f"{ev(f'{_SEC} + {w + 1}', f'CASE WHEN {live} THEN -1 ELSE 0 END', False)})")
+    events = (f"filter(CASE WHEN {_OWN} THEN {own_events} ELSE {marker_events} END, "
+              f"e -> e.probe OR e.w != 0)")
+    flat = twice.selectExpr("*", f"explode({events}) AS __e")
+    counted = flat.selectExpr(
+        "*", f"CAST(sum(__e.w) OVER (PARTITION BY {k}, {_BKT} ORDER BY __e.t {_RUNNING}) "
+             f"AS BIGINT) AS {o}")
+    return counted.where("__e.probe").selectExpr(*map(quote, cols), o)
