@@ -108,16 +108,12 @@ def to_alerts(hits: DataFrame, rules: RuleSet | None = None, alert_time: Column
     """
     rules = rules or RuleSet()
     stamp = alert_time if alert_time is not None else F.current_timestamp()
-    return hits.select(
-        alert_key().alias("alert_id"),
-        F.col("rule_type"),
-        F.col("transaction_id"),
-        F.col("user_hash"),
-        F.col("amount"),
-        F.col("timestamp"),
-        F.to_json(detail_struct(rules)).alias("trigger_detail"),
-        stamp.alias("alert_time"),
-    ).select(*ALERT_COLUMNS)
+    keyed = hits.selectExpr(f"concat_ws('-', '{ALERT_PREFIX}', rule_type, transaction_id) AS alert_id",
+                            "rule_type", "transaction_id", "user_hash", "amount", "`timestamp`",
+                            "txn_count", "distance_km", "time_diff_minutes",
+                            "merchant_txn_count", "merchant_id")
+    return keyed.select(*ALERT_COLUMNS[:6], F.to_json(detail_struct(rules)).alias("trigger_detail"),
+                        stamp.alias("alert_time"))
 
 
 # Paths inside ``trigger_detail`` that reports and tests read back.

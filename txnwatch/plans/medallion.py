@@ -18,7 +18,7 @@ def bronze(parsed: DataFrame, ingest_time: Column | None = None) -> DataFrame:
     agree; the default is the query's ``current_timestamp()``.
     """
     stamp = ingest_time if ingest_time is not None else F.current_timestamp()
-    return parsed.select(*[F.col(c) for c in FLAT_COLUMNS], stamp.alias("ingest_time"))
+    return parsed.select(*FLAT_COLUMNS, stamp.alias("ingest_time"))
 
 
 def silver(bronze_df: DataFrame, salt: str, octets: int = 2, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -34,5 +34,5 @@ def silver(bronze_df: DataFrame, salt: str, octets: int = 2, keep: tuple[str, ..
     for name in BRONZE_COLUMNS:
         if name == "device_id":
             continue
-        out.append(replaced.get(name, F.col(name)))
+        out.append(replaced.get(name, name))
     return bronze_df.select(*out, *keep)
