@@ -139,10 +139,12 @@ def apply_all_rules(df: DataFrame, rules: RuleSet | None = None, strategy: str =
     hashed = f"sha2(concat(user_id, {sql_string(rules.salt)}), 256) AS user_hash"
 
     def source(rule: str) -> DataFrame:
-        return inputs.get(rule, df).selectExpr("*", hashed)
+        return inputs.get(rule, df)
 
     def tag(frame: DataFrame, name: str) -> DataFrame:
-        return frame.selectExpr("*", f"'{name}' AS rule_type")
+        # The pseudonym is computed on hits only, after the rule: the rule
+        # shuffles never carry the 64-character hash, and only hits are hashed.
+        return frame.selectExpr("*", hashed, f"'{name}' AS rule_type")
 
     base = df.selectExpr("*", hashed)
     columns = _hit_columns(base)

@@ -63,7 +63,7 @@ def _with_hash(df: DataFrame, rules: RuleSet = DEFAULT) -> DataFrame:
 
 def _rule(fn, evidence: list[str]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _hits_out(fn(_with_hash(_tx(spark, sf_dir))), evidence)
+        return _hits_out(_with_hash(fn(_tx(spark, sf_dir))), evidence)
     return run
 
 
@@ -109,7 +109,7 @@ def q_silver(spark, sf_dir):
 
 
 def q_distinct_users(spark, sf_dir):
-    hits = R.check_merchant_distinct_users(_with_hash(_tx(spark, sf_dir)), 30, 3)
+    hits = _with_hash(R.check_merchant_distinct_users(_tx(spark, sf_dir), 30, 3))
     return _hits_out(hits, ["merchant_user_count"])
 
 
