@@ -41,10 +41,12 @@ def decode_envelope(raw: DataFrame) -> DataFrame:
     )
 
 
-def parse_wire(raw: DataFrame) -> DataFrame:
+def parse_wire(raw: DataFrame, keep_raw: bool = False) -> DataFrame:
     """SRC-2/3, PRJ-1..3: decode, parse against the fixed schema, flatten, type the time.
 
-    Malformed JSON or an unparsable time gives nulls (PERMISSIVE), never an error.
+    Malformed JSON or an unparsable time gives nulls (PERMISSIVE), never an
+    error.  ``keep_raw`` also returns the payload text as ``json_str`` (for the
+    rejects table, where the parsed fields may all be null).
     """
     decoded = decode_envelope(raw)
     # ``inline(array(struct))`` is a Generate node: predicates on the parsed
@@ -52,7 +54,9 @@ def parse_wire(raw: DataFrame) -> DataFrame:
     # below with ``from_json`` inlined into every conjunct, so each record is
     # parsed exactly once.
     parsed = decoded.select(F.inline(F.array(F.struct(
-        F.from_json("json_str", WIRE).alias("data"), "kafka_partition", "kafka_offset"))))
+        F.from_json("json_str", WIRE).alias("data"), "kafka_partition", "kafka_offset",
+        "json_str"))))
+    raw_col = ["json_str"] if keep_raw else []
     return parsed.select(
         "data.transaction_id", "data.user_id", "data.merchant_id", "data.amount",
         "data.currency",
@@ -61,7 +65,7 @@ def parse_wire(raw: DataFrame) -> DataFrame:
         F.col("data.location.longitude").alias("longitude"),
         F.col("data.location.city").alias("city"),
         "data.ip_address", "data.device_id", "data.transaction_type",
-        "kafka_partition", "kafka_offset",
+        "kafka_partition", "kafka_offset", *raw_col,
     )
 
 

@@ -192,7 +192,7 @@ class StreamJob:
         self._write(rows, "bronze", list(layout))
         stats = obs.get
         if stats["total"] > stats["n"]:
-            _, rejects = split_valid(parse_wire(batch_df))
+            _, rejects = split_valid(parse_wire(batch_df, keep_raw=True))
             self._write(rejects.withColumn("batch_id", F.lit(batch_id).cast("long")),
                         "rejects", ["batch_id"])
         if stats["n"]:
