@@ -37,6 +37,7 @@ stream; readers of whole tables still prune on ``event_date``.
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -82,6 +83,17 @@ TABLE_SCHEMAS = {
 }
 
 
+def _run_all(tasks) -> None:
+    """Run independent Spark actions from driver threads; re-raise the first failure."""
+    if len(tasks) <= 1:
+        for task in tasks:
+            task()
+        return
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        for future in [pool.submit(t) for t in tasks]:
+            future.result()
+
+
 def _interval_seconds(text: str) -> int:
     number, unit = text.split()
     unit = unit.rstrip("s").lower()
@@ -191,17 +203,22 @@ class StreamJob:
             F.to_date("timestamp").alias("event_date"), late.alias("late"))
         self._write(rows, "bronze", list(layout))
         stats = obs.get
+        # Silver, alerts and rejects depend only on what is already written,
+        # not on each other: submit them as concurrent Spark jobs.
+        tasks = []
         if stats["total"] > stats["n"]:
             _, rejects = split_valid(parse_wire(batch_df, keep_raw=True))
-            self._write(rejects.withColumn("batch_id", F.lit(batch_id).cast("long")),
-                        "rejects", ["batch_id"])
+            tasks.append(lambda: self._write(
+                rejects.withColumn("batch_id", F.lit(batch_id).cast("long")), "rejects", ["batch_id"]))
         if stats["n"]:
             # Silver derives from the Bronze rows just written (one stamp, one parse).
             written = self._read_batches(spark, "bronze", [batch_id])
-            self._write(silver(written, self.rules.salt, self.ip_octets, keep=layout),
-                        "silver", list(layout))
+            tasks.append(lambda: self._write(
+                silver(written, self.rules.salt, self.ip_octets, keep=layout), "silver", list(layout)))
             if stats["lo"] is not None:
-                self._alerts(spark, batch_id, stats["lo"], stats["hi"], stamp_col)
+                tasks.append(lambda: self._alerts(spark, batch_id, stats["lo"], stats["hi"],
+                                                  stamp_col))
+        _run_all(tasks)
         mx = stats["mx"]
         if prior_max is not None and (mx is None or prior_max > mx):
             mx = prior_max
