@@ -105,3 +105,13 @@ def test_blacklist_screen(spark):
     # above the bound the list is joined without a broadcast, same answer
     assert [r.transaction_id for r in
             screen(df, bl, "user_id", "hits", max_broadcast_rows=0).collect()] == ["A"]
+
+
+def test_newest_and_sample_rows(spark):
+    base = datetime(2024, 1, 15, 3)
+    df = frame(spark, [txn(f"T{i}", base + minutes(i)) for i in range(5)])
+    df = df.withColumns({"ingest_time": F.col("timestamp"), "kafka_partition": F.lit(0),
+                         "kafka_offset": F.lit(1)})
+    top = reports.newest_rows(df, 3, columns=["transaction_id", "amount"]).collect()
+    assert [r.transaction_id for r in top] == ["T4", "T3", "T2"]
+    assert reports.sample_rows(df, 2).count() == 2

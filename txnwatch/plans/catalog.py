@@ -193,6 +193,14 @@ def _windows(key, duration, slide, out="txn_count", threshold=None):
     return run
 
 
+def q_newest_silver(spark, sf_dir):
+    # one ingest stamp per query: the newest rows are decided by ingest identity
+    s = silver(bronze(_tx(spark, sf_dir)), DEFAULT.salt)
+    return reports.newest_rows(s, 3, columns=["transaction_id", "user_hash", "merchant_id",
+                                              "amount", "ip_mask", "kafka_partition",
+                                              "kafka_offset"])
+
+
 def q_interval_pairs(spark, sf_dir):
     return geo_pairs(_tx(spark, sf_dir), max_gap_seconds=600, min_distance_km=1000)
 
@@ -245,4 +253,5 @@ def queries() -> dict[str, Query]:
                                             out="merchant_txn_count"),
         "sliding_user_alerts": _windows("user_id", "60 minutes", "15 minutes", threshold=2),
         "interval_pairs": q_interval_pairs,
+        "newest_silver_rows": q_newest_silver,
     }

@@ -292,4 +292,9 @@ FROM txs a JOIN txs b ON a.user_id = b.user_id
  AND a.sec - b.sec BETWEEN 0 AND 600
  AND (b."timestamp" < a."timestamp" OR (b."timestamp" = a."timestamp" AND b.transaction_id < a.transaction_id))
 WHERE {haversine('b.latitude', 'b.longitude', 'a.latitude', 'a.longitude')} > 1000.0""")
+    q["newest_silver_rows"] = _with("""
+SELECT transaction_id, sha256(user_id || '""" + SALT + """') AS user_hash, merchant_id, amount,
+       split_part(ip_address, '.', 1) || '.' || split_part(ip_address, '.', 2) || '.*.*' AS ip_mask,
+       kafka_partition, kafka_offset
+FROM txn ORDER BY kafka_partition DESC, kafka_offset DESC LIMIT 3""")
     return q

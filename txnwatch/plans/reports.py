@@ -143,3 +143,18 @@ def recall_by_rule(expected: DataFrame, alerts: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("expected"),
         F.count("hit").alias("found"),
         (F.count("hit") / F.count(F.lit(1))).alias("recall"))
+
+
+def newest_rows(table: DataFrame, n: int = 3, order_by: str = "ingest_time",
+                columns: list[str] | None = None) -> DataFrame:
+    """SRT-3 / PRJ-14: the newest ``n`` rows of Bronze or Silver (by ingest time,
+    ties by ingest identity), optionally as an analyst column subset."""
+    cols = columns or table.columns
+    tie = [c for c in ("kafka_partition", "kafka_offset") if c in table.columns]
+    order = [F.col(order_by).desc(), *[F.col(c).desc() for c in tie]]
+    return table.orderBy(*order).limit(n).select(*cols)
+
+
+def sample_rows(table: DataFrame, k: int = 5) -> DataFrame:
+    """SRT-4: any ``k`` rows, no order (a peek; plans as a local+global limit)."""
+    return table.limit(k)
