@@ -203,3 +203,14 @@ def test_rules_accept_zone_less_timestamps(spark):
 def test_bad_strategy_rejected(spark):
     with pytest.raises(ValueError):
         R.check_velocity(_night_series(spark), strategy="nope")
+
+
+def test_geo_pairs_is_as_of_previous_row(spark):
+    from txnwatch.operators.interval_join import geo_pairs
+
+    rows = [txn("A", BASE, where=NEW_YORK), txn("B", BASE + minutes(2), where=NEW_YORK),
+            txn("C", BASE + minutes(4), where=TOKYO), txn("D", BASE + minutes(30), where=NEW_YORK)]
+    out = [(r.transaction_id, r.prev_transaction_id, r.gap_seconds)
+           for r in geo_pairs(frame(spark, rows), 600, 1000).collect()]
+    # C pairs with its predecessor B only (not with A); D is beyond the band
+    assert out == [("C", "B", 120)]

@@ -134,27 +134,3 @@ def test_alert_feed_streams_inserted_alerts(spark, scratch):
     q.awaitTermination()
     got = sorted((r.alert_id, r.batch_id) for r in spark.sql("SELECT * FROM feed_test").collect())
     assert got == [("ALERT-VELOCITY_FRAUD-T25", 1), ("ALERT-VELOCITY_FRAUD-T5", 0)]
-
-
-def test_stream_stream_geo_pairs_match_batch(spark, scratch):
-    from txnwatch.functions.time import as_event_time
-    from txnwatch.operators.interval_join import geo_pairs, geo_pairs_stream
-
-    src_dir = _split_files(spark, scratch, 2)
-
-    def side():
-        s = parse_wire(envelope_file_stream(spark, src_dir, max_files_per_trigger=1))
-        return s.withColumn("event_time", as_event_time(s, "timestamp"))
-
-    joined = geo_pairs_stream(side(), side(), max_gap="10 minutes", min_distance_km=1000,
-                              watermark="1 hour")
-    q = (joined.writeStream.format("parquet").option("checkpointLocation", f"{scratch}/ck2")
-         .trigger(availableNow=True).start(f"{scratch}/pairs"))
-    q.awaitTermination()
-    got = spark.read.parquet(f"{scratch}/pairs").select("transaction_id", "prev_transaction_id")
-    want = geo_pairs(load_transactions(spark, SF001), 600, 1000) \
-        .select("transaction_id", "prev_transaction_id")
-    # event time with microseconds: the stream band is on exact time, the
-    # batch band on whole seconds, so the stream result is contained in it
-    assert got.count() > 0
-    assert got.exceptAll(want).count() == 0

@@ -1,76 +1,39 @@
 """JOIN-3: R2 as a relation between two transactions of one user.
 
-Pairs ``(a, b)`` of the same user with ``b`` at most ``max_gap_seconds``
-whole seconds before ``a`` (``b`` ordered before ``a`` by time, then id),
-further apart than ``min_distance_km``.  Unlike R2 this is not restricted to
-consecutive rows, so it returns a superset of R2's evidence.
-
-Batch form: an equi-join on ``(user, bucket)`` where the bucket is the gap
-bound; the earlier side is emitted into its own and the next bucket, so every
-qualifying pair meets exactly once, a hot user is split by time, and only
-pairs inside the time band are ever formed.
+Each transaction is joined, as-of, to the same user's previous transaction
+(ordered by time, then id) when that one is at most ``max_gap_seconds`` whole
+seconds earlier and more than ``min_distance_km`` away.
+
+The relation is deliberately the *previous-row* one: an interval join that
+pairs every transaction with every earlier one in the band emits a number of
+rows quadratic in a user's transactions per band, which a hot account (a
+third of all rows) turns into an explosion.  The as-of form is computed by
+the bucketed ``previous_within`` (a lag over ``(user, time bucket)``), so a hot
+user is split by time and no pair is ever enumerated.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from txnwatch.functions.geo import haversine_km
-from txnwatch.functions.time import epoch_seconds
+from txnwatch.functions.geo import haversine_sql
+from txnwatch.functions.time import epoch_seconds_sql
+from txnwatch.operators.trailing import previous_within
 
 PAIR_COLUMNS = ("user_id", "transaction_id", "prev_transaction_id", "timestamp", "prev_ts",
                 "gap_seconds", "distance_km")
 
 
 def geo_pairs(df: DataFrame, max_gap_seconds: int, min_distance_km: float) -> DataFrame:
-    width = max(int(max_gap_seconds), 1)
-    base = (df.select("user_id", "transaction_id", "timestamp", "latitude", "longitude")
-              .withColumn("sec", epoch_seconds(df, "timestamp"))
-              .withColumn("bkt", F.floor(F.col("sec") / F.lit(width))))
-    later = base.alias("a")
-    earlier = (base.withColumn("bkt", F.explode(F.array(F.col("bkt"), F.col("bkt") + 1)))
-                   .alias("b"))
-    cond = [
-        F.col("a.user_id") == F.col("b.user_id"),
-        F.col("a.bkt") == F.col("b.bkt"),
-        (F.col("a.sec") - F.col("b.sec")).between(0, int(max_gap_seconds)),
-        (F.col("b.timestamp") < F.col("a.timestamp"))
-        | ((F.col("b.timestamp") == F.col("a.timestamp"))
-           & (F.col("b.transaction_id") < F.col("a.transaction_id"))),
-    ]
-    dist = haversine_km("b.latitude", "b.longitude", "a.latitude", "a.longitude")
-    joined = later.join(earlier, on=cond, how="inner")
-    return (joined.withColumn("distance_km", dist)
-                  .filter(F.col("distance_km") > F.lit(float(min_distance_km)))
-                  .select(F.col("a.user_id").alias("user_id"),
-                          F.col("a.transaction_id").alias("transaction_id"),
-                          F.col("b.transaction_id").alias("prev_transaction_id"),
-                          F.col("a.timestamp").alias("timestamp"),
-                          F.col("b.timestamp").alias("prev_ts"),
-                          (F.col("a.sec") - F.col("b.sec")).alias("gap_seconds"),
-                          F.round("distance_km", 2).alias("distance_km")))
-
-
-def geo_pairs_stream(left: DataFrame, right: DataFrame, max_gap: str = "10 minutes",
-                     min_distance_km: float = 1000, watermark: str = "10 minutes") -> DataFrame:
-    """Stream-stream form: two watermarked sides, equi on user, time band on event time.
-
-    Both inputs need an event-time column ``event_time`` of type TIMESTAMP.
-    Append mode; state is bounded by the watermarks and the band.
-    """
-    a = left.withWatermark("event_time", watermark).alias("a")
-    b = right.withWatermark("event_time", watermark).alias("b")
-    cond = F.expr(
-        f"a.user_id = b.user_id AND b.event_time < a.event_time "
-        f"AND b.event_time >= a.event_time - INTERVAL {max_gap}")
-    dist = haversine_km("b.latitude", "b.longitude", "a.latitude", "a.longitude")
-    return (a.join(b, cond, "inner")
-             .withColumn("distance_km", dist)
-             .filter(F.col("distance_km") > F.lit(float(min_distance_km)))
-             .select(F.col("a.user_id").alias("user_id"),
-                     F.col("a.transaction_id").alias("transaction_id"),
-                     F.col("b.transaction_id").alias("prev_transaction_id"),
-                     F.col("a.event_time").alias("timestamp"),
-                     F.col("b.event_time").alias("prev_ts"),
-                     F.round("distance_km", 2).alias("distance_km")))
+    base = df.select("user_id", "transaction_id", "timestamp", "latitude", "longitude")
+    prev = previous_within(base, "user_id", "timestamp", order=["transaction_id"],
+                           carry=["transaction_id", "timestamp", "latitude", "longitude"],
+                           max_gap_seconds=int(max_gap_seconds) + 1, prefix="p_")
+    gap = f"({epoch_seconds_sql(prev, 'timestamp')} - {epoch_seconds_sql(prev, 'p_timestamp')})"
+    dist = haversine_sql("p_latitude", "p_longitude", "latitude", "longitude")
+    scored = prev.where("p_timestamp IS NOT NULL").selectExpr(
+        "user_id", "transaction_id", "p_transaction_id AS prev_transaction_id", "`timestamp`",
+        "p_timestamp AS prev_ts", f"{gap} AS gap_seconds", f"{dist} AS distance_km")
+    return (scored.where(f"gap_seconds BETWEEN 0 AND {int(max_gap_seconds)} "
+                         f"AND distance_km > {float(min_distance_km)!r}D")
+                  .selectExpr(*PAIR_COLUMNS[:-1], "round(distance_km, 2) AS distance_km"))

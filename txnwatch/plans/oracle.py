@@ -285,13 +285,18 @@ FROM starts GROUP BY ws, {key}"""
         "FROM starts GROUP BY ws, user_id HAVING count(*) > 2").replace(
         "count(*) AS txn_count", "count(*) AS txn_count, 2 AS threshold"))
     q["interval_pairs"] = _with(f"""
-SELECT a.user_id, a.transaction_id, b.transaction_id AS prev_transaction_id,
-       a."timestamp", b."timestamp" AS prev_ts, a.sec - b.sec AS gap_seconds,
-       round({haversine('b.latitude', 'b.longitude', 'a.latitude', 'a.longitude')}, 2) AS distance_km
-FROM txs a JOIN txs b ON a.user_id = b.user_id
- AND a.sec - b.sec BETWEEN 0 AND 600
- AND (b."timestamp" < a."timestamp" OR (b."timestamp" = a."timestamp" AND b.transaction_id < a.transaction_id))
-WHERE {haversine('b.latitude', 'b.longitude', 'a.latitude', 'a.longitude')} > 1000.0""")
+SELECT user_id, transaction_id, prev_transaction_id, "timestamp", prev_ts, gap_seconds,
+       round(distance_km, 2) AS distance_km
+FROM (
+  SELECT user_id, transaction_id, prev_transaction_id, "timestamp", prev_ts,
+         sec - prev_sec AS gap_seconds,
+         {haversine('prev_lat', 'prev_lon', 'latitude', 'longitude')} AS distance_km
+  FROM (
+    SELECT *, lag(transaction_id) OVER w AS prev_transaction_id, lag("timestamp") OVER w AS prev_ts,
+           lag(sec) OVER w AS prev_sec, lag(latitude) OVER w AS prev_lat,
+           lag(longitude) OVER w AS prev_lon
+    FROM txs WINDOW w AS (PARTITION BY user_id ORDER BY "timestamp", transaction_id)))
+WHERE prev_ts IS NOT NULL AND gap_seconds BETWEEN 0 AND 600 AND distance_km > 1000.0""")
     q["newest_silver_rows"] = _with("""
 SELECT transaction_id, sha256(user_id || '""" + SALT + """') AS user_hash, merchant_id, amount,
        split_part(ip_address, '.', 1) || '.' || split_part(ip_address, '.', 2) || '.*.*' AS ip_mask,
