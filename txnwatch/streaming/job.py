@@ -203,8 +203,8 @@ class StreamJob:
             F.to_date("timestamp").alias("event_date"), late.alias("late"))
         self._write(rows, "bronze", list(layout))
         stats = obs.get
-        # Silver, alerts and rejects depend only on what is already written,
-        # not on each other: submit them as concurrent Spark jobs.
+        # Silver, alerts, rejects and the log entry depend only on what is
+        # already written, not on each other: submit them as concurrent jobs.
         tasks = []
         if stats["total"] > stats["n"]:
             _, rejects = split_valid(parse_wire(batch_df, keep_raw=True))
@@ -218,13 +218,15 @@ class StreamJob:
             if stats["lo"] is not None:
                 tasks.append(lambda: self._alerts(spark, batch_id, stats["lo"], stats["hi"],
                                                   stamp_col))
-        _run_all(tasks)
         mx = stats["mx"]
         if prior_max is not None and (mx is None or prior_max > mx):
             mx = prior_max
         lo, hi = stats["lo"], stats["hi"]
+        # The log entry depends only on the observed statistics, which a replay
+        # reproduces exactly, so it can be written alongside the other jobs.
         entry = spark.createDataFrame([(int(batch_id), stamp, mx, lo, hi)], _LOG_SCHEMA)
-        self._write(entry.coalesce(1), "_batches", ["batch_id"])
+        tasks.append(lambda: self._write(entry.coalesce(1), "_batches", ["batch_id"]))
+        _run_all(tasks)
         self._seen[int(batch_id)] = (stamp, mx, lo, hi)
 
     def _alerts(self, spark, batch_id: int, lo: int, hi: int, stamp_col) -> None:
