@@ -33,11 +33,6 @@ def epoch_seconds(df: DataFrame, name: str) -> Column:
     return F.unix_seconds(F.col(name).cast("timestamp"))
 
 
-def hour_of(df: DataFrame, name: str) -> Column:
-    """Hour of day; zone-less times use their wall clock, zoned ones the session zone (pin UTC)."""
-    return F.hour(F.col(name))
-
-
 def as_event_time(df: DataFrame, name: str) -> Column:
     """A zoned ``TIMESTAMP`` usable by ``withWatermark`` (NTZ read as UTC)."""
     if _is_ntz(df, name):

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnwatch.functions.masking import ip_mask, pseudonym
-from txnwatch.schemas import BRONZE_COLUMNS, SILVER_COLUMNS
+from txnwatch.schemas import BRONZE_COLUMNS
 
 FLAT_COLUMNS = BRONZE_COLUMNS[:-1]
 
