@@ -134,3 +134,17 @@ def test_alert_feed_streams_inserted_alerts(spark, scratch):
     q.awaitTermination()
     got = sorted((r.alert_id, r.batch_id) for r in spark.sql("SELECT * FROM feed_test").collect())
     assert got == [("ALERT-VELOCITY_FRAUD-T25", 1), ("ALERT-VELOCITY_FRAUD-T5", 0)]
+
+
+def test_batch_log_stays_bounded_and_restarts_from_recent_entries(spark, scratch):
+    job = StreamJob(scratch, rules=RuleSet())
+    for b in range(6):   # one transaction per batch, an hour apart
+        job.process_batch(_env(spark, [(b, "U1", 3600 * b, 10.0)]), b)
+    assert len(job._seen) <= 2 and 5 in job._seen
+    assert read_table(spark, scratch, "_batches").count() == 6
+    restarted = StreamJob(scratch, rules=RuleSet())
+    seen = restarted._load_log(spark)
+    assert 5 in seen and len(seen) <= 2
+    # the restarted job keeps the watermark: a row two hours back is late
+    restarted.process_batch(_env(spark, [(99, "U2", 3600 * 5 - 7200, 10.0)]), 6)
+    assert [r.transaction_id for r in late_rows(spark, scratch).collect()] == ["T99"]

@@ -24,8 +24,9 @@ in-order input; a late row slipping between two others can leave an extra
 R2 alert behind, never a missing one.
 
 Layout under ``root``: ``bronze``, ``silver``, ``alerts``, ``rejects`` (only
-written when a batch has any), ``_batches`` (one row per batch: stamp, max
-event time so far, event range of its accepted rows), ``_checkpoints/<name>``.
+written when a batch has any), ``_batches`` (flat append log, one row per
+batch: stamp, max event time so far, event range of its accepted rows),
+``_checkpoints/<name>``.
 Bronze and Silver are partitioned ``batch_id / event_date / late`` -- too-late
 rows are kept but sit under ``late=true`` (``late_rows`` reads them) -- alerts
 ``batch_id / event_date``.  Batch-major layout lets a micro-batch read exactly
@@ -118,20 +119,49 @@ class StreamJob:
         return read_table(spark, self.root, table)
 
     # -- per-batch log -------------------------------------------------------
-    # One row per batch (stamp, max event second so far).  It is read once
-    # after a (re)start and then kept on the driver, where foreachBatch runs.
+    # One row per batch (stamp, max event second so far, accepted event range),
+    # appended to a flat table; a replay appends an identical row.  After a
+    # (re)start only the entries that can still matter are collected, and the
+    # driver-side copy is pruned after every batch, so neither restart cost nor
+    # driver memory grows with the age of the stream.
     _seen: dict = field(default=None, init=False, repr=False)
 
+    def _relevance_floor(self, max_event_sec: int | None) -> int | None:
+        """Entries whose accepted range ends before this cannot meet any future
+        batch's look-back (future rows are at most ``delay`` behind the max)."""
+        if max_event_sec is None:
+            return None
+        span = self.lookback_seconds()
+        return max_event_sec - _interval_seconds(self.watermark) - 2 * span - 1
+
     def _load_log(self, spark: SparkSession) -> dict:
         if self._seen is None:
+            self._seen = {}
             try:
-                rows = self.table(spark, "_batches").collect()
+                log = self.table(spark, "_batches")
             except AnalysisException:
-                rows = []
+                return self._seen
+            top = log.agg(F.max("batch_id").alias("b"), F.max("max_event_sec").alias("mx")).first()
+            if top["b"] is None:
+                return self._seen
+            floor = self._relevance_floor(top["mx"])
+            keep = F.col("batch_id") >= F.lit(top["b"])
+            if floor is not None:
+                keep = keep | (F.col("hi_sec") >= F.lit(floor))
+            rows = log.filter(keep).dropDuplicates(["batch_id"]).collect()
             self._seen = {r["batch_id"]: (r["stamp"], r["max_event_sec"], r["lo_sec"], r["hi_sec"])
                           for r in rows}
         return self._seen
 
+    def _prune_log(self) -> None:
+        latest = max(self._seen)
+        floor = self._relevance_floor(self._seen[latest][1])
+        if floor is None:
+            return
+        for b in [b for b, (_, _, _, hi) in self._seen.items()
+                  if b != latest and (hi is None or hi < floor)]:
+            del self._seen[b]
+
     def _prior(self, spark: SparkSession, batch_id: int):
         """(stamp already given to this batch or None, max event second before it)."""
         seen = self._load_log(spark)
@@ -225,9 +255,10 @@ class StreamJob:
         # The log entry depends only on the observed statistics, which a replay
         # reproduces exactly, so it can be written alongside the other jobs.
         entry = spark.createDataFrame([(int(batch_id), stamp, mx, lo, hi)], _LOG_SCHEMA)
-        tasks.append(lambda: self._write(entry.coalesce(1), "_batches", ["batch_id"]))
+        tasks.append(lambda: entry.coalesce(1).write.mode("append").parquet(self.path("_batches")))
         _run_all(tasks)
         self._seen[int(batch_id)] = (stamp, mx, lo, hi)
+        self._prune_log()
 
     def _alerts(self, spark, batch_id: int, lo: int, hi: int, stamp_col) -> None:
         # Everything below reads the Bronze partitions back (this batch's was
