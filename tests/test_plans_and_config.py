@@ -83,3 +83,13 @@ def test_rejects_keep_the_raw_payload(spark, scratch):
     StreamJob(scratch).process_batch(raw, 0)
     rows = read_table(spark, scratch, "rejects").collect()
     assert [(r.json_str, r.kafka_offset) for r in rows] == [("{broken", 1)]
+
+
+def test_sizing_for_large_and_small_inputs():
+    from txnwatch.session import sizing_conf
+
+    big = sizing_conf(100 * 2**40, total_cores=8000)            # 100 TB, 1000 x 8 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(big["spark.sql.shuffle.partitions"]) % 8000 == 0
+    small = sizing_conf(2 * 2**20, total_cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16

@@ -40,7 +40,7 @@ def _split_files(spark, scratch, k):
     return f"{scratch}/in"
 
 
-@pytest.mark.parametrize("k", [1, 3])
+@pytest.mark.parametrize("k", [1, 3, 10])
 def test_stream_equals_batch(spark, scratch, k):
     src = envelope_file_stream(spark, _split_files(spark, scratch, k), max_files_per_trigger=1)
     job = StreamJob(f"{scratch}/out", rules=WIDE)

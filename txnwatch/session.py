@@ -19,17 +19,43 @@ CORE_CONF = {
 }
 
 
+MB = 1 << 20
+
+
+def sizing_conf(input_bytes: int, total_cores: int, split_bytes: int = 256 * MB) -> dict:
+    """Partition sizing for a run over ``input_bytes`` on ``total_cores`` cores.
+
+    Scans read ``split_bytes`` splits; shuffles start with about one partition
+    per split (at least 2 per core, at most 200,000), so no shuffle partition
+    has to hold more than a split's worth of rows and spills stay bounded.  AQE
+    then coalesces small partitions towards half a split and splits skewed ones.
+    """
+    wanted = -(-int(input_bytes) // int(split_bytes))
+    shuffle = min(max(wanted, 2 * int(total_cores)), 200_000)
+    shuffle = -(-shuffle // int(total_cores)) * int(total_cores)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(split_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(split_bytes * 2),
+    }
+
+
 def build_session(master: str | None = None, app_name: str = "txnwatch",
-                  shuffle_partitions: int | None = None, conf: dict | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, conf: dict | None = None,
+                  input_bytes: int | None = None, total_cores: int | None = None) -> SparkSession:
     """Get or create a session with the core settings applied.
 
     On a cluster leave ``master`` unset so spark-submit decides; tests pass
-    ``local[N]``.
+    ``local[N]``.  Given ``input_bytes`` and ``total_cores`` the partition
+    sizing follows :func:`sizing_conf`.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     settings = dict(CORE_CONF)
+    if input_bytes and total_cores:
+        settings.update(sizing_conf(input_bytes, total_cores))
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
