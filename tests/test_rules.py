@@ -189,7 +189,8 @@ def test_all_rules_columns_do_not_depend_on_enabled_rules(spark):
     off = dict(enabled=False)
     full = R.apply_all_rules(_night_series(spark))
     only_r3 = R.apply_all_rules(_night_series(spark), RuleSet().replace(r1=off, r2=off, r4=off))
-    assert full.schema == only_r3.schema
+    shape = lambda d: [(f.name, f.dataType) for f in d.schema.fields]
+    assert shape(full) == shape(only_r3)
 
 
 def test_rules_accept_zone_less_timestamps(spark):

@@ -5,8 +5,16 @@ from datetime import datetime, timedelta
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import (
+    DoubleType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
+from txnwatch.config import RuleSet
 from txnwatch.operators.trailing import previous_within, trailing_count, trailing_distinct
 
 SCHEMA = StructType([
@@ -62,3 +70,33 @@ def test_previous_within(spark, rows, gap):
             assert got[i] == p
         else:
             assert got[i] in (None, p)
+
+
+FUSED_SCHEMA = StructType([
+    StructField("transaction_id", StringType()), StructField("user_id", StringType()),
+    StructField("merchant_id", StringType()), StructField("amount", DoubleType()),
+    StructField("timestamp", TimestampType()),
+    StructField("latitude", DoubleType()), StructField("longitude", DoubleType()),
+])
+PLACES = [(40.7128, -74.0060), (35.6762, 139.6503), (51.5074, -0.1278), (None, None)]
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(st.sampled_from(["hot", "hot", "hot", "a"]),
+                               st.integers(0, 900), st.sampled_from([0, 500_000]),
+                               st.integers(0, 3)), min_size=1, max_size=50),
+       w_min=st.sampled_from([0.5, 2, 5]), gap_min=st.sampled_from([1, 2, 5, 8]),
+       thr=st.sampled_from([1, 2]))
+def test_fused_user_rules_equal_plain_window(spark, rows, w_min, gap_min, thr):
+    from txnwatch.operators.rules import apply_all_rules
+
+    data = [(f"T{i:03d}", u, "M1", 1.0, T0 + timedelta(seconds=s, microseconds=us), *PLACES[p])
+            for i, (u, s, us, p) in enumerate(rows)]
+    df = spark.createDataFrame(data, FUSED_SCHEMA)
+    rules = RuleSet().replace(r1=dict(window_minutes=w_min, threshold=thr),
+                              r2=dict(max_interval_minutes=gap_min, max_distance_km=100),
+                              r3=dict(enabled=False), r4=dict(enabled=False))
+    fused = apply_all_rules(df, rules)
+    plain = apply_all_rules(df, rules, strategy="window")
+    assert "__copy" in fused._jdf.queryExecution().executedPlan().toString()
+    assert fused.exceptAll(plain).count() == 0 and plain.exceptAll(fused).count() == 0

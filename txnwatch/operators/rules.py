@@ -27,6 +27,7 @@ from txnwatch.config import (
 from txnwatch.functions.geo import haversine_sql
 from txnwatch.functions.masking import sql_string
 from txnwatch.functions.time import epoch_seconds_sql, quote
+from txnwatch.operators.fused import velocity_and_geo_jump
 from txnwatch.operators.trailing import previous_within, trailing_count, trailing_distinct
 
 # Evidence columns each rule adds, in the order they appear in a hit row.
@@ -149,10 +150,17 @@ def apply_all_rules(df: DataFrame, rules: RuleSet | None = None, strategy: str =
     base = df.selectExpr("*", hashed)
     columns = _hit_columns(base)
     branches = []
-    if rules.r1.enabled:
+    fuse = (strategy == "bucketed" and rules.r1.enabled and rules.r2.enabled
+            and source("R1") is source("R2"))
+    if fuse:
+        # one (user, bucket) exchange for both account-keyed rules
+        both = velocity_and_geo_jump(source("R1"), rules.r1.window_minutes, rules.r1.threshold,
+                                     rules.r2.max_distance_km, rules.r2.max_interval_minutes)
+        branches.append(both.selectExpr("*", hashed))
+    if rules.r1.enabled and not fuse:
         branches.append(tag(check_velocity(source("R1"), rules.r1.window_minutes,
                                            rules.r1.threshold, strategy), TAG_VELOCITY))
-    if rules.r2.enabled:
+    if rules.r2.enabled and not fuse:
         branches.append(tag(check_geo_jump(source("R2"), rules.r2.max_distance_km,
                                            rules.r2.max_interval_minutes, strategy), TAG_GEO_JUMP))
     if rules.r3.enabled:
