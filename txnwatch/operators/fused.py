@@ -11,13 +11,16 @@ R2's gap bound G), and every row is emitted as up to three copies:
   row can still matter there: its second plus ``max(W, G)`` reaches the next
   bucket.  Markers are therefore a time-suffix of bucket ``b``, so the true
   predecessor of any row of ``b + 1`` that is within G is present;
-* copy 2, an expiry event in ``b`` at ``sec + W + 1`` when the row leaves R1's
-  frame before its bucket ends (only possible when ``D > W``).
+* copy 2, an expiry event at ``sec + W + 1``, in ``b`` when the row leaves R1's
+  frame before its bucket ends (only possible when ``D > W``), else in
+  ``b + 1`` next to its marker.
 
-R1's count is a running sum (+1 per row, -1 per expiry, markers counted once
-for the whole partition and expiring at ``sec + W + 1``); R2's previous row is
-the last preceding non-expiry row (an incremental ``IGNORE NULLS`` frame).
-Both are exact, and equal the separate bucketed operators.
+R1's count is a running sum (+1 per row at its own second, +1 per marker
+whose row is still in R1's frame when the next bucket starts, -1 per expiry
+event at ``sec + W + 1`` in whichever of the two buckets that second falls);
+R2's previous row is the last preceding row or marker (an incremental
+``IGNORE NULLS`` frame).  Both windows use the same sort order, so the shared
+partition is sorted once.  Both are exact, and equal the separate operators.
 """
 
 from __future__ import annotations
@@ -46,26 +49,35 @@ def velocity_and_geo_jump(df: DataFrame, window_minutes: float, threshold: int,
     doubled = df.selectExpr(*map(quote, cols), f"{sec} AS {_SEC}",
                             f"explode(array(0, 1, 2)) AS {_COPY}")
     end = f"(floor({_SEC} / {width}) + 1) * {width}"        # first second of the next bucket
-    needed = (f"{_COPY} = 0 OR ({_COPY} = 1 AND {_SEC} + {reach} >= {end}) "
-              f"OR ({_COPY} = 2 AND {_SEC} + {w + 1} < {end})")
+    marker = f"{_SEC} + {reach} >= {end}"
+    # expiry event: inside the own bucket, or in the next one next to its marker
+    # A marker counts for R1 only while the row is still in R1's frame when the
+    # next bucket starts; only then does it need an expiry event there (and not
+    # at all if that falls past the next bucket).
+    r1_marker = f"{_SEC} + {w} >= {end}"
+    needed = (f"{_COPY} = 0 OR ({_COPY} = 1 AND {marker}) "
+              f"OR ({_COPY} = 2 AND ({_SEC} + {w + 1} < {end} "
+              f"OR ({r1_marker} AND {_SEC} + {w + 1} < {end} + {width})))")
+    bucket = (f"CASE {_COPY} WHEN 0 THEN floor({_SEC} / {width}) WHEN 1 THEN floor({_SEC} / {width}) + 1 "
+              f"ELSE floor(({_SEC} + {w + 1}) / {width}) END AS {_BKT}")
     marker_keep = {"user_id", "transaction_id", "timestamp", "latitude", "longitude"}
     shaped = doubled.where(needed).selectExpr(
         *[quote(c) if c == "user_id" else
           (f"CASE WHEN {_COPY} <= 1 THEN {quote(c)} END AS {quote(c)}" if c in marker_keep else
            f"CASE WHEN {_COPY} = 0 THEN {quote(c)} END AS {quote(c)}") for c in cols],
-        _SEC, _COPY,
-        f"floor({_SEC} / {width}) + CASE WHEN {_COPY} = 1 THEN 1 ELSE 0 END AS {_BKT}",
-        f"CASE WHEN {_COPY} = 0 THEN {_SEC} ELSE {_SEC} + {w + 1} END AS {_T}",
-        f"CASE WHEN {_COPY} = 0 THEN 1 ELSE -1 END AS {_W}")
+        _SEC, _COPY, bucket,
+        f"CASE WHEN {_COPY} = 2 THEN {_SEC} + {w + 1} ELSE {_SEC} END AS {_T}",
+        f"CASE {_COPY} WHEN 0 THEN 1 WHEN 1 THEN CASE WHEN {r1_marker} THEN 1 ELSE 0 END "
+        f"ELSE -1 END AS {_W}")
+    # One sort order serves both windows: (t, time, id).  Rows and markers sit
+    # at their own second, expiry events (null time and id) at sec + W + 1.
     part = f"PARTITION BY user_id, {_BKT}"
-    count = (f"CAST(sum({_W}) OVER ({part} ORDER BY {_T} RANGE BETWEEN UNBOUNDED PRECEDING AND "
-             f"CURRENT ROW) + sum(CASE WHEN {_COPY} = 1 THEN 1 ELSE 0 END) OVER ({part} ORDER BY "
-             f"{_T} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS BIGINT) AS txn_count")
     prev = (f"last(CASE WHEN {_COPY} <= 1 THEN named_struct('lat', latitude, 'lon', longitude, "
-            f"'ts', `timestamp`, 'sec', {_SEC}) END, true) OVER ({part} ORDER BY "
-            f"CASE WHEN {_COPY} = 2 THEN NULL ELSE `timestamp` END, transaction_id "
-            f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS __prev")
-    scored = shaped.selectExpr("*", count, prev).where(f"{_COPY} = 0").selectExpr(
+            f"'ts', `timestamp`, 'sec', {_SEC}) END, true) OVER ({part} ORDER BY {_T}, "
+            f"`timestamp`, transaction_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS __prev")
+    count = (f"CAST(sum({_W}) OVER ({part} ORDER BY {_T} RANGE BETWEEN UNBOUNDED PRECEDING AND "
+             f"CURRENT ROW) AS BIGINT) AS txn_count")
+    scored = shaped.selectExpr("*", prev).selectExpr("*", count).where(f"{_COPY} = 0").selectExpr(
         *map(quote, cols), "txn_count", "__prev.lat AS prev_lat", "__prev.lon AS prev_lon",
         "__prev.ts AS prev_ts", f"({_SEC} - __prev.sec) / 60.0D AS time_diff_minutes")
     scored = scored.selectExpr(
