@@ -148,3 +148,11 @@ def test_batch_log_stays_bounded_and_restarts_from_recent_entries(spark, scratch
     # the restarted job keeps the watermark: a row two hours back is late
     restarted.process_batch(_env(spark, [(99, "U2", 3600 * 5 - 7200, 10.0)]), 6)
     assert [r.transaction_id for r in late_rows(spark, scratch).collect()] == ["T99"]
+
+
+def test_empty_micro_batch_is_logged_and_harmless(spark, scratch):
+    job = StreamJob(scratch, rules=RuleSet())
+    job.process_batch(spark.createDataFrame([], ENVELOPE), 0)
+    job.process_batch(_env(spark, [(i, "U1", 60 * i, 100.0) for i in range(6)]), 1)
+    assert sorted(r.batch_id for r in read_table(spark, scratch, "_batches").collect()) == [0, 1]
+    assert [r.transaction_id for r in read_table(spark, scratch, "alerts").collect()] == ["T5"]
