@@ -116,22 +116,22 @@ def to_alerts(hits: DataFrame, rules: RuleSet | None = None, alert_time: Column
                         stamp.alias("alert_time"))
 
 
-# Paths inside ``trigger_detail`` that reports and tests read back.
+# Fields of ``trigger_detail`` that reports and tests read back, with types.
 DETAIL_FIELDS = {
-    "detail_rule": ("$.rule", "string"),
-    "detail_txn_count": ("$.txn_count", "bigint"),
-    "detail_distance_km": ("$.distance_km", "double"),
-    "detail_time_diff_minutes": ("$.time_diff_minutes", "double"),
-    "detail_amount": ("$.amount", "double"),
-    "detail_merchant_txn_count": ("$.merchant_txn_count", "bigint"),
-    "detail_merchant_id": ("$.merchant_id", "string"),
-    "detail_threshold": ("$.threshold", "int"),
+    "detail_rule": ("rule", "string"),
+    "detail_txn_count": ("txn_count", "bigint"),
+    "detail_distance_km": ("distance_km", "double"),
+    "detail_time_diff_minutes": ("time_diff_minutes", "double"),
+    "detail_amount": ("amount", "double"),
+    "detail_merchant_txn_count": ("merchant_txn_count", "bigint"),
+    "detail_merchant_id": ("merchant_id", "string"),
+    "detail_threshold": ("threshold", "int"),
 }
 
 
 def explode_detail(alerts: DataFrame) -> DataFrame:
-    """Read the JSON detail back into typed columns (one parse per field)."""
-    return alerts.withColumns({
-        name: F.get_json_object("trigger_detail", path).cast(dtype)
-        for name, (path, dtype) in DETAIL_FIELDS.items()
-    })
+    """Read the JSON detail back into typed columns (one parse per row)."""
+    schema = ", ".join(f"{field} {dtype}" for field, dtype in DETAIL_FIELDS.values())
+    parsed = alerts.selectExpr("*", f"from_json(trigger_detail, '{schema}') AS __detail")
+    return parsed.selectExpr("*", *[f"__detail.{field} AS {name}"
+                                    for name, (field, _) in DETAIL_FIELDS.items()]).drop("__detail")
