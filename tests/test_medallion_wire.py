@@ -77,3 +77,13 @@ def test_binary_payload_decodes(spark):
                                 "value binary, partition int, offset long")
     row = parse_wire(raw).collect()[0]
     assert row.transaction_id == "T9" and row.kafka_offset == 7
+
+
+def test_broker_source_is_configured_and_needs_the_connector(spark):
+    import pytest
+
+    from txnwatch.sources.streams import broker_stream
+
+    # no Kafka connector on this classpath: the reader resolves the format lazily
+    with pytest.raises(Exception, match="(?i)kafka"):
+        broker_stream(spark, "broker:9092", "txns", max_offsets_per_trigger=1000)
