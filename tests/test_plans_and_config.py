@@ -93,3 +93,15 @@ def test_sizing_for_large_and_small_inputs():
     assert int(big["spark.sql.shuffle.partitions"]) % 8000 == 0
     small = sizing_conf(2 * 2**20, total_cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_all_rules_uses_one_exchange_per_key(spark):
+    import re
+
+    plan = _plan(apply_all_rules(load_transactions(spark, SF001), RuleSet()))
+    keyed = re.findall(r"hashpartitioning\((\w+)#\d+L?, __bkt", plan)
+    assert sorted(keyed) == ["merchant_id", "user_id"]
+    separate = _plan(apply_all_rules(load_transactions(spark, SF001), RuleSet(),
+                                     fuse_user_rules=False))
+    assert sorted(re.findall(r"hashpartitioning\((\w+)#\d+L?, __bkt", separate)) == [
+        "merchant_id", "user_id", "user_id"]
