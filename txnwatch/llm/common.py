@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import gc
 import tempfile
 
 import numpy as np
@@ -37,12 +38,24 @@ def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inn
     return left.withColumn("_z", z).join(right.withColumn("_z", z), [*on, "_z"], how).drop("_z")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint below spark.checkpoint.dir (a scratch folder only where none is set)."""
-    sc = df.sparkSession.sparkContext
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder that spark.checkpoint.dir names; a scratch folder of this machine only where none is set."""
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-checkpoint-"))
-    return df.checkpoint()
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-checkpoint-"))
+    return spark.conf.get("spark.checkpoint.dir", None) or sc._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint below checkpoint_folder.
+
+    The garbage collection afterwards lets Spark's cleaner drop the shuffle files of what was cut off.
+    """
+    checkpoint_folder(df.sparkSession)
+    out = df.checkpoint()
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
 
 
 def buffers(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:

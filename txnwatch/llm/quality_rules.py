@@ -30,15 +30,15 @@ class Rule:
 #: Measures: SQL over the counted columns. Null where the denominator is zero.
 MEASURES = {
     "words": "n_words",
-    "mean_word_chars": "word_chars / n_words",
-    "symbols_per_word": "n_symbols / n_words",
-    "stop_word_share": "n_stop / n_words",
-    "letter_share": "n_letters / word_chars",
-    "upper_share": "n_upper / n_letters",
-    "repeated_word_share": "n_repeat_words / n_words",
-    "repeated_line_share": "n_dup_lines / n_lines",
-    "ellipsis_line_share": "n_ellipsis / n_lines",
-    "bullet_line_share": "n_bullets / n_lines",
+    "mean_word_chars": "word_chars / nullif(n_words, 0)",
+    "symbols_per_word": "n_symbols / nullif(n_words, 0)",
+    "stop_word_share": "n_stop / nullif(n_words, 0)",
+    "letter_share": "n_letters / nullif(word_chars, 0)",
+    "upper_share": "n_upper / nullif(n_letters, 0)",
+    "repeated_word_share": "n_repeat_words / nullif(n_words, 0)",
+    "repeated_line_share": "n_dup_lines / nullif(n_lines, 0)",
+    "ellipsis_line_share": "n_ellipsis / nullif(n_lines, 0)",
+    "bullet_line_share": "n_bullets / nullif(n_lines, 0)",
 }
 
 RULES = (
@@ -61,11 +61,11 @@ _OUT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def compile_rules(rules: Sequence[Rule]) -> dict[str, str]:
-    """Each rule as a SQL condition that holds if the document passes."""
+    """Each rule as a SQL condition that holds if the document passes; it reads the same in Spark and in ANSI engines."""
     out = {}
     for r in rules:
-        m = f"({MEASURES[r.measure]})"
-        bounds = [f"{m} >= {r.low!r}D"] * (r.low is not None) + [f"{m} <= {r.high!r}D"] * (r.high is not None)
+        m = f"CAST({MEASURES[r.measure]} AS double)"
+        bounds = [f"{m} >= {r.low!r}"] * (r.low is not None) + [f"{m} <= {r.high!r}"] * (r.high is not None)
         out[r.name] = f"coalesce({' AND '.join(bounds) or 'true'}, true)"
     return out
 
