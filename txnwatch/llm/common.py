@@ -38,6 +38,16 @@ def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inn
     return left.withColumn("_z", z).join(right.withColumn("_z", z), [*on, "_z"], how).drop("_z")
 
 
+def where_computed(df: DataFrame, condition: Column | str) -> DataFrame:
+    """``where`` on columns that are dear to compute, after they are computed.
+
+    The optimizer moves a plain filter below the projections and copies their expressions into it, loops included; a
+    condition on a non-deterministic column stays where it is. The number only serves that and decides nothing.
+    """
+    df = df.withColumn("_n", F.monotonically_increasing_id())
+    return df.where((F.expr(condition) if isinstance(condition, str) else condition) & (F.col("_n") >= 0)).drop("_n")
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder that spark.checkpoint.dir names; a scratch folder of this machine only where none is set."""
     sc = spark.sparkContext

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnwatch.llm.common import split_join, text_key
+from txnwatch.llm.common import split_join, text_key, where_computed
 
 WINDOW = 10
 #: Posting lists that a window intersects before words are compared.
@@ -107,4 +107,4 @@ def report(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", **names) -> DataFrame:
     """The rows of ``docs`` that hold no whole window of an item, with all their columns."""
-    return contaminated(docs, items, text, **names).where("size(hits) = 0").select("_row.*")
+    return where_computed(contaminated(docs, items, text, **names), "size(hits) = 0").select("_row.*")

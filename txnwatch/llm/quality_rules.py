@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txnwatch.llm.common import where_computed
+
 #: Frequent short words of the languages served (fixed values).
 STOP_WORDS = (
     "the of and to in is that it for was on with as by this be from or are an "
@@ -128,4 +130,4 @@ def apply_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "tex
 def filter_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns, in one pass without a join."""
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col(text).alias("_text"))
-    return apply_rules(whole, rules, "_text", ("_row",)).where("kept").select("_row.*")
+    return where_computed(apply_rules(whole, rules, "_text", ("_row",)), "kept").select("_row.*")
