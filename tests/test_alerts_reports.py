@@ -102,9 +102,6 @@ def test_blacklist_screen(spark):
     bl = spark.createDataFrame([("U1",), ("U1",), (None,)], "user_id string")
     assert [r.transaction_id for r in screen(df, bl, "user_id", "hits").collect()] == ["A"]
     assert sorted(r.transaction_id for r in screen(df, bl, "user_id", "pass").collect()) == ["B", "C"]
-    # above the bound the list is joined without a broadcast, same answer
-    assert [r.transaction_id for r in
-            screen(df, bl, "user_id", "hits", max_broadcast_rows=0).collect()] == ["A"]
 
 
 def test_newest_and_sample_rows(spark):

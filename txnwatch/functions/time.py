@@ -48,10 +48,11 @@ def quote(name: str) -> str:
 def epoch_seconds_sql(df: DataFrame, name: str) -> str:
     """SQL text of :func:`epoch_seconds` (whole seconds, floor).
 
-    Zone-less times are read as UTC through the session zone, which the
-    session builder pins to UTC.
+    Zone-less times are read as UTC, whatever the session's zone.
     """
     dtype = df.schema[name].dataType
     if isinstance(dtype, NumericType):
         return f"CAST({quote(name)} AS BIGINT)"
-    return f"unix_seconds(CAST({quote(name)} AS TIMESTAMP))"
+    if isinstance(dtype, TimestampNTZType):
+        return f"timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', {quote(name)})"
+    return f"unix_seconds({quote(name)})"

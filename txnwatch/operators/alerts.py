@@ -54,24 +54,10 @@ def _only(tag: str, column: str | Column) -> Column:
     return F.when(F.col("rule_type") == tag, c)
 
 
-_DETAIL_CACHE: dict = {}
-
-
 def detail_struct(rules: RuleSet) -> Column:
     """PRJ-11: label, description, thresholds, then the rule's runtime evidence.
 
-    The expression depends only on the rule set, so it is built once per rule
-    set and session and reused (streaming builds alerts every micro-batch).
     """
-    from pyspark import SparkContext
-
-    key = (rules, id(SparkContext._active_spark_context))
-    if key not in _DETAIL_CACHE:
-        _DETAIL_CACHE[key] = _build_detail(rules)
-    return _DETAIL_CACHE[key]
-
-
-def _build_detail(rules: RuleSet) -> Column:
     by_tag = {TAG_VELOCITY: rules.r1, TAG_GEO_JUMP: rules.r2,
               TAG_NIGHT_LARGE: rules.r3, TAG_MERCHANT_VELOCITY: rules.r4}
     label = {t: f"{RULE_IDS[t]}: {r.name} — {r.description}" for t, r in by_tag.items()}
@@ -100,8 +86,9 @@ def _build_detail(rules: RuleSet) -> Column:
     )
 
 
-def to_alerts(hits: DataFrame, rules: RuleSet | None = None, alert_time: Column | None = None) -> DataFrame:
-    """PRJ-10: the 8-column alert row.
+def to_alerts(hits: DataFrame, rules: RuleSet | None = None, alert_time: Column | None = None,
+              keep: tuple[str, ...] = ()) -> DataFrame:
+    """PRJ-10: the 8-column alert row; ``keep`` names columns of the hit to carry behind it.
 
     ``alert_time`` defaults to the query's ``current_timestamp()``; streaming
     passes one stamp per micro-batch so a replay writes identical rows.
@@ -111,9 +98,9 @@ def to_alerts(hits: DataFrame, rules: RuleSet | None = None, alert_time: Column
     keyed = hits.selectExpr(f"concat_ws('-', '{ALERT_PREFIX}', rule_type, transaction_id) AS alert_id",
                             "rule_type", "transaction_id", "user_hash", "amount", "`timestamp`",
                             "txn_count", "distance_km", "time_diff_minutes",
-                            "merchant_txn_count", "merchant_id")
+                            "merchant_txn_count", "merchant_id", *keep)
     return keyed.select(*ALERT_COLUMNS[:6], F.to_json(detail_struct(rules)).alias("trigger_detail"),
-                        stamp.alias("alert_time"))
+                        stamp.alias("alert_time"), *keep)
 
 
 # Fields of ``trigger_detail`` that reports and tests read back, with types.

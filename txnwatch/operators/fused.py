@@ -60,7 +60,8 @@ def velocity_and_geo_jump(df: DataFrame, window_minutes: float, threshold: int,
               f"OR ({r1_marker} AND {_SEC} + {w + 1} < {end} + {width})))")
     bucket = (f"CASE {_COPY} WHEN 0 THEN floor({_SEC} / {width}) WHEN 1 THEN floor({_SEC} / {width}) + 1 "
               f"ELSE floor(({_SEC} + {w + 1}) / {width}) END AS {_BKT}")
-    marker_keep = {"user_id", "transaction_id", "timestamp", "latitude", "longitude"}
+    ties = [c for c in ("kafka_partition", "kafka_offset") if c in cols]
+    marker_keep = {"user_id", "transaction_id", "timestamp", "latitude", "longitude", *ties}
     shaped = doubled.where(needed).selectExpr(
         *[quote(c) if c == "user_id" else
           (f"CASE WHEN {_COPY} <= 1 THEN {quote(c)} END AS {quote(c)}" if c in marker_keep else
@@ -74,7 +75,7 @@ def velocity_and_geo_jump(df: DataFrame, window_minutes: float, threshold: int,
     part = f"PARTITION BY user_id, {_BKT}"
     prev = (f"last(CASE WHEN {_COPY} <= 1 THEN named_struct('lat', latitude, 'lon', longitude, "
             f"'ts', `timestamp`, 'sec', {_SEC}) END, true) OVER ({part} ORDER BY {_T}, "
-            f"`timestamp`, transaction_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS __prev")
+            f"{', '.join(['`timestamp`', 'transaction_id', *ties])} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS __prev")
     count = (f"CAST(sum({_W}) OVER ({part} ORDER BY {_T} RANGE BETWEEN UNBOUNDED PRECEDING AND "
              f"CURRENT ROW) AS BIGINT) AS txn_count")
     scored = shaped.selectExpr("*", prev).selectExpr("*", count).where(f"{_COPY} = 0").selectExpr(

@@ -39,6 +39,10 @@ EVIDENCE = {
 }
 
 
+# Breaks ties between rows of one user, second and transaction id, where present.
+INGEST_IDENTITY = ("kafka_partition", "kafka_offset")
+
+
 def _seconds(minutes: float) -> int:
     return int(round(float(minutes) * 60))
 
@@ -79,7 +83,8 @@ def check_geo_jump(df: DataFrame, max_distance_km: float = 1000, max_interval_mi
     """
     gap_limit = float(max_interval_minutes) * 60
     with_prev = previous_within(
-        df, "user_id", "timestamp", order=["transaction_id"],
+        df, "user_id", "timestamp",
+        order=["transaction_id", *(c for c in INGEST_IDENTITY if c in df.columns)],
         carry=["latitude", "longitude", "timestamp"],
         max_gap_seconds=int(gap_limit) + 1, prefix="prev_", strategy=strategy)
     with_prev = with_prev.withColumnsRenamed({"prev_latitude": "prev_lat",
@@ -97,8 +102,9 @@ def check_geo_jump(df: DataFrame, max_distance_km: float = 1000, max_interval_mi
 def check_night_large(df: DataFrame, min_amount: float = 5000, start_hour: int = 0,
                       end_hour: int = 5) -> DataFrame:
     """R3: ``amount > min_amount`` and ``start_hour <= hour(timestamp) < end_hour``."""
-    return df.where(f"amount > {float(min_amount)!r}D AND hour(`timestamp`) >= {int(start_hour)} "
-                    f"AND hour(`timestamp`) < {int(end_hour)}")
+    hour = f"floor(pmod({epoch_seconds_sql(df, 'timestamp')}, 86400) / 3600)"  # in UTC, whatever the session's zone
+    return df.where(f"amount > {float(min_amount)!r}D AND {hour} >= {int(start_hour)} "
+                    f"AND {hour} < {int(end_hour)}")
 
 
 def _hit_columns(df: DataFrame) -> list[str]:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 # Settings every job relies on: UTC wall clock for hour() and timestamp casts,
@@ -26,12 +24,12 @@ def sizing_conf(input_bytes: int, total_cores: int, split_bytes: int = 256 * MB)
     """Partition sizing for a run over ``input_bytes`` on ``total_cores`` cores.
 
     Scans read ``split_bytes`` splits; shuffles start with about one partition
-    per split (at least 2 per core, at most 200,000), so no shuffle partition
+    per split (at least 2 per core), so no shuffle partition
     has to hold more than a split's worth of rows and spills stay bounded.  AQE
     then coalesces small partitions towards half a split and splits skewed ones.
     """
     wanted = -(-int(input_bytes) // int(split_bytes))
-    shuffle = min(max(wanted, 2 * int(total_cores)), 200_000)
+    shuffle = max(wanted, 2 * int(total_cores))
     shuffle = -(-shuffle // int(total_cores)) * int(total_cores)
     return {
         "spark.sql.files.maxPartitionBytes": str(split_bytes),
@@ -88,7 +86,3 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     spark.conf.set("spark.checkpoint.dir", fallback)
     spark.sparkContext.setCheckpointDir(fallback)
     return spark.sparkContext.getCheckpointDir() or fallback
-
-
-def default_cores() -> int:
-    return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))

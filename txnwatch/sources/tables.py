@@ -5,27 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread(df: DataFrame, min_splits: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster when its scan yields fewer splits
-    than ``min_splits`` (default: the default parallelism).
+def read_parquet(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """Parquet scan; a declared ``schema`` skips footer-based inference.
 
-    A single unsplittable file (one parquet row group) would otherwise run
-    every row-wise stage before the first shuffle in one task.  Large tables
-    have far more splits than cores and are returned untouched, so this never
-    adds a shuffle at scale.
+    Split sizes belong to ``spark.sql.files.maxPartitionBytes``: no shuffle is added here.
     """
-    spark = df.sparkSession
-    want = min_splits or spark.sparkContext.defaultParallelism
-    try:
-        have = df.rdd.getNumPartitions()
-    except Exception:  # e.g. no RDD access on a remote session
-        return df
-    return df.repartition(want) if have < want else df
-
-
-def read_parquet(spark: SparkSession, path: str, spread_small: bool = True,
-                 schema: str | None = None) -> DataFrame:
-    """Parquet scan; a declared ``schema`` skips footer-based inference."""
     reader = spark.read.schema(schema) if schema else spark.read
-    df = reader.parquet(path)
-    return spread(df) if spread_small else df
+    return reader.parquet(path)

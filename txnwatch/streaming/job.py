@@ -6,8 +6,7 @@ look-back into Bronze:
 
 1. decode and parse once; mark rows older than the watermark (max event
    time of earlier batches minus the delay) as late; write Bronze into this
-   batch's partitions with dynamic partition overwrite, so a replayed batch
-   rewrites exactly its own files -- the batch statistics are observed during
+   batch's folder, which a replay replaces as a whole -- the batch statistics are observed during
    that write; rejects (rare) go to their own table;
 2. derive Silver from the Bronze rows just written;
 3. read Bronze back for the keys in the batch, pruned to the event dates
@@ -16,7 +15,8 @@ look-back into Bronze:
    ``[min, max + L]`` -- the left margin completes their frames, the right one
    re-scores rows a late arrival pushed over a threshold;
 4. project alerts with the batch stamp, drop those already written by
-   earlier batches (left-anti on ``alert_id``) and write this batch's partition.
+   earlier batches (left-anti on ``alert_id`` and the place in the broker) and
+   write this batch's folder, once.
 
 Counting rules (R1, R3, R4) are monotone, so the union of alerts over all
 batches equals the batch result on the accepted rows.  R2 equals it for
@@ -38,6 +38,7 @@ stream; readers of whole tables still prune on ``event_date``.
 from __future__ import annotations
 
 import datetime as _dt
+import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -49,7 +50,6 @@ from pyspark.sql.types import (
     LongType,
     StructField,
     StructType,
-    TimestampType,
 )
 from pyspark.sql.utils import AnalysisException
 
@@ -63,8 +63,12 @@ from txnwatch.sources.wire import parse_wire, split_valid, split_valid_condition
 
 _LOG_SCHEMA = StructType([
     StructField("batch_id", LongType(), False),
-    StructField("stamp", TimestampType(), False),
-    # largest event second seen up to and including this batch (watermark base)
+    # ingest and alert stamps, microseconds since the epoch
+    StructField("stamp", LongType(), False),
+    StructField("alert_stamp", LongType(), False),
+    # largest event second before this batch: the watermark base it was accepted by
+    StructField("prior_max", LongType(), True),
+    # largest event second seen up to and including this batch
     StructField("max_event_sec", LongType(), True),
     # event-second range of the batch's accepted rows (null when none)
     StructField("lo_sec", LongType(), True),
@@ -75,11 +79,13 @@ _LOG_SCHEMA = StructType([
 _DATE = StructField("event_date", DateType(), True)
 _LATE = StructField("late", BooleanType(), True)
 _BATCH = StructField("batch_id", LongType(), True)
+# Ids of transactions may collide; an alert's row also names where its transaction came from.
+_INGEST = [f for f in BRONZE.fields if f.name in ("kafka_partition", "kafka_offset")]
 # Declared schemas of the job's tables, layout (partition) columns last.
 TABLE_SCHEMAS = {
     "bronze": StructType(BRONZE.fields + [_BATCH, _DATE, _LATE]),
     "silver": StructType(SILVER.fields + [_BATCH, _DATE, _LATE]),
-    "alerts": StructType(ALERT.fields + [_BATCH, _DATE]),
+    "alerts": StructType(ALERT.fields + _INGEST + [_BATCH, _DATE]),
     "_batches": _LOG_SCHEMA,
 }
 
@@ -95,6 +101,11 @@ def _run_all(tasks) -> None:
             future.result()
 
 
+def _utc_date(df: DataFrame):
+    """Date of the event time in UTC, whatever the session's zone."""
+    return F.date_from_unix_date(F.floor(epoch_seconds(df, "timestamp") / 86400).cast("int"))
+
+
 def _interval_seconds(text: str) -> int:
     number, unit = text.split()
     unit = unit.rstrip("s").lower()
@@ -119,11 +130,13 @@ class StreamJob:
         return read_table(spark, self.root, table)
 
     # -- per-batch log -------------------------------------------------------
-    # One row per batch (stamp, max event second so far, accepted event range),
-    # appended to a flat table; a replay appends an identical row.  After a
-    # (re)start only the entries that can still matter are collected, and the
-    # driver-side copy is pruned after every batch, so neither restart cost nor
-    # driver memory grows with the age of the stream.
+    # One row per batch (stamps, watermark base, max event second so far, accepted
+    # event range), appended to a flat table once the batch's other tables are
+    # written.  A replay takes its stamps and its watermark base from its own row,
+    # so it decides exactly as the first run did.  After a (re)start only the
+    # entries that the latest batch or a later one can look back on are collected,
+    # and the driver-side copy is pruned after every batch; nothing is dropped
+    # from the table.
     _seen: dict = field(default=None, init=False, repr=False)
 
     def _relevance_floor(self, max_event_sec: int | None) -> int | None:
@@ -141,41 +154,55 @@ class StreamJob:
                 log = self.table(spark, "_batches")
             except AnalysisException:
                 return self._seen
-            top = log.agg(F.max("batch_id").alias("b"), F.max("max_event_sec").alias("mx")).first()
+            top = log.agg(F.max_by("prior_max", "batch_id").alias("prior"),
+                          F.max("batch_id").alias("b")).first()
             if top["b"] is None:
                 return self._seen
-            floor = self._relevance_floor(top["mx"])
-            keep = F.col("batch_id") >= F.lit(top["b"])
-            if floor is not None:
-                keep = keep | (F.col("hi_sec") >= F.lit(floor))
-            rows = log.filter(keep).dropDuplicates(["batch_id"]).collect()
-            self._seen = {r["batch_id"]: (r["stamp"], r["max_event_sec"], r["lo_sec"], r["hi_sec"])
-                          for r in rows}
+            floor = self._relevance_floor(top["prior"])
+            keep = F.lit(True) if floor is None else (
+                (F.col("batch_id") >= F.lit(top["b"])) | (F.col("hi_sec") >= F.lit(floor)))
+            self._seen = {r["batch_id"]: r for r in log.filter(keep).dropDuplicates(["batch_id"]).collect()}
         return self._seen
 
     def _prune_log(self) -> None:
         latest = max(self._seen)
-        floor = self._relevance_floor(self._seen[latest][1])
+        floor = self._relevance_floor(self._seen[latest]["prior_max"])
         if floor is None:
             return
-        for b in [b for b, (_, _, _, hi) in self._seen.items()
-                  if b != latest and (hi is None or hi < floor)]:
+        for b in [b for b, e in self._seen.items()
+                  if b != latest and (e["hi_sec"] is None or e["hi_sec"] < floor)]:
             del self._seen[b]
 
     def _prior(self, spark: SparkSession, batch_id: int):
-        """(stamp already given to this batch or None, max event second before it)."""
+        """(this batch's log row if it was completed before, max event second before it)."""
         seen = self._load_log(spark)
-        stamp = seen.get(batch_id, (None,))[0]
-        earlier = [e[1] for b, e in seen.items() if b < batch_id and e[1] is not None]
-        return stamp, (max(earlier) if earlier else None)
+        if batch_id in seen:
+            return seen[batch_id], seen[batch_id]["prior_max"]
+        if seen and batch_id < max(seen):  # an older batch: its row is no longer held here
+            own = self.table(spark, "_batches").where(F.col("batch_id") == batch_id).first()
+            if own is not None:
+                self._hold_history(spark, own)
+                return own, own["prior_max"]
+        earlier = [e["max_event_sec"] for b, e in seen.items()
+                   if b < batch_id and e["max_event_sec"] is not None]
+        return None, (max(earlier) if earlier else None)
+
+    def _hold_history(self, spark: SparkSession, own) -> None:
+        """Collect again the entries that the replay of an older batch can look back on."""
+        floor = self._relevance_floor(own["prior_max"])
+        past = self.table(spark, "_batches").where(F.col("batch_id") <= own["batch_id"])
+        if floor is not None:
+            past = past.where((F.col("hi_sec") >= F.lit(floor)) | (F.col("batch_id") == own["batch_id"]))
+        self._seen.update({r["batch_id"]: r for r in past.dropDuplicates(["batch_id"]).collect()})
 
     def _batches_meeting(self, first: int, last: int, exclude: int | None = None,
                          extend: int = 0) -> list[int]:
         """Earlier batches whose accepted range (its end pushed by ``extend``)
         meets ``[first, last]``; bounded by the look-back horizon, not by how
         long the stream has run."""
-        return sorted(b for b, (_, _, lo, hi) in self._seen.items()
-                      if b != exclude and lo is not None and lo <= last and hi + extend >= first)
+        return sorted(b for b, e in self._seen.items()
+                      if (exclude is None or b < exclude) and e["lo_sec"] is not None
+                      and e["lo_sec"] <= last and e["hi_sec"] + extend >= first)
 
     def _read_batches(self, spark: SparkSession, table: str, batch_ids: list[int]) -> DataFrame | None:
         """Just the listed ``batch_id`` partitions of a table (explicit paths,
@@ -204,10 +231,10 @@ class StreamJob:
     # -- the micro-batch -----------------------------------------------------
     def process_batch(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        stamp, prior_max = self._prior(spark, batch_id)
-        if stamp is None:
-            stamp = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        stamp_col = F.lit(stamp).cast("timestamp")
+        done, prior_max = self._prior(spark, batch_id)
+        # Microseconds since the epoch: no zone of driver or session takes part.
+        stamp = done["stamp"] if done else time.time_ns() // 1000
+        stamp_col = F.timestamp_micros(F.lit(stamp))
         delay = _interval_seconds(self.watermark)
 
         parsed = parse_wire(batch_df)
@@ -230,34 +257,36 @@ class StreamJob:
         layout = ("batch_id", "event_date", "late")
         rows = bronze(valid, stamp_col).select(
             *BRONZE_COLUMNS, F.lit(batch_id).cast("long").alias("batch_id"),
-            F.to_date("timestamp").alias("event_date"), late.alias("late"))
-        self._write(rows, "bronze", list(layout))
+            _utc_date(valid).alias("event_date"), late.alias("late"))
+        self._write(rows, "bronze", batch_id, list(layout))
         stats = obs.get
-        # Silver, alerts, rejects and the log entry depend only on what is
-        # already written, not on each other: submit them as concurrent jobs.
+        # Silver, alerts and rejects depend only on what is already written, not
+        # on each other: submit them as concurrent jobs.
         tasks = []
         if stats["total"] > stats["n"]:
             _, rejects = split_valid(parse_wire(batch_df, keep_raw=True))
             tasks.append(lambda: self._write(
-                rejects.withColumn("batch_id", F.lit(batch_id).cast("long")), "rejects", ["batch_id"]))
+                rejects.withColumn("batch_id", F.lit(batch_id).cast("long")), "rejects", batch_id, ["batch_id"]))
         if stats["n"]:
             # Silver derives from the Bronze rows just written (one stamp, one parse).
             written = self._read_batches(spark, "bronze", [batch_id])
             tasks.append(lambda: self._write(
-                silver(written, self.rules.salt, self.ip_octets, keep=layout), "silver", list(layout)))
-            if stats["lo"] is not None:
-                tasks.append(lambda: self._alerts(spark, batch_id, stats["lo"], stats["hi"],
-                                                  stamp_col))
+                silver(written, self.rules.salt, self.ip_octets, keep=layout), "silver", batch_id, list(layout)))
+        # The alert stamp is taken when the alerts are about to be scored.
+        alert_stamp = done["alert_stamp"] if done else time.time_ns() // 1000
+        if stats["n"] and stats["lo"] is not None and not self._published(spark, batch_id):
+            tasks.append(lambda: self._alerts(spark, batch_id, stats["lo"], stats["hi"],
+                                              F.timestamp_micros(F.lit(alert_stamp))))
         mx = stats["mx"]
         if prior_max is not None and (mx is None or prior_max > mx):
             mx = prior_max
         lo, hi = stats["lo"], stats["hi"]
-        # The log entry depends only on the observed statistics, which a replay
-        # reproduces exactly, so it can be written alongside the other jobs.
-        entry = spark.createDataFrame([(int(batch_id), stamp, mx, lo, hi)], _LOG_SCHEMA)
-        tasks.append(lambda: entry.coalesce(1).write.mode("append").parquet(self.path("_batches")))
         _run_all(tasks)
-        self._seen[int(batch_id)] = (stamp, mx, lo, hi)
+        if done is None:
+            # The entry comes last: a batch that has one is complete.
+            entry = spark.createDataFrame([(int(batch_id), stamp, alert_stamp, prior_max, mx, lo, hi)], _LOG_SCHEMA)
+            entry.coalesce(1).write.mode("append").parquet(self.path("_batches"))
+            self._seen[int(batch_id)] = entry.first()
         self._prune_log()
 
     def _alerts(self, spark, batch_id: int, lo: int, hi: int, stamp_col) -> None:
@@ -286,8 +315,9 @@ class StreamJob:
             "R1": by_user, "R2": by_user, "R4": by_merchant})
         hit_sec = epoch_seconds(hits, "timestamp")
         hits = hits.filter(hit_sec.between(lo, hi + span))
-        alerts = to_alerts(hits, r, alert_time=stamp_col).withColumn(
-            "event_date", F.to_date("timestamp"))
+        ingest = ["kafka_partition", "kafka_offset"]
+        alerts = to_alerts(hits, r, alert_time=stamp_col, keep=tuple(ingest))
+        alerts = alerts.withColumn("event_date", _utc_date(alerts))
         # alerts on these candidates can only come from batches whose own
         # candidate window [lo_b, hi_b + span] met this one
         earlier = self._read_batches(spark, "alerts",
@@ -295,16 +325,27 @@ class StreamJob:
                                                            extend=span))
         if earlier is not None:
             earlier = earlier.filter(F.col("event_date").between(F.lit(d0), F.lit(d1)))
-            alerts = alerts.join(earlier.select("alert_id"), "alert_id", "left_anti")
-        self._write(alerts.select(*ALERT_COLUMNS, F.lit(batch_id).cast("long").alias("batch_id"),
+            # transaction ids may collide: the same alert is the same key from the same place
+            earlier = earlier.select(F.col("alert_id").alias("_id"), *[F.col(c).alias(f"_{c}") for c in ingest])
+            same = F.col("alert_id") == F.col("_id")
+            for c in ingest:
+                same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+            alerts = alerts.join(earlier, same, "left_anti")
+        self._write(alerts.select(*ALERT_COLUMNS, *ingest, F.lit(batch_id).cast("long").alias("batch_id"),
                                   "event_date"),
-                    "alerts", ["batch_id", "event_date"])
+                    "alerts", batch_id, ["batch_id", "event_date"])
+
+    def _published(self, spark: SparkSession, batch_id: int) -> bool:
+        """Whether this batch's alerts are written already: they are published once, so that a
+        feed over their files never sees them again after a replay."""
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path(f"alerts/batch_id={batch_id}/_SUCCESS"))
+        return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
-    def _write(self, df: DataFrame, table: str, parts: list[str]) -> None:
-        (df.write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic")
-           .partitionBy(*parts)
-           .parquet(self.path(table)))
+    def _write(self, df: DataFrame, table: str, batch_id: int, parts: list[str]) -> None:
+        """Replace the whole of this batch's folder in ``table``."""
+        rest = [p for p in parts if p != "batch_id"]
+        writer = df.drop("batch_id").write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (writer.partitionBy(*rest) if rest else writer).parquet(self.path(f"{table}/batch_id={batch_id}"))
 
     # -- wiring --------------------------------------------------------------
     def start(self, source: DataFrame, trigger: dict | None = None):
@@ -347,8 +388,8 @@ def late_rows(spark: SparkSession, root: str) -> DataFrame:
 def alert_feed(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """SRC-8 / FLT-7: newly written alerts as a stream.
 
-    The alert table is append-only per batch partition, so a file stream over
-    it yields exactly the inserts (replays rewrite identical rows in place).
+    A batch's alerts are published once and never rewritten, also when the batch is
+    replayed, so a file stream over the table yields exactly the inserts.
     """
     reader = spark.readStream.schema(TABLE_SCHEMAS["alerts"])
     if max_files_per_trigger:
