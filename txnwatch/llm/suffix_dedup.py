@@ -32,29 +32,16 @@ GRAM = 32
 
 
 def _least_of(h: np.ndarray, width: int) -> np.ndarray:
-    """For each window of ``width`` values, the index of its least (the first of equals)."""
+    """For each window of ``width`` values, the index of its least; the choice depends on the window's values alone."""
     n = len(h) - width + 1
-    pad = -len(h) % width
-    x = np.concatenate([h, np.full(pad, np.iinfo(np.uint64).max, np.uint64)]).reshape(-1, width)
+    # The index takes the low bits of the hash: the minimum carries it, and of equal top bits the first one wins.
+    bits = np.uint64(int(len(h)).bit_length())
+    x = (h >> bits << bits) | np.arange(len(h), dtype=np.uint64)
+    x = np.concatenate([x, np.full(-len(h) % width, np.iinfo(np.uint64).max, np.uint64)]).reshape(-1, width)
     ahead = np.minimum.accumulate(x, axis=1).ravel()
     behind = np.minimum.accumulate(x[:, ::-1], axis=1)[:, ::-1].ravel()
     low = np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
-    # The first index of the least: places where a value is the least of some window, then the next such place at or after a start.
-    order = np.argsort(h, kind="stable") if len(h) < 64 else None
-    if order is not None:
-        return np.array([i + int(np.argmin(h[i : i + width])) for i in range(n)], np.int64)
-    out = np.empty(n, np.int64)
-    change = np.concatenate([[True], low[1:] != low[:-1]])
-    run = np.cumsum(change) - 1
-    values = low[change]
-    places = np.flatnonzero(np.isin(h, values))
-    by_value = places[np.lexsort((places, h[places]))]
-    keys = h[by_value]
-    # For a start s with least v: the first place >= s whose value is v.
-    rank_v = np.searchsorted(unique := np.unique(keys), low)
-    code = np.searchsorted(unique, keys).astype(np.int64) * (len(h) + 1) + by_value
-    out[:] = by_value[np.searchsorted(code, rank_v.astype(np.int64) * (len(h) + 1) + np.arange(n))]
-    return out if run.size else out
+    return (low & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
 
 
 def named(data: np.ndarray, offsets: np.ndarray, span: int = SPAN, gram: int = GRAM) -> dict[str, np.ndarray]:
@@ -169,10 +156,8 @@ def _neighbours(batches: Iterator[pa.RecordBatch], width: int, bucket: int = 1 <
         same = np.minimum(_common(rows[order[:-1]], rows[order[1:]]), np.minimum(size[order[:-1]], size[order[1:]]))
         same = np.where(back[order[:-1]] == back[order[1:]], same, 0)
         reach = np.maximum(np.append(same, 0), np.append(0, same))
-        edge = np.zeros(len(order), bool)
-        edge[[0, -1]] = True
         column = table.column("suffix").combine_chunks().take(pa.array(order))
-        suffix = pa.array([x.as_py() if e else None for x, e in zip(column, edge, strict=True)], pa.binary()) if len(order) < 3 else pa.concat_arrays([column[:1], pa.nulls(len(order) - 2, column.type), column[-1:]])
+        suffix = column if len(order) < 3 else pa.concat_arrays([column[:1], pa.nulls(len(order) - 2, column.type), column[-1:]])
         take = table.select(["h", "c", "back"]).take(pa.array(order)).combine_chunks()
         one = pa.RecordBatch.from_arrays([take.column(k).combine_chunks() if isinstance(take.column(k), pa.ChunkedArray) else take.column(k) for k in range(3)] + [pa.array(reach.astype(np.int64)), pa.array(np.full(len(order), part, np.int64)), pa.array(seq * 2 + (np.arange(len(order)) > 0).astype(np.int64)), suffix], ["h", "c", "back", "reach", "part", "seq", "suffix"])
         return one
