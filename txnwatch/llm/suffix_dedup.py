@@ -105,7 +105,7 @@ def multikey_order(tokens: np.ndarray) -> np.ndarray:
     """Order of byte strings given as rows of big-endian 8-byte tokens: ties in one token are sorted by the next only."""
     order = np.arange(len(tokens))
     group = np.zeros(len(tokens), np.int64)
-    tied = order
+    tied = np.arange(len(tokens))
     for d in range(tokens.shape[1]):
         rows = order[tied]
         by = np.lexsort((tokens[rows, d], group[tied]))
