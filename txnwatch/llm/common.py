@@ -38,6 +38,19 @@ def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inn
     return left.withColumn("_z", z).join(right.withColumn("_z", z), [*on, "_z"], how).drop("_z")
 
 
+#: Bytes up to which small_side broadcasts.
+BROADCAST_BYTES = 64 << 20
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint if all its values take at most BROADCAST_BYTES, measured in full; beyond that, as it is.
+
+    For sides that are cheap to compute (a test set's terms, a checkpointed table), as they are computed once more.
+    """
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns))) + F.lit(16)).alias("n")).first()["n"] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
 def where_computed(df: DataFrame, condition: Column | str) -> DataFrame:
     """``where`` on columns that are dear to compute, after they are computed.
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnwatch.llm.common import split_join, text_key, where_computed
+from txnwatch.llm.common import cut, small_side, split_join, text_key, where_computed
 
 WINDOW = 10
 #: Posting lists that a window intersects before words are compared.
@@ -63,11 +63,11 @@ def anchors(items: DataFrame, counts: DataFrame, window: int = WINDOW, rarest: i
 
 def places(docs: DataFrame, items: DataFrame, text: str, window: int = WINDOW, rarest: int = RAREST) -> DataFrame:
     """(key, item, terms, start): where enough of an item's anchors stand at their offsets; start may be negative."""
-    vocabulary = items.select(F.explode("terms").alias("term")).distinct()
+    vocabulary = small_side(items.select(F.explode("terms").alias("term")).distinct())
     counts = postings(docs, text, vocabulary).groupBy("term").agg(F.count("*").alias("n"))
-    marks = anchors(items, counts, window, rarest)
-    index = postings(docs, text, marks.select("term").distinct()).distinct()
-    met = split_join(index, marks, ["term"]).groupBy("key", "item", "terms", (F.col("pos") - F.col("off")).alias("start")).agg(F.count_distinct("off").alias("met"))
+    marks = cut(anchors(items, counts, window, rarest))
+    index = postings(docs, text, small_side(marks.select("term").distinct())).distinct()
+    met = index.join(small_side(marks), "term").groupBy("key", "item", "terms", (F.col("pos") - F.col("off")).alias("start")).agg(F.count_distinct("off").alias("met"))
     return met.where(F.col("met") >= F.least(F.lit(rarest), F.size("terms"))).drop("met")
 
 
