@@ -38,8 +38,12 @@ def _ascii_lower(word: Column) -> Column:
 
 
 def item_terms(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """(item, terms) of the items with a word. Items that repeat are one; an id with several texts has each of them."""
-    return items.select(F.col(item_id).cast("string").alias("item"), words(F.col(text)).alias("terms")).where("size(terms) > 0").distinct()
+    """(item, terms, code) of the items with a word; code, a 64-bit hash of both, stands for them in the search.
+
+    Items that repeat are one; an id with several texts has each of them.
+    """
+    found = items.select(F.col(item_id).cast("string").alias("item"), words(F.col(text)).alias("terms")).where("size(terms) > 0").distinct()
+    return found.withColumn("code", F.xxhash64("item", "terms"))
 
 
 def postings(docs: DataFrame, text: str, terms: DataFrame) -> DataFrame:
@@ -49,16 +53,16 @@ def postings(docs: DataFrame, text: str, terms: DataFrame) -> DataFrame:
 
 
 def anchors(items: DataFrame, counts: DataFrame, window: int = WINDOW, rarest: int = RAREST) -> DataFrame:
-    """(item, terms, term, off): the places of an item that are among the rarest terms of a window.
+    """(code, need, term, off): the places of an item that are among the rarest terms of a window; a window has ``need`` of them.
 
     A window with a term that the corpus lacks cannot occur and has none. A window of one word needs one place, others two.
     """
-    spans = items.select("item", "terms", F.expr(f"explode(sequence(0, greatest(size(terms) - {window}, 0)))").alias("w"))
-    spans = spans.select("item", "terms", "w", F.expr(f"explode(sequence(w, w + least({window}, size(terms)) - 1))").alias("off"))
-    spans = spans.select("item", "terms", "w", "off", F.col("terms")[F.col("off")].alias("term")).join(counts, "term", "left")
-    by_window = Window.partitionBy("item", "terms", "w")
+    spans = items.select("code", "terms", F.expr(f"explode(sequence(0, greatest(size(terms) - {window}, 0)))").alias("w"))
+    spans = spans.select("code", "terms", "w", F.expr(f"explode(sequence(w, w + least({window}, size(terms)) - 1))").alias("off"))
+    spans = spans.select("code", F.least(F.lit(rarest), F.size("terms")).alias("need"), "w", "off", F.col("terms")[F.col("off")].alias("term")).join(counts, "term", "left")
+    by_window = Window.partitionBy("code", "w")
     ranked = spans.withColumn("known", F.count("n").over(by_window) == F.count("*").over(by_window)).withColumn("rank", F.row_number().over(by_window.orderBy("n", "off")))
-    return ranked.where(F.col("known") & (F.col("rank") <= rarest)).select("item", "terms", "term", "off").distinct()
+    return ranked.where(F.col("known") & (F.col("rank") <= rarest)).select("code", "need", "term", "off").distinct()
 
 
 def places(docs: DataFrame, items: DataFrame, text: str, window: int = WINDOW, rarest: int = RAREST) -> DataFrame:
@@ -67,8 +71,9 @@ def places(docs: DataFrame, items: DataFrame, text: str, window: int = WINDOW, r
     counts = postings(docs, text, vocabulary).groupBy("term").agg(F.count("*").alias("n"))
     marks = cut(anchors(items, counts, window, rarest))
     index = postings(docs, text, small_side(marks.select("term").distinct())).distinct()
-    met = index.join(small_side(marks), "term").groupBy("key", "item", "terms", (F.col("pos") - F.col("off")).alias("start")).agg(F.count_distinct("off").alias("met"))
-    return met.where(F.col("met") >= F.least(F.lit(rarest), F.size("terms"))).drop("met")
+    # Postings are distinct, so a place of an item counts once at a start.
+    met = index.join(small_side(marks), "term").groupBy("key", "code", "need", (F.col("pos") - F.col("off")).alias("start")).agg(F.count("*").alias("met"))
+    return met.where("met >= need").join(small_side(items), "code").select("key", "item", "terms", "start")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, near: float = 0.8) -> DataFrame:
