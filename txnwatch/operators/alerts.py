@@ -106,13 +106,21 @@ def to_alerts(hits: DataFrame, rules: RuleSet | None = None, alert_time: Column
 # Fields of ``trigger_detail`` that reports and tests read back, with types.
 DETAIL_FIELDS = {
     "detail_rule": ("rule", "string"),
+    "detail_description": ("description", "string"),
+    "detail_window_minutes": ("window_minutes", "double"),
+    "detail_threshold": ("threshold", "int"),
+    "detail_max_distance_km": ("max_distance_km", "double"),
+    "detail_max_interval_minutes": ("max_interval_minutes", "double"),
+    "detail_min_amount": ("min_amount", "double"),
+    "detail_start_hour": ("start_hour", "int"),
+    "detail_end_hour": ("end_hour", "int"),
     "detail_txn_count": ("txn_count", "bigint"),
+    "detail_user_hash": ("user_hash", "string"),
     "detail_distance_km": ("distance_km", "double"),
     "detail_time_diff_minutes": ("time_diff_minutes", "double"),
     "detail_amount": ("amount", "double"),
     "detail_merchant_txn_count": ("merchant_txn_count", "bigint"),
     "detail_merchant_id": ("merchant_id", "string"),
-    "detail_threshold": ("threshold", "int"),
 }
 
 

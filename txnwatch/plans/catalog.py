@@ -203,6 +203,56 @@ def q_newest_silver(spark, sf_dir):
                                               "kafka_offset"])
 
 
+def q_newest_bronze(spark, sf_dir):
+    return reports.newest_rows(bronze(_tx(spark, sf_dir)), 3, columns=["transaction_id", "user_id", "merchant_id", "amount", "ip_address",
+                                                                       "device_id", "kafka_partition", "kafka_offset"])
+
+
+def q_rejects(spark, sf_dir):
+    """The rejects when every tenth record is no JSON, the next has no readable time, the next no user."""
+    sent = to_envelope(_tx(spark, sf_dir)).withColumn("value", F.expr(r"""
+        CASE offset % 10 WHEN 1 THEN concat('#', value)
+                         WHEN 2 THEN regexp_replace(value, '"timestamp":"[^"]*"', '"timestamp":"noon"')
+                         WHEN 3 THEN replace(value, '"user_id":', '"uid":') ELSE value END"""))
+    _, rejects = split_valid(parse_wire(sent))
+    return _ntz(rejects, "timestamp").select("kafka_partition", "kafka_offset", "transaction_id", "user_id", "amount", "timestamp")
+
+
+def q_blacklist_merchant(spark, sf_dir):
+    listed = spark.createDataFrame([("M3002",)], "merchant_id string")
+    out = screen(_tx(spark, sf_dir), listed, "merchant_id", keep="hits")
+    return out.select("transaction_id", "user_id", "merchant_id", "amount", "timestamp")
+
+
+def q_blacklist_ip(spark, sf_dir):
+    tx = _tx(spark, sf_dir)
+    out = screen(tx, R.check_night_large(tx, 1500, 0, 5).select("ip_address"), "ip_address", keep="hits")
+    return out.select("transaction_id", "ip_address", "amount", "timestamp")
+
+
+def q_recall_by_label(spark, sf_dir):
+    """Recall against labels stated from the data alone: large amounts before six o'clock, and the newest of a user's
+    several transactions in one hour of the clock. The night rule ends at five, so it misses some."""
+    tx = _tx(spark, sf_dir)
+    night = tx.where("amount > 1000 AND hour(timestamp) < 6").selectExpr("transaction_id", "'NIGHT_LARGE' AS rule_type")
+    newest = F.max(F.struct("timestamp", "transaction_id")).alias("newest")
+    busy = tx.groupBy("user_id", F.date_trunc("hour", "timestamp").alias("h")).agg(F.count("*").alias("n"), newest)
+    busy = busy.where("n > 1").selectExpr("newest.transaction_id", "'VELOCITY_FRAUD' AS rule_type")
+    return reports.recall_by_rule(night.unionByName(busy), wide_alerts(spark, sf_dir))
+
+
+def q_alerts_in_lost_hour(spark, sf_dir):
+    """Alerts without their transaction when Bronze lacks an hour of the day."""
+    kept = bronze(_tx(spark, sf_dir)).where("hour(timestamp) <> 3")
+    return reports.alerts_not_in_bronze(wide_alerts(spark, sf_dir), kept).select("alert_id", "rule_type", "transaction_id")
+
+
+def q_bronze_silver_gaps(spark, sf_dir):
+    """Reconciliation when each table lacks another hour of the day."""
+    b = bronze(_tx(spark, sf_dir))
+    return reports.bronze_silver_reconcile(b.where("hour(timestamp) <> 3"), silver(b, DEFAULT.salt).where("hour(timestamp) <> 4"), DEFAULT.salt)
+
+
 def q_interval_pairs(spark, sf_dir):
     return geo_pairs(_tx(spark, sf_dir), max_gap_seconds=600, min_distance_km=1000)
 
@@ -256,4 +306,14 @@ def queries() -> dict[str, Query]:
         "sliding_user_alerts": _windows("user_id", "60 minutes", "15 minutes", threshold=2),
         "interval_pairs": q_interval_pairs,
         "newest_silver_rows": q_newest_silver,
+        "newest_bronze_rows": q_newest_bronze,
+        "all_rules_r3_only": _all_rules(WIDE.replace(r1=dict(enabled=False), r2=dict(enabled=False), r4=dict(enabled=False))),
+        "all_rules_off": _all_rules(WIDE.replace(r1=dict(enabled=False), r2=dict(enabled=False), r3=dict(enabled=False),
+                                                 r4=dict(enabled=False))),
+        "rejects": q_rejects,
+        "blacklist_merchant_hits": q_blacklist_merchant,
+        "blacklist_ip_hits": q_blacklist_ip,
+        "recall_by_label": q_recall_by_label,
+        "alerts_in_lost_hour": q_alerts_in_lost_hour,
+        "bronze_silver_gaps": q_bronze_silver_gaps,
     }

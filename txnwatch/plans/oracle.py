@@ -151,10 +151,28 @@ def _alert_label(rules) -> str:
 def alerts_sql(rules) -> str:
     thr = (f"CASE rule_type WHEN 'VELOCITY_FRAUD' THEN {rules.r1.threshold} "
            f"WHEN 'MERCHANT_VELOCITY' THEN {rules.r4.threshold} END")
+    about = {"VELOCITY_FRAUD": rules.r1, "GEO_JUMP": rules.r2, "NIGHT_LARGE": rules.r3, "MERCHANT_VELOCITY": rules.r4}
+    described = "CASE rule_type " + " ".join(f"WHEN '{t}' THEN '{r.description}'" for t, r in about.items()) + " END"
+
+    def geo(value: float) -> str:
+        return f"CASE WHEN rule_type = 'GEO_JUMP' THEN CAST({value} AS DOUBLE) END"
+
+    def night(value: float, dtype: str) -> str:
+        return f"CASE WHEN rule_type = 'NIGHT_LARGE' THEN CAST({value} AS {dtype}) END"
+
     return _with(",\n" + all_hits_sql(rules) + f"""
 SELECT 'ALERT-' || rule_type || '-' || transaction_id AS alert_id, rule_type, transaction_id,
        user_hash, amount, "timestamp",
        {_alert_label(rules)} AS detail_rule,
+       {described} AS detail_description,
+       CAST(CASE rule_type WHEN 'VELOCITY_FRAUD' THEN {rules.r1.window_minutes}
+            WHEN 'MERCHANT_VELOCITY' THEN {rules.r4.window_minutes} END AS DOUBLE) AS detail_window_minutes,
+       {geo(rules.r2.max_distance_km)} AS detail_max_distance_km,
+       {geo(rules.r2.max_interval_minutes)} AS detail_max_interval_minutes,
+       {night(rules.r3.min_amount, 'DOUBLE')} AS detail_min_amount,
+       {night(rules.r3.start_hour, 'INTEGER')} AS detail_start_hour,
+       {night(rules.r3.end_hour, 'INTEGER')} AS detail_end_hour,
+       CASE WHEN rule_type = 'VELOCITY_FRAUD' THEN user_hash END AS detail_user_hash,
        CASE WHEN rule_type = 'VELOCITY_FRAUD' THEN txn_count END AS detail_txn_count,
        CASE WHEN rule_type = 'GEO_JUMP' THEN round(distance_km, 2) END AS detail_distance_km,
        CASE WHEN rule_type = 'GEO_JUMP' THEN round(time_diff_minutes, 2) END AS detail_time_diff_minutes,
@@ -302,4 +320,47 @@ SELECT transaction_id, sha256(user_id || '""" + SALT + """') AS user_hash, merch
        split_part(ip_address, '.', 1) || '.' || split_part(ip_address, '.', 2) || '.*.*' AS ip_mask,
        kafka_partition, kafka_offset
 FROM txn ORDER BY kafka_partition DESC, kafka_offset DESC LIMIT 3""")
+    q["newest_bronze_rows"] = _with("""
+SELECT transaction_id, user_id, merchant_id, amount, ip_address, device_id, kafka_partition, kafka_offset
+FROM txn ORDER BY kafka_partition DESC, kafka_offset DESC LIMIT 3""")
+    q["all_rules_r3_only"] = _with(",\n" + all_hits_sql(w) + f"\nSELECT {HIT_COLS} FROM hits WHERE rule_type = 'NIGHT_LARGE'")
+    q["all_rules_off"] = _with(",\n" + all_hits_sql(w) + f"\nSELECT {HIT_COLS} FROM hits WHERE false")
+    q["rejects"] = _with("""
+, damaged AS (SELECT *, kafka_offset % 10 AS m FROM txn)
+SELECT kafka_partition, kafka_offset, CASE WHEN m <> 1 THEN transaction_id END AS transaction_id,
+       CASE WHEN m = 2 THEN user_id END AS user_id, CASE WHEN m <> 1 THEN amount END AS amount,
+       CASE WHEN m = 3 THEN "timestamp" END AS "timestamp"
+FROM damaged WHERE m IN (1, 2, 3)""")
+    q["blacklist_merchant_hits"] = _with("""
+SELECT transaction_id, user_id, merchant_id, amount, "timestamp" FROM txn WHERE merchant_id = 'M3002'""")
+    q["blacklist_ip_hits"] = _with("""
+SELECT transaction_id, ip_address, amount, "timestamp" FROM txn
+WHERE ip_address IN (SELECT ip_address FROM txn WHERE amount > 1500.0 AND hour("timestamp") < 5)""")
+    q["recall_by_label"] = _with(",\n" + all_hits_sql(w) + """,
+lab AS (
+  SELECT transaction_id, 'NIGHT_LARGE' AS rule_type FROM txn WHERE amount > 1000.0 AND hour("timestamp") < 6
+  UNION ALL
+  SELECT transaction_id, 'VELOCITY_FRAUD' FROM (
+    SELECT transaction_id, count(*) OVER h AS n,
+           row_number() OVER (h ORDER BY "timestamp" DESC, transaction_id DESC) AS newest
+    FROM txn WINDOW h AS (PARTITION BY user_id, date_trunc('hour', "timestamp")))
+  WHERE n > 1 AND newest = 1),
+got AS (SELECT DISTINCT transaction_id, rule_type FROM hits)
+SELECT lab.rule_type, count(*) AS expected, count(got.transaction_id) AS found,
+       CAST(count(got.transaction_id) AS DOUBLE) / count(*) AS recall
+FROM lab LEFT JOIN got ON lab.transaction_id = got.transaction_id AND lab.rule_type = got.rule_type
+GROUP BY lab.rule_type""")
+    q["alerts_in_lost_hour"] = _with(",\n" + _alerts_cte(w) + """
+SELECT alert_id, rule_type, transaction_id FROM alerts a
+WHERE NOT EXISTS (SELECT 1 FROM txn b WHERE b.transaction_id = a.transaction_id AND hour(b."timestamp") <> 3)""")
+    q["bronze_silver_gaps"] = _with("""
+, h AS (SELECT user_id, hour("timestamp") <> 3 AS in_bronze, hour("timestamp") <> 4 AS in_silver FROM txn)
+SELECT count(*) FILTER (WHERE in_bronze) AS bronze_rows, count(*) FILTER (WHERE in_silver) AS silver_rows,
+       count(*) FILTER (WHERE in_bronze AND in_silver) AS matched_rows,
+       count(*) FILTER (WHERE NOT in_silver) AS missing_in_silver,
+       count(*) FILTER (WHERE NOT in_bronze) AS missing_in_bronze,
+       count(*) FILTER (WHERE in_bronze AND in_silver AND length(sha256(user_id || '""" + SALT + """')) <> 64) AS hash_mismatches,
+       count(*) FILTER (WHERE in_bronze AND in_silver AND contains(sha256(user_id || '""" + SALT + """'), user_id)) AS id_leaks,
+       false AS silver_has_device_id
+FROM h""")
     return q
