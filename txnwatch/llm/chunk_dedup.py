@@ -113,7 +113,8 @@ def strip_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_key(F.col(text)).alias("key"), F.col(text).alias("text"))
     chunks = rows.mapInArrow(_chunks, "key binary, doc_id long, start int, size int, a long, b long")
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("key").alias("key"), F.col("start").alias("start"))
-    first = chunks.groupBy("a", "b").agg(F.min(order).alias("first"), F.max(order).alias("last")).where("first <> last").select("a", "b", "first")
+    # A chunk that only repeated rows share comes through here as well; below it equals its first.
+    first = chunks.groupBy("a", "b").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").select("a", "b", "first")
     again = split_join(chunks, first, ["a", "b"]).where(~order.eqNullSafe(F.col("first")))
     again = again.groupBy("key", "doc_id").agg(F.collect_set(F.struct("start", "size")).alias("again")).select(F.col("key").alias("_key"), F.col("doc_id").alias("_id"), "again")
     both = rows.join(again, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left").select("doc_id", "text", "again")
