@@ -271,3 +271,16 @@ def test_empty_tables(spark, odd):
         assert out.collect() == [], name
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, SF).collect() == [], name
+
+
+def test_neighbours_are_found_across_pieces_and_partitions(spark, monkeypatch):
+    """A passage with many different surroundings, in pieces of four suffixes or more."""
+    whole = suffix_dedup._neighbours
+    monkeypatch.setattr(suffix_dedup, "_neighbours", lambda batches, width: whole(batches, width, bucket=4))
+    rng = random.Random(11)
+    passage = "".join(rng.choices("abcdefgh ", k=230))
+    rows = [(k, "".join(rng.choices("ijklmnop ", k=250)) + passage + "".join(rng.choices("qrstuvwx ", k=250))) for k in range(80)]
+    rows += [(100, passage[:199]), (101, "y" * 100 + passage[:199]), (102, passage[10:210] + "z")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.strip_repeated(frame).collect())
+    assert got == sorted(_repeated([(i, t.encode()) for i, t in rows]))

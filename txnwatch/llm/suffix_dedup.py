@@ -137,17 +137,25 @@ def _matrix(raw: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarra
     return out, size
 
 
+def common(a: bytes, b: bytes, width: int) -> int:
+    """Length of the common prefix of two byte strings, ``width`` at most."""
+    n = min(len(a), len(b), width)
+    return next((k for k in range(n) if a[k] != b[k]), n)
+
+
 def _neighbours(batches: Iterator[pa.RecordBatch], width: int, bucket: int = 1 << 14) -> Iterator[pa.RecordBatch]:
-    """(h, c, back, reach, part, seq, suffix): common prefix of each suffix with its neighbours in the sorted bucket.
+    """(h, c, back, reach, part, suffix): common prefix of each suffix with its neighbours in the sorted bucket.
 
     A partition comes in pieces of ``bucket`` rows, already split by Spark's range partitioning and its external sort on the
-    leading token; rows with the same leading token stay in one piece. The first and the last suffix of a piece also leave
-    the task, to be compared with those of the pieces beside it.
+    leading token; rows with the same leading token stay in one piece. The task compares the last suffix of a piece with the
+    first of the next, as two more rows (a suffix counts by its largest reach). Only the first and the last suffix of a
+    partition leave it, with their number in ``part``, to be compared with those of the partitions beside it.
     """
     part = TaskContext.get().partitionId()
-    held, seq = None, 0
+    names = ["h", "c", "back", "reach", "part", "suffix"]
 
-    def piece(table: pa.Table, seq: int) -> pa.RecordBatch:
+    def piece(table: pa.Table) -> tuple[pa.Table, list[bytes]]:
+        """The rows of ``names`` with no suffix yet, and the first and the last suffix."""
         raw, offsets = buffers(table.column("suffix"))
         rows, size = _matrix(raw, offsets, width)
         back = np.asarray(table.column("back")).astype(np.int64)
@@ -156,26 +164,47 @@ def _neighbours(batches: Iterator[pa.RecordBatch], width: int, bucket: int = 1 <
         same = np.minimum(_common(rows[order[:-1]], rows[order[1:]]), np.minimum(size[order[:-1]], size[order[1:]]))
         same = np.where(back[order[:-1]] == back[order[1:]], same, 0)
         reach = np.maximum(np.append(same, 0), np.append(0, same))
-        column = table.column("suffix").combine_chunks().take(pa.array(order))
-        suffix = column if len(order) < 3 else pa.concat_arrays([column[:1], pa.nulls(len(order) - 2, column.type), column[-1:]])
-        take = table.select(["h", "c", "back"]).take(pa.array(order)).combine_chunks()
-        one = pa.RecordBatch.from_arrays([take.column(k).combine_chunks() if isinstance(take.column(k), pa.ChunkedArray) else take.column(k) for k in range(3)] + [pa.array(reach.astype(np.int64)), pa.array(np.full(len(order), part, np.int64)), pa.array(seq * 2 + (np.arange(len(order)) > 0).astype(np.int64)), suffix], ["h", "c", "back", "reach", "part", "seq", "suffix"])
-        return one
-
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        held = table if held is None else pa.concat_tables([held, table])
-        while held.num_rows >= 2 * bucket:
-            lead = np.asarray(held.column("lead"))
-            cut_at = bucket
-            later = np.flatnonzero(lead[bucket:] != lead[bucket - 1])
-            if not len(later):
-                break  # one leading token: the piece grows with it
-            cut_at += int(later[0])
-            yield piece(held.slice(0, cut_at), seq)
-            held, seq = held.slice(cut_at), seq + 1
-    if held is not None and held.num_rows:
-        yield piece(held, seq)
+        n = len(order)
+        out = table.select(names[:3]).take(pa.array(order))
+        for name, column in zip(names[3:], (pa.array(reach.astype(np.int64)), pa.array(np.full(n, part, np.int64)), pa.nulls(n, pa.binary())), strict=True):
+            out = out.append_column(name, column)
+        return out, [table.column("suffix")[int(order[k])].as_py() for k in (0, -1)]
+
+    def edge(row: pa.Table, reach: int, suffix: bytes | None) -> pa.Table:
+        return row.set_column(3, "reach", pa.array([reach], pa.int64())).set_column(5, "suffix", pa.array([suffix], pa.binary()))
+
+    def pieces() -> Iterator[pa.Table]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            while held.num_rows >= 2 * bucket:
+                lead = np.asarray(held.column("lead"))
+                later = np.flatnonzero(lead[bucket:] != lead[bucket - 1])
+                if not len(later):
+                    break  # one leading token: the piece grows with it
+                at = bucket + int(later[0])
+                yield held.slice(0, at)
+                held = held.slice(at)
+        if held is not None and held.num_rows:
+            yield held
+
+    before = None
+    for table in pieces():
+        out, (first, last) = piece(table)
+        top, end = out.slice(0, 1), out.slice(out.num_rows - 1)
+        yield from out.to_batches()
+        if before is None:
+            yield from edge(top, 0, first).to_batches()
+        elif before[0].column("back")[0] == top.column("back")[0]:
+            same = common(before[1], first, width)
+            yield from edge(before[0], same, None).to_batches()
+            yield from edge(top, same, None).to_batches()
+        before = end, last
+    if before is not None:
+        yield from edge(before[0], 0, before[1]).to_batches()
 
 
 def _windows(batches: Iterator[pa.RecordBatch], span: int, gram: int) -> Iterator[pa.RecordBatch]:
@@ -240,16 +269,16 @@ def repeated_spans(keyed: DataFrame, span: int = SPAN, gram: int = GRAM) -> Data
     behind = table.select("h", "c", F.lit(1).alias("back"), F.substring("context", F.lit(1), before + F.lit(gram)).alias("suffix"))
     behind = behind.withColumn("suffix", F.unhex(F.array_join(F.reverse(F.expr("transform(sequence(1, length(suffix)), i -> hex(substr(suffix, i, 1)))")), "")))
     suffixes = ahead.union(behind).withColumn("lead", F.expr("rpad(substr(suffix, 1, 8), 8, X'00')"))
-    buckets = suffixes.repartitionByRange("back", "lead", "suffix").sortWithinPartitions("back", "lead")
+    # The context's hash as last key lets a splitter fall between equal suffixes, of which a common passage makes many.
+    buckets = suffixes.repartitionByRange("back", "lead", "suffix", "c").sortWithinPartitions("back", "lead")
     width = -(-span // 8) * 8
-    reaches = cut(buckets.mapInArrow(lambda it: _neighbours(it, width), "h long, c long, back int, reach long, part long, seq long, suffix binary"))
-    # Across boundaries: the last suffix of a piece and the first of the next; two rows a piece, whose size is fixed.
-    edges = sorted(reaches.where("suffix IS NOT NULL").collect(), key=lambda r: (r["part"], r["seq"]))
+    reaches = cut(buckets.mapInArrow(lambda it: _neighbours(it, width), "h long, c long, back int, reach long, part long, suffix binary"))
+    # Across partitions: the last suffix of one and the first of the next, two rows for a Spark partition, whatever it holds.
+    edges = sorted(reaches.where("suffix IS NOT NULL").collect(), key=lambda r: (r["part"], r["back"], bytes(r["suffix"])[:width]))
     more = []
     for x, y in zip(edges, edges[1:], strict=False):
-        if x["back"] == y["back"] and (x["part"], x["seq"] // 2) != (y["part"], y["seq"] // 2):
-            a, b = bytes(x["suffix"])[:width], bytes(y["suffix"])[:width]
-            same = next((k for k, (p, q) in enumerate(zip(a, b, strict=False)) if p != q), min(len(a), len(b)))
+        if x["back"] == y["back"] and x["part"] != y["part"]:
+            same = common(bytes(x["suffix"]), bytes(y["suffix"]), width)
             more += [(r["h"], r["c"], r["back"], same) for r in (x, y)]
     reaches = reaches.select("h", "c", "back", "reach").union(keyed.sparkSession.createDataFrame(more, "h long, c long, back int, reach long"))
     reach = reaches.groupBy("h", "c").agg(F.max(F.when(F.col("back") == 0, F.col("reach"))).alias("ahead"), F.max(F.when(F.col("back") == 1, F.col("reach"))).alias("behind"))
