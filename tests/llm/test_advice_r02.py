@@ -2,10 +2,12 @@
 
 import warnings
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from txnwatch.llm import mixing
+from txnwatch.llm import hashed, mixing
 
 SF = "/root/testdata/sf0.1"
 
@@ -43,3 +45,23 @@ def test_targets_that_no_rates_meet_are_reported(spark):
         warnings.simplefilter("always")
         miss = {r.miss for r in mixing.mixed(docs, none).collect()}
     assert len(miss) == 1 and miss.pop() > 0.5 and any("targets" in str(w.message) for w in said)
+
+
+def test_classifier_finds_held_out_toxic_documents():
+    """Trained on 3,000 labelled documents of sf0.1, held out the other 980."""
+    rows = duckdb.sql(f"""SELECT DISTINCT ON (doc_id) doc_id, text, quality, toxic FROM '{SF}/documents.parquet' JOIN '{SF}/labels.parquet' USING (doc_id) ORDER BY hash(doc_id), doc_id""").fetchall()
+    slots, dense = hashed.pack(pa.array([r[1] for r in rows]))
+    kind = np.array([2 if r[3] == 1 else 1 if r[2] == 0 else 0 for r in rows])
+    weights = hashed.train(slots[:3000], dense[:3000], np.eye(3)[kind[:3000]])
+    p = np.concatenate([hashed.scores(weights, b) for _, _, b in hashed.feature_blocks(pa.array([r[1] for r in rows[3000:]]))])
+    toxic, found = kind[3000:] == 2, p.argmax(axis=1) == 2
+    assert toxic.sum() > 80 and (found & toxic).sum() >= 0.6 * toxic.sum()
+    assert (found & ~toxic).sum() <= 0.01 * (~toxic).sum()
+
+
+def test_minimum_is_reached():
+    rng = np.random.default_rng(8)
+    a = rng.normal(size=(40, 12)) * np.logspace(0, 1, 12)
+    b = rng.normal(size=40)
+    x, done = hashed.minimise(lambda x: (float((a @ x - b) @ (a @ x - b)) / 2, a.T @ (a @ x - b)), np.zeros(12), 1e-5)
+    assert done and x == pytest.approx(np.linalg.lstsq(a, b, rcond=None)[0], rel=1e-4, abs=1e-6)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import warnings
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -77,27 +78,76 @@ def pack(texts: pa.Array) -> tuple[list[bytes], list[bytes]]:
     return slots, dense
 
 
-def train(slots: list[bytes], dense: list[bytes], labels: np.ndarray, rounds: int = 100, rate: float = 0.3, ridge: float = 1e-3) -> np.ndarray:
-    """Soft-max regression on soft ``labels`` (rows x classes) by full-batch Adagrad; the same input gives the same weights."""
+def _spread(slot: np.ndarray, owner: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Scale of each slot and class: the squared log-ratio of its share of the class's rows to its share of the others.
+
+    A slot that tells a class apart is penalised little for it, one that all classes have much, so that a few decisive words
+    count in a long text.
+    """
+    n = np.column_stack([np.bincount(slot, labels[owner, c], SLOTS) for c in range(labels.shape[1])])
+    rows, rest = labels.sum(axis=0), n.sum(axis=1, keepdims=True) - n
+    return np.log((n + 1) / (rows + 2) / ((rest + 1) / (labels.sum() - rows + 2))) ** 2
+
+
+def minimise(value: Callable[[np.ndarray], tuple[float, np.ndarray]], x: np.ndarray, settled: float, memory: int = 10) -> tuple[np.ndarray, bool]:
+    """L-BFGS on a smooth convex ``value`` (objective, gradient): (x, whether every part of the gradient is within ``settled``).
+
+    It ends there, or where no step lowers the objective.
+    """
+    moves: list[tuple[np.ndarray, np.ndarray]] = []
+    v, g = value(x)
+    while np.abs(g).max(initial=0) > settled:
+        way, parts = g.copy(), []
+        for s, y in reversed(moves):
+            parts.append((s @ way) / (s @ y))
+            way -= parts[-1] * y
+        way *= (moves[-1][0] @ moves[-1][1]) / (moves[-1][1] @ moves[-1][1]) if moves else 1 / np.linalg.norm(g)
+        for (s, y), part in zip(moves, reversed(parts), strict=True):
+            way += s * (part - (y @ way) / (s @ y))
+        size, fall = 1.0, float(g @ way)
+        # Strictly lower, so that it ends where the objective's digits do.
+        while size > 1e-10 and not (now := value(x - size * way))[0] < v - 1e-4 * size * abs(fall):
+            size /= 2
+        if size <= 1e-10:
+            return x, False
+        s, y = -size * way, now[1] - g
+        if s @ y > 1e-14:
+            moves = [*moves, (s, y)][-memory:]
+        x, v, g = x + s, *now
+    return x, True
+
+
+def train(slots: list[bytes], dense: list[bytes], labels: np.ndarray, ridge: float = 1e-3, settled: float = 1e-5) -> np.ndarray:
+    """Soft-max regression on soft ``labels`` (rows x classes), until its gradient is within ``settled``; the same input gives the same weights."""
     classes = labels.shape[1]
     weights = np.zeros((SLOTS + DENSE + 1, classes))
     if not len(slots):
         return weights
     size = np.array([len(s) // 4 for s in slots])
     slot = np.frombuffer(b"".join(slots), np.int32).astype(np.int64)
-    at = np.concatenate([[0], np.cumsum(size)])
     x = np.frombuffer(b"".join(dense)).reshape(len(slots), DENSE)
-    b = Block(slot, at, x, x, size, size, size)
-    by = np.repeat(1 / np.maximum(size, 1) ** 0.25, size)
+    by = np.maximum(size, 1) ** 0.25
     owner = np.repeat(np.arange(len(size)), size)
-    past = np.full_like(weights, 1e-8)
-    for _ in range(rounds):
-        miss = (scores(weights, b) - labels) / len(slots)
-        grad = ridge * weights
-        grad[-1] = miss.sum(axis=0)
-        grad[SLOTS:-1] += 4 * x.T @ miss
+    scale = np.ones_like(weights)
+    scale[:SLOTS] = _spread(slot, owner, labels)
+
+    def value(flat: np.ndarray) -> tuple[float, np.ndarray]:
+        free = flat.reshape(weights.shape)
+        w = free * scale
+        z = np.column_stack([np.bincount(owner, w[:, c][slot], len(size)) / by for c in range(classes)]) + x @ w[SLOTS:-1] * 4 + w[-1]
+        z -= z.max(axis=1, keepdims=True)
+        log_p = z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+        miss = (np.exp(log_p) * labels.sum(axis=1, keepdims=True) - labels) / len(slots)
+        grad = np.empty_like(w)
         for c in range(classes):
-            grad[:SLOTS, c] += np.bincount(slot, miss[owner, c] * by, SLOTS)
-        past += grad**2
-        weights -= rate * grad / np.sqrt(past)
-    return weights
+            grad[:SLOTS, c] = np.bincount(slot, np.repeat(miss[:, c] / by, size), SLOTS)
+        grad[SLOTS:-1] = 4 * x.T @ miss
+        grad[-1] = miss.sum(axis=0)
+        grad *= scale
+        grad[:-1] += ridge * free[:-1]
+        return float(ridge / 2 * (free[:-1] ** 2).sum() - (labels * log_p).sum() / len(slots)), grad.ravel()
+
+    best, done = minimise(value, weights.ravel(), settled)
+    if not done:
+        warnings.warn("training ended before its gradient settled", stacklevel=2)
+    return best.reshape(weights.shape) * scale
