@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from txnwatch.llm import hashed, mixing
+from txnwatch.llm import decontamination, hashed, mixing, queries
 
 SF = "/root/testdata/sf0.1"
 
@@ -65,3 +65,24 @@ def test_minimum_is_reached():
     b = rng.normal(size=40)
     x, done = hashed.minimise(lambda x: (float((a @ x - b) @ (a @ x - b)) / 2, a.T @ (a @ x - b)), np.zeros(12), 1e-5)
     assert done and x == pytest.approx(np.linalg.lstsq(a, b, rcond=None)[0], rel=1e-4, abs=1e-6)
+
+
+def test_near_passages_survive_edited_words(spark):
+    long = [f"t{k}" for k in range(40)]
+    five = ["one", "two", "three", "four", "five"]
+    a, b = long[5:15], long[20:30]
+    texts = {
+        1: a, 2: a[:4] + ["new"] + a[5:], 3: a[:3] + ["new"] + a[3:], 4: a[:6] + a[7:], 5: a[:3] + ["x"] + a[4:7] + ["y"] + a[8:],
+        6: [*b[:2], "in", *b[2:8], "sert", *b[8:]], 7: five[:2] + ["zzz"] + five[3:], 8: long[:18] + ["odd"] + long[18:],
+        9: a[:2] + ["x"] + a[3:5] + ["y"] + a[6:8] + ["z"] + a[9:], 10: a[::-1], 11: a[:5], 12: five[:1] + ["q", "r"] + five[3:], 13: a[:8],
+    }
+    rows = [(i, " ".join(["before", "it"] * 8 + t + ["and", "after"] * 8)) for i, t in texts.items()]
+    docs = spark.createDataFrame([*rows, (99, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(five)), (3, None)], "item_id long, text string")
+    got = {r.doc_id: r.near_items for r in decontamination.report(docs, items).collect()}
+    assert got == {**dict.fromkeys((1, 2, 3, 4, 5, 6, 8, 13), "1"), 7: "2", **dict.fromkeys((9, 10, 11, 12, 99), "")}
+
+
+def test_near_passages_come_out_of_a_query(spark):
+    rows = queries.queries()["op3_near_passages"](spark, "/root/testdata/sf0.001").collect()
+    assert all(not r.contaminated or r.near_items for r in rows) and any(r.contaminated for r in rows)

@@ -19,7 +19,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("near_items")
+    return decontamination.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), near=None)
+
+
+def op3_near_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def op4_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +57,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_ngram_join, op2_quality_rules, op3_decontamination, op4_chunk_dedup, op5_suffix_dedup,
-        op6_quality_model, op7_language_id, op8_line_dedup, op9_personal_data, op10_mixing,
+        op6_quality_model, op7_language_id, op8_line_dedup, op9_personal_data, op10_mixing, op3_near_passages,
     )
     return {f.__name__: f for f in ops}
 
