@@ -10,8 +10,6 @@ if ROOT not in sys.path:
 
 from txnwatch.session import build_session, checkpoint_dir  # noqa: E402
 
-SF001 = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():

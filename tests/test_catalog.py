@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF001
+from helpers import SF001
 from txnwatch.plans import catalog, oracle
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "

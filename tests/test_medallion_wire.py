@@ -11,7 +11,7 @@ from txnwatch.schemas import BRONZE_COLUMNS, ENVELOPE, SILVER_COLUMNS
 from txnwatch.sources.events import load_transactions
 from txnwatch.sources.wire import parse_wire, split_valid, to_envelope
 
-from conftest import SF001
+from helpers import SF001
 
 
 def _bronze_input(spark, ip="192.168.1.100"):

@@ -8,7 +8,7 @@ from txnwatch.operators.screening import screen
 from txnwatch.session import checkpoint_dir
 from txnwatch.sources.events import load_transactions
 
-from conftest import ROOT, SF001
+from helpers import ROOT, SF001
 
 
 def _plan(df) -> str:

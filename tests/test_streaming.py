@@ -20,7 +20,7 @@ from txnwatch.streaming import StreamJob, late_rows, read_table
 from txnwatch.streaming.counts import streaming_window_counts
 from txnwatch.operators.windows import window_counts
 
-from conftest import SF001
+from helpers import SF001
 
 
 def _split_files(spark, scratch, k):
