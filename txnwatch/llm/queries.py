@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnwatch.llm import chunk_dedup, decontamination, language_id, line_dedup, mixing, ngram_join, pii, quality_model, quality_rules, suffix_dedup
+from txnwatch.llm import chunk_dedup, decontamination, language_id, line_dedup, mixing, ngram_join, pii, quality_model, quality_rules, suffix_dedup, top_k
 from txnwatch.llm.common import documents
 
 
@@ -54,10 +54,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")).drop("key")
 
 
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_ngram_join, op2_quality_rules, op3_decontamination, op4_chunk_dedup, op5_suffix_dedup,
-        op6_quality_model, op7_language_id, op8_line_dedup, op9_personal_data, op10_mixing, op3_near_passages,
+        op6_quality_model, op7_language_id, op8_line_dedup, op9_personal_data, op10_mixing, op3_near_passages, op13_top_k,
     )
     return {f.__name__: f for f in ops}
 
@@ -138,5 +142,22 @@ FROM documents d JOIN t ON coalesce(d.text, '') = t.text JOIN r USING (class_id)
 """
 
 
+#: Integer vectors of the rows that take part.
+_VECTORS_SQL = """
+i AS (SELECT vec_id, {label} AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+      WHERE vec_id IS NOT NULL AND {label} IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+"""
+
+_TOP_K_SQL = f"""
+WITH {_VECTORS_SQL.format(label="0")},
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score FROM i q JOIN i c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s QUALIFY rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_join": _JOIN_SQL, "op2_quality_rules": _quality_sql(), "op3_decontamination": _DECONTAMINATION_SQL, "op8_line_dedup": _LINES_SQL}
+    return {
+        "op1_ngram_join": _JOIN_SQL, "op2_quality_rules": _quality_sql(), "op3_decontamination": _DECONTAMINATION_SQL, "op8_line_dedup": _LINES_SQL,
+        "op13_top_k": _TOP_K_SQL,
+    }
