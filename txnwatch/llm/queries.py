@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from txnwatch.llm import chunk_dedup, decontamination, language_id, line_dedup, mixing, ngram_join, pii, quality_model, quality_rules, suffix_dedup, top_k
+from txnwatch.llm import chunk_dedup, decontamination, hard_negatives, language_id, line_dedup, mixing, ngram_join, pii, quality_model, quality_rules, suffix_dedup, top_k
 from txnwatch.llm.common import documents
 
 
@@ -54,6 +55,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")).drop("key")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), label)
+
+
 def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -61,7 +67,7 @@ def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_ngram_join, op2_quality_rules, op3_decontamination, op4_chunk_dedup, op5_suffix_dedup,
-        op6_quality_model, op7_language_id, op8_line_dedup, op9_personal_data, op10_mixing, op3_near_passages, op13_top_k,
+        op6_quality_model, op7_language_id, op8_line_dedup, op9_personal_data, op10_mixing, op3_near_passages, op11_hard_negatives, op13_top_k,
     )
     return {f.__name__: f for f in ops}
 
@@ -155,9 +161,22 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s QUALIFY rank <= 5
 """
 
+_LABEL_SQL = "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"
+
+_NEGATIVES_SQL = f"""
+WITH {_VECTORS_SQL.format(label=_LABEL_SQL)},
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+      FROM i a JOIN i c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score QUALIFY rank <= 5
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_ngram_join": _JOIN_SQL, "op2_quality_rules": _quality_sql(), "op3_decontamination": _DECONTAMINATION_SQL, "op8_line_dedup": _LINES_SQL,
-        "op13_top_k": _TOP_K_SQL,
+        "op11_hard_negatives": _NEGATIVES_SQL, "op13_top_k": _TOP_K_SQL,
     }
