@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnwatch.llm import chunk_dedup, decontamination, hard_negatives, language_id, line_dedup, mixing, ngram_join, pii, quality_model, quality_rules, suffix_dedup, top_k
+from txnwatch.llm import chunk_dedup, decontamination, filter_audit, hard_negatives, language_id, line_dedup, mixing, ngram_join, pii, quality_model, quality_rules, suffix_dedup, top_k
 from txnwatch.llm.common import documents
 
 
@@ -60,6 +60,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), label)
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -67,7 +71,7 @@ def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_ngram_join, op2_quality_rules, op3_decontamination, op4_chunk_dedup, op5_suffix_dedup,
-        op6_quality_model, op7_language_id, op8_line_dedup, op9_personal_data, op10_mixing, op3_near_passages, op11_hard_negatives, op13_top_k,
+        op6_quality_model, op7_language_id, op8_line_dedup, op9_personal_data, op10_mixing, op3_near_passages, op11_hard_negatives, op12_filter_audit, op13_top_k,
     )
     return {f.__name__: f for f in ops}
 
@@ -174,9 +178,32 @@ SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, p
 FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score QUALIFY rank <= 5
 """
 
+_AUDIT_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, part, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM d),
+f AS (SELECT doc_id, part, len(ws) < 200 AS a, 100 * len(list_distinct(ws)) < 50 * len(ws) AS b, 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 2 * length(t) AS c,
+             regexp_matches(t, '[#$%&*|]') AS d, coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e FROM w),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+x AS (SELECT part, [a, b, c, d, e] AS fails, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic FROM f LEFT JOIN l USING (doc_id) GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS z, generate_subscripts(['A', 'B', 'C', 'D', 'E'], 1) AS i),
+o AS (SELECT concat(p.z, q.z, r.z, s.z, u.z) AS filter_order, [p.i, q.i, r.i, s.i, u.i] AS seq
+      FROM letters p, letters q, letters r, letters s, letters u WHERE len(list_distinct([p.i, q.i, r.i, s.i, u.i])) = 5),
+k AS (SELECT part, filter_order, unnest([1, 2, 3, 4, 5]) AS step, seq, fails, n, good, toxic FROM x, o),
+y AS (SELECT part, filter_order, step, seq[step] AS own, fails[seq[step]] AS hit, len(list_filter(seq[1:step - 1], lambda i: fails[i])) > 0 AS gone,
+             len(list_filter(fails, lambda z: z)) AS n_fails, n, good, toxic FROM k),
+v AS (SELECT part, filter_order, step, any_value(own) AS own, coalesce(sum(n) FILTER (WHERE NOT hit AND NOT gone), 0) AS kept, coalesce(sum(n) FILTER (WHERE hit AND NOT gone), 0) AS removed,
+             coalesce(sum(n) FILTER (WHERE hit AND gone), 0) AS redundant, coalesce(sum(n) FILTER (WHERE hit AND n_fails = 1), 0) AS unique_fails,
+             coalesce(sum(good) FILTER (WHERE hit AND NOT gone), 0) AS good_lost, coalesce(sum(toxic) FILTER (WHERE hit AND NOT gone), 0) AS toxic_lost
+      FROM y GROUP BY part, filter_order, step)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM v
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_ngram_join": _JOIN_SQL, "op2_quality_rules": _quality_sql(), "op3_decontamination": _DECONTAMINATION_SQL, "op8_line_dedup": _LINES_SQL,
-        "op11_hard_negatives": _NEGATIVES_SQL, "op13_top_k": _TOP_K_SQL,
+        "op11_hard_negatives": _NEGATIVES_SQL, "op12_filter_audit": _AUDIT_SQL, "op13_top_k": _TOP_K_SQL,
     }
