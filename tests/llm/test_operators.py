@@ -36,7 +36,7 @@ def odd(spark):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = queries.queries()[name](spark, SF).toPandas()
     want = con.sql(queries.oracle_sql()[name]).df()
