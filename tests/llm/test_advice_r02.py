@@ -30,14 +30,14 @@ def test_rates_meet_targets_of_domains_that_overlap(spark):
     toxic = np.where(rng.random(3000) < 0.33, rng.beta(2, 3, 3000), rng.beta(1, 9, 3000))
     low = (1 - toxic) * rng.beta(1, 12, 3000)
     rows = [(int(n), [float(1 - t - u), float(u), float(t)]) for n, t, u in zip(rng.integers(1, 400, 3000), toxic, low, strict=True)]
-    rate, report = mixing.fit_rates(spark.createDataFrame(rows, "n_words long, p array<double>"), ["good", "low", "toxic"])
+    _, report = mixing.fit_rates(spark.createDataFrame(rows, "n_words long, p array<double>"), ["good", "low", "toxic"])
     assert max(report["miss"]) <= mixing.TOLERANCE and report["steps"] < 60
 
 
 def test_targets_that_no_rates_meet_are_reported(spark):
     soft = spark.createDataFrame([(10, [0.5, 0.3, 0.2])] * 20 + [(30, [0.4, 0.3, 0.3])] * 20, "n_words long, p array<double>")
-    rate, report = mixing.fit_rates(soft, ["good", "low", "toxic"])
-    got = soft.select(rate.alias("r")).toPandas().r
+    steps, report = mixing.fit_rates(soft, ["good", "low", "toxic"])
+    got = mixing.rates(np.array([r.p for r in soft.collect()]), steps)
     assert (got >= 0).all() and np.isfinite(got).all() and max(report["miss"]) > 0.5
     docs = spark.createDataFrame([(1, "some words here"), (2, "and more")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")

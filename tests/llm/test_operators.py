@@ -223,7 +223,7 @@ def test_pipeline_against_brute_force_stages(spark, docs):
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
     assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in decontamination.report(single, items).collect() if not r.contaminated}
     mix = corpus_pipeline.mix(spark, clean, SF)
-    assert mix.columns == [*docs.columns, "rate", "copies"] and mix.where("copies < 1").count() == 0
+    assert mix.columns == [*docs.columns, "rate", "copies", "unreachable"] and mix.where("copies < 1").count() == 0
     assert [len(corpus_pipeline.STAGES), corpus_pipeline.ORACLE_SQL] == [5, None]
 
 

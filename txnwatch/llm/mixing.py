@@ -2,15 +2,19 @@
 distributed projected-gradient least squares fits nonnegative document rates whose expected domain token totals match
 the targets.
 
-Rates r minimise sum_k ((sum_d r_d n_d p_dk - T_k) / T_k)^2 with r >= 0, where n are words and p posteriors; of all such
-rates those nearest to 1 (by words) are taken. They are max(0, 1 + sum_k m_k p_dk) with a multiplier m_k for each domain,
-so Newton's method runs on the few multipliers: a step is one aggregate over all documents, and nothing else is kept.
+Rates r between 0 and MOST_RATE minimise (s - t)' W (s - t) + NEAR * mean((r - 1)^2), where s_k = sum_d r_d n_d p_dk is a
+domain's share of the input's words n, t_k its target, p the posteriors, W the inverse of the mean of p p' over the documents
+whose rate is not at a bound, which makes all directions bend alike, and means are by words. All rates start at 1. A step
+moves every rate against the gradient, clips it, and goes along that way to the least value; the gradient of a document is
+its posteriors' product with one number a domain, so a step is two aggregates over all documents, and the rates follow from
+the list of steps. A domain that REACH times all documents cannot fill has no part in the fit and is named.
 """
 
 from __future__ import annotations
 
 import warnings
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +32,16 @@ BUDGET = 1.1
 SAMPLE = 4000
 #: Miss of a domain, relative to its target, at which the rates are done.
 TOLERANCE = 1e-6
-#: Weight of the distance from 1 against the squared misses; so small that targets that can be met are.
-NEAR = 1e-10
+#: Weight of the squared distance from rate 1 against the squared misses.
+NEAR = 1e-8
+#: The highest rate of a document.
+MOST_RATE = 100.0
+#: A domain is out of reach if its target is more than so many times the words that the documents have of it.
+REACH = 8.0
+#: The fit has stalled when so many steps together lower the largest miss by less than a thousandth of it.
+STALL = 10
+#: Share of the input's words that the mixture keeps at least, each counted once; where the targets ask for less, mixed raises.
+LEAST_KEPT = 0.5
 
 
 def label_domain() -> Column:
@@ -73,77 +85,131 @@ def posteriors(docs: DataFrame, weights: np.ndarray, domains: list[str], doc_id:
     return rows.mapInArrow(score, "doc_id long, key binary, n_words long, p array<double>")
 
 
-def _rate(multipliers: np.ndarray) -> Column:
-    """The rate of a document with posteriors p."""
-    return F.expr("greatest(0.0D, 1.0D" + "".join(f" + {float(m)!r}D * p[{i}]" for i, m in enumerate(multipliers)) + ")")
+@dataclass(frozen=True)
+class Step:
+    """A step of all rates: against ``slope`` (a number a domain) by ``size``, clipped, and ``share`` of the way there."""
 
+    slope: np.ndarray
+    size: float
+    share: float = 0.0
 
-def _sums(soft: DataFrame, tries: list[np.ndarray]) -> list[tuple[float, np.ndarray, np.ndarray]]:
-    """For each try of the multipliers (half the sum of n r^2, the sums of n r p, the sums of n p p' where r > 0), in one aggregate."""
-    k = len(tries[0])
-    rows = soft.select("n_words", "p", *[_rate(m).alias(f"r{t}") for t, m in enumerate(tries)])
-    w, found = F.col("n_words") * F.lit(1.0), []
-    for t in range(len(tries)):
-        r = F.col(f"r{t}")
-        found.append(F.sum(w * r * r / 2).alias(f"v{t}"))
-        found += [F.sum(w * r * F.col("p")[i]).alias(f"g{t}_{i}") for i in range(k)]
-        found += [F.sum(F.when(r > 0, w * F.col("p")[i] * F.col("p")[j]).otherwise(0.0)).alias(f"h{t}_{i}_{j}") for i in range(k) for j in range(i, k)]
-    row = rows.agg(*found).first()
-    return [(row[f"v{t}"], np.array([row[f"g{t}_{i}"] for i in range(k)]), np.array([[row[f"h{t}_{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)])) for t in range(len(tries))]
+    def way(self, rates: np.ndarray, p: np.ndarray) -> np.ndarray:
+        return np.clip(rates - self.size * (p @ self.slope + NEAR * (rates - 1)), 0, MOST_RATE) - rates
 
 
-def fit_rates(soft: DataFrame, domains: list[str], targets: Mapping[str, float] = TARGETS, budget: float = BUDGET) -> tuple[Column, dict]:
-    """(rate of a row of ``soft`` as a column, report). No words: rate 1.
+def rates(p: np.ndarray, steps: list[Step]) -> np.ndarray:
+    """Rates of documents with posteriors ``p`` after the steps."""
+    r = np.ones(len(p))
+    for step in steps:
+        r = r + step.share * step.way(r, p)
+    return r
 
-    It ends when every miss is within TOLERANCE of its target, or when no step lowers the objective: then no rates meet the
-    targets, these come nearest, and ``miss`` of the report says how far off each domain is, relative to its target.
+
+def _posteriors(b: pa.RecordBatch, k: int) -> np.ndarray:
+    return b.column("p").flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+
+
+def _sums(soft: DataFrame, k: int, names: list[str], of: Callable[[np.ndarray, np.ndarray], list[np.ndarray]]) -> np.ndarray:
+    """Sums over all rows of what ``of`` makes of a batch's words and posteriors, one for each of ``names``."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(names))
+        for b in batches:
+            total += np.concatenate([np.ravel(x) for x in of(b.column("n_words").to_numpy(), _posteriors(b, k))])
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total], names)
+
+    row = soft.select("n_words", "p").mapInArrow(part, ", ".join(f"{x} double" for x in names)).agg(*[F.sum(x).alias(x) for x in names]).first()
+    return np.array([x or 0.0 for x in row])
+
+
+def _state(soft: DataFrame, steps: list[Step], k: int) -> tuple[float, np.ndarray, np.ndarray]:
+    """Words, the domains' totals, and the sums of n p p' of the documents whose rate is not at a bound."""
+
+    def of(n: np.ndarray, p: np.ndarray) -> list[np.ndarray]:
+        r = rates(p, steps)
+        free = n * ((r > 0) & (r < MOST_RATE))
+        return [n.sum(keepdims=True), (n * r) @ p, (p * free[:, None]).T @ p]
+
+    got = _sums(soft, k, [f"s{i}" for i in range(1 + k + k * k)], of)
+    return float(got[0]), got[1 : k + 1], got[k + 1 :].reshape(k, k)
+
+
+def _along(soft: DataFrame, steps: list[Step], k: int) -> tuple[np.ndarray, float, float]:
+    """For the last of ``steps``, by words: its way's domain totals, its squared length, and its product with r - 1."""
+
+    def of(n: np.ndarray, p: np.ndarray) -> list[np.ndarray]:
+        r = rates(p, steps[:-1])
+        way = steps[-1].way(r, p)
+        return [(n * way) @ p, [n @ way**2, (n * way) @ (r - 1)]]
+
+    got = _sums(soft, k, [f"s{i}" for i in range(k + 2)], of)
+    return got[:k], got[k], got[k + 1]
+
+
+def fit_rates(soft: DataFrame, domains: list[str], targets: Mapping[str, float] = TARGETS, budget: float = BUDGET) -> tuple[list[Step], dict]:
+    """(steps from rate 1, report) for the rows of ``soft``.
+
+    It ends when every reachable domain is within TOLERANCE of its target, or when it has stalled; ``miss`` of the report
+    says how far off each domain is, relative to its target, and ``unreachable`` names those left out.
     """
     k = len(domains)
-    n = float(soft.agg(F.sum("n_words").alias("n")).first()["n"] or 0)
-    if not n:
-        return F.lit(1.0), {"words": 0, "before": [0.0] * k, "after": [0.0] * k, "targets": [0.0] * k, "miss": [0.0] * k, "steps": 0}
+    n, now, free = _state(soft, [], k)
     aim = np.array([targets[d] for d in domains]) * budget
     unit = np.maximum(aim, 1e-6 * budget)
-    ridge = np.diag(NEAR * unit**2)
-
-    def measure(tries: list[np.ndarray]) -> list[tuple]:
-        """(objective, gradient, curvature, totals, multipliers) of each try; the objective is the dual of the least squares."""
-        out = []
-        for m, (v, g, h) in zip(tries, _sums(soft, tries), strict=True):
-            out.append((v / n - float(aim @ m) + float(m @ ridge @ m) / 2, g / n - aim + ridge @ m, h / n + ridge, g / n, m))
-        return out
-
-    now = measure([np.zeros(k)])[0]
-    before, steps = now[3], 0
-    while np.abs((now[3] - aim) / unit).max() > TOLERANCE:
-        move = unit * np.linalg.solve(now[2] * np.outer(unit, unit), -unit * now[1])
-        size, best = 1.0, now
-        while size > 1e-12 and best is now:
-            best = min(measure([now[4] + move * size / 4**j for j in range(4)]), key=lambda x: x[0])
-            if best[0] >= now[0] - 1e-14 * abs(now[0]) and np.abs(best[1] / unit).max() >= np.abs(now[1] / unit).max() / 2:
-                best = now
-            size /= 4**4
-        if best is now:
+    now = before = now / max(n, 1)
+    reached = REACH * before >= aim
+    steps: list[Step] = []
+    seen = [(np.abs(now - aim) / unit)[reached].max(initial=0)]
+    while n and seen[-1] > TOLERANCE and (len(seen) <= STALL or seen[-1] < 0.999 * min(seen[:-STALL])):
+        weight = np.linalg.pinv(free / n * np.outer(reached, reached), rcond=1e-9, hermitian=True)
+        step = Step(weight @ (now - aim), 1.0)
+        total, length, off = (x / n for x in _along(soft, [*steps, step], k))
+        bend = float(total @ weight @ total) + NEAR * length
+        if not bend:
             break
-        now, steps = best, steps + 1
-    report = {"words": n, "before": (before * n).tolist(), "after": (now[3] * n).tolist(), "targets": (aim * n).tolist(), "miss": (np.abs(now[3] - aim) / unit).tolist(), "steps": steps}
-    return _rate(now[4]), report
+        share = min(1.0, max(0.0, -(float((now - aim) @ weight @ total) + NEAR * off) / bend))
+        steps.append(replace(step, share=share))
+        _, now, free = _state(soft, steps, k)
+        now = now / n
+        seen.append((np.abs(now - aim) / unit)[reached].max(initial=0))
+    report = {
+        "words": n, "before": (before * n).tolist(), "after": (now * n).tolist(), "targets": (aim * n).tolist(), "miss": (np.abs(now - aim) / unit).tolist(),
+        "unreachable": [d for d, r in zip(domains, reached, strict=True) if n and not r], "steps": len(steps),
+    }
+    return steps, report
+
+
+def with_rates(soft: DataFrame, steps: list[Step], k: int) -> DataFrame:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rates(_posteriors(b, k), steps))], [*b.schema.names, "rate"])
+
+    return soft.mapInArrow(add, "doc_id long, key binary, n_words long, p array<double>, rate double")
 
 
-def mixed(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, budget: float = BUDGET, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, key, n_words, a posterior p_<domain> for each domain, rate, copies, miss: a row for each row of ``docs``.
+def mixed(
+    docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, budget: float = BUDGET, doc_id: str = "doc_id", text: str = "text", least_kept: float = LEAST_KEPT
+) -> DataFrame:
+    """doc_id, key, n_words, a posterior p_<domain> for each domain, rate, copies, miss, unreachable: a row for each row of ``docs``.
 
     copies is the rate rounded up or down by a hash of id and text, so that its mean is the rate; 0 leaves a document out.
     Null or empty text has no words and the classifier's prior; repeated rows are scored and counted one by one; without
-    labels all posteriors are equal. Whatever its columns, only doc_id and text of ``docs`` are read. miss is the same on all
-    rows: the largest miss of a domain relative to its target. Over TOLERANCE, no rates meet the targets; a warning says so.
+    labels all posteriors are equal; an empty table gives no rows. Whatever its columns, only doc_id (a number) and text of
+    ``docs`` are read. miss and unreachable are the same on all rows: the largest miss of a reachable domain relative to its
+    target, and the names of the others, comma-joined. A warning says where a miss is over TOLERANCE; a mixture that leaves
+    out more than 1 - ``least_kept`` of the words is an error.
     """
     domains = sorted(targets)
     soft = cut(posteriors(docs, fit(docs, labels, domains, doc_id, text), domains, doc_id, text))
-    rate, report = fit_rates(soft, domains, targets, budget)
-    miss = max(report["miss"], default=0.0)
+    steps, report = fit_rates(soft, domains, targets, budget)
+    miss = max((m for d, m in zip(domains, report["miss"], strict=True) if d not in report["unreachable"]), default=0.0)
     if miss > TOLERANCE:
         warnings.warn(f"no rates meet the targets: {dict(zip(domains, report['miss'], strict=True))} off, relative to each", stacklevel=2)
+    out = with_rates(soft, steps, len(domains))
+    kept = out.agg(F.sum(F.col("n_words") * F.least("rate", F.lit(1.0))).alias("n")).first()["n"] or 0
+    if kept < least_kept * report["words"]:
+        raise ValueError(f"the mixture keeps {kept:.0f} of {report['words']:.0f} words; the targets are out of reach of these documents")
     u = F.pmod(F.xxhash64("key", "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    out = soft.withColumn("rate", rate).withColumn("copies", F.floor(F.col("rate") + u).cast("long"))
-    return out.select(F.col("doc_id").alias(doc_id), "key", "n_words", *[F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(domains)], "rate", "copies", F.lit(miss).alias("miss"))
+    out = out.withColumn("copies", F.floor(F.col("rate") + u).cast("long"))
+    shares = [F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(domains)]
+    return out.select(F.col("doc_id").alias(doc_id), "key", "n_words", *shares, "rate", "copies", F.lit(miss).alias("miss"), F.lit(",".join(report["unreachable"])).alias("unreachable"))
