@@ -22,7 +22,7 @@ from txnwatch.operators.alerts import explode_detail, to_alerts
 from txnwatch.operators.interval_join import geo_pairs
 from txnwatch.operators.screening import screen
 from txnwatch.operators.windows import window_alerts, window_counts
-from txnwatch.plans import reports
+from txnwatch.plans import reports, stream_catalog
 from txnwatch.plans.medallion import bronze, silver
 from txnwatch.session import pin_utc
 from txnwatch.sources.events import TXN_COLUMNS, load_transactions
@@ -316,4 +316,5 @@ def queries() -> dict[str, Query]:
         "recall_by_label": q_recall_by_label,
         "alerts_in_lost_hour": q_alerts_in_lost_hour,
         "bronze_silver_gaps": q_bronze_silver_gaps,
+        **stream_catalog.queries(),
     }

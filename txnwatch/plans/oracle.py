@@ -315,6 +315,18 @@ FROM (
            lag(longitude) OVER w AS prev_lon
     FROM txs WINDOW w AS (PARTITION BY user_id ORDER BY "timestamp", transaction_id)))
 WHERE prev_ts IS NOT NULL AND gap_seconds BETWEEN 0 AND 600 AND distance_km > 1000.0""")
+    q["stream_pairs"] = _with(f"""
+SELECT user_id, transaction_id, prev_transaction_id, "timestamp", prev_ts, gap_seconds, round(km, 6) AS distance_km
+FROM (SELECT t.user_id, t.transaction_id, p.transaction_id AS prev_transaction_id, t."timestamp", p."timestamp" AS prev_ts, t.sec - p.sec AS gap_seconds,
+             {haversine('p.latitude', 'p.longitude', 't.latitude', 't.longitude')} AS km
+      FROM txs t JOIN txs p ON t.user_id = p.user_id AND t.sec - p.sec BETWEEN 0 AND 3600
+           AND (t.sec > p.sec OR (t.kafka_partition, t.kafka_offset) > (p.kafka_partition, p.kafka_offset)))
+WHERE round(km, 6) > 1000""")
+    # Windows whose end the watermark, ten minutes behind the newest event, has reached.
+    newest = "(SELECT max(date_trunc('millisecond', \"timestamp\")) FROM txn)"
+    for name, args in (("stream_tumbling_user_counts", ("user_id", 300, 300)), ("stream_sliding_merchant_counts", ("merchant_id", 1800, 600))):
+        head, tail = windows(*args).split("\nSELECT", 1)
+        q[name] = _with(f"{head}, w AS (SELECT{tail})\nSELECT * FROM w WHERE window_end <= {newest} - INTERVAL 10 MINUTE")
     q["newest_silver_rows"] = _with("""
 SELECT transaction_id, sha256(user_id || '""" + SALT + """') AS user_hash, merchant_id, amount,
        split_part(ip_address, '.', 1) || '.' || split_part(ip_address, '.', 2) || '.*.*' AS ip_mask,
