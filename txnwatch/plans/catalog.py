@@ -316,5 +316,5 @@ def queries() -> dict[str, Query]:
         "recall_by_label": q_recall_by_label,
         "alerts_in_lost_hour": q_alerts_in_lost_hour,
         "bronze_silver_gaps": q_bronze_silver_gaps,
-        **stream_catalog.queries(),
+        **stream_catalog.queries(WIDE),
     }

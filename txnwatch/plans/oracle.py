@@ -327,6 +327,18 @@ WHERE round(km, 6) > 1000""")
     for name, args in (("stream_tumbling_user_counts", ("user_id", 300, 300)), ("stream_sliding_merchant_counts", ("merchant_id", 1800, 600))):
         head, tail = windows(*args).split("\nSELECT", 1)
         q[name] = _with(f"{head}, w AS (SELECT{tail})\nSELECT * FROM w WHERE window_end <= {newest} - INTERVAL 10 MINUTE")
+    # Buckets of two hours that the watermark has reached; R1 over 60 minutes, R2 within 60.
+    q["stream_user_rules"] = _with(f"""
+, scored AS (
+  SELECT *, count(*) OVER (PARTITION BY user_id ORDER BY sec RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW) AS n,
+         lag(sec) OVER w AS p_sec, lag("timestamp") OVER w AS p_ts, {haversine('lag(latitude) OVER w', 'lag(longitude) OVER w', 'latitude', 'longitude')} AS km
+  FROM txs WINDOW w AS (PARTITION BY user_id ORDER BY "timestamp", transaction_id, kafka_partition, kafka_offset)),
+closed AS (SELECT * FROM scored WHERE make_timestamp((sec // 7200 + 1) * 7200 * 1000000) <= {newest} - INTERVAL 10 MINUTE)
+SELECT user_id, transaction_id, kafka_partition, kafka_offset, epoch_us("timestamp") AS event_micros, 'VELOCITY_FRAUD' AS rule_type, n AS txn_count,
+       CAST(NULL AS BIGINT) AS prev_micros, CAST(NULL AS DOUBLE) AS distance_km, CAST(NULL AS DOUBLE) AS time_diff_minutes FROM closed WHERE n > 1
+UNION ALL
+SELECT user_id, transaction_id, kafka_partition, kafka_offset, epoch_us("timestamp"), 'GEO_JUMP', NULL, epoch_us(p_ts), round(km, 6), (sec - p_sec) / CAST(60.0 AS DOUBLE)
+FROM closed WHERE p_ts IS NOT NULL AND km > 1000 AND (sec - p_sec) / CAST(60.0 AS DOUBLE) < 60""")
     q["newest_silver_rows"] = _with("""
 SELECT transaction_id, sha256(user_id || '""" + SALT + """') AS user_hash, merchant_id, amount,
        split_part(ip_address, '.', 1) || '.' || split_part(ip_address, '.', 2) || '.*.*' AS ip_mask,

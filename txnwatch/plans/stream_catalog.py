@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnwatch.config import RuleSet
 from txnwatch.operators.windows import window_counts
 from txnwatch.session import pin_utc
+from txnwatch.streaming.keyed import PROVIDER, keyed_user_rules
 from txnwatch.streaming.pairs import PAIR_COLUMNS, band_pairs
 from txnwatch.streaming.replay import run_to_end, stream_folder, transaction_stream
 
@@ -37,8 +39,19 @@ def _counts(key: str, duration: str, slide: str | None):
     return run
 
 
-def queries() -> dict:
+def _user_rules(rules: RuleSet):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """STR-6(b): R1 and R2 from keyed state, for the buckets that the watermark has closed when the stream ends."""
+        session = spark.newSession()  # with a state store of its own
+        session.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+        hits = run_to_end(keyed_user_rules(_stream(session, sf_dir), rules), stream_folder(spark, "user-rules"), reader=spark)
+        return hits.withColumn("distance_km", F.round("distance_km", 6))
+    return run
+
+
+def queries(wide: RuleSet) -> dict:
     return {
+        "stream_user_rules": _user_rules(wide),
         "stream_pairs": q_stream_pairs,
         "stream_tumbling_user_counts": _counts("user_id", "5 minutes", None),
         "stream_sliding_merchant_counts": _counts("merchant_id", "30 minutes", "10 minutes"),

@@ -34,8 +34,8 @@ def transaction_stream(spark: SparkSession, path: str, watermark: str = DEFAULT_
     return txns.withColumn("timestamp", as_event_time(txns, "timestamp")).withWatermark("timestamp", watermark)
 
 
-def run_to_end(stream: DataFrame, folder: str, mode: str = "append") -> DataFrame:
-    """Everything ``stream`` yields until its source ends, as the table its sink holds.
+def run_to_end(stream: DataFrame, folder: str, mode: str = "append", reader: SparkSession | None = None) -> DataFrame:
+    """Everything ``stream`` yields until its source ends, as the table its sink holds, read by ``reader`` or its own session.
 
     A second call with the same folder goes on where the first ended.
     """
@@ -45,4 +45,4 @@ def run_to_end(stream: DataFrame, folder: str, mode: str = "append") -> DataFram
     query.awaitTermination()
     if query.exception():
         raise query.exception()
-    return spark.read.schema(stream.schema).parquet(f"{folder}/sink")
+    return (reader or spark).read.schema(stream.schema).parquet(f"{folder}/sink")
