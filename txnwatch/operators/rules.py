@@ -9,6 +9,9 @@ through).  ``timestamp`` may be ``TIMESTAMP`` (session zone pinned to UTC) or
 Time semantics: counting frames and gaps use whole seconds, as
 ``cast(timestamp as long)`` does; a frame ``[t - W, t]`` is closed and holds
 every row of the current second.
+
+The counting rules R1 and R4 also take ``strategy="prefix"`` (``operators.prefix``): counts by
+second are shuffled in place of rows, and the payload meets only the seconds that fire.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ from txnwatch.functions.geo import haversine_sql
 from txnwatch.functions.masking import sql_string
 from txnwatch.functions.time import epoch_seconds_sql, quote
 from txnwatch.operators.fused import velocity_and_geo_jump
+from txnwatch.operators.prefix import with_counts
 from txnwatch.operators.trailing import previous_within, trailing_count, trailing_distinct
 
 # Evidence columns each rule adds, in the order they appear in a hit row.
@@ -50,6 +54,9 @@ def _seconds(minutes: float) -> int:
 def check_velocity(df: DataFrame, window_minutes: float = 5, threshold: int = 5,
                    strategy: str = "bucketed") -> DataFrame:
     """R1: per user, rows in ``[t - W, t]`` > ``threshold``; adds ``txn_count``."""
+    if strategy == "prefix":
+        return with_counts(df, "user_id", "timestamp", {"txn_count": _seconds(window_minutes)},
+                           where=f"txn_count > {int(threshold)}")
     counted = trailing_count(df, "user_id", "timestamp", _seconds(window_minutes), "txn_count",
                              strategy=strategy)
     return counted.where(f"txn_count > {int(threshold)}")
@@ -58,6 +65,9 @@ def check_velocity(df: DataFrame, window_minutes: float = 5, threshold: int = 5,
 def check_merchant_velocity(df: DataFrame, window_minutes: float = 1, threshold: int = 3,
                             strategy: str = "bucketed") -> DataFrame:
     """R4: per merchant, rows in ``[t - W, t]`` > ``threshold``; adds ``merchant_txn_count``."""
+    if strategy == "prefix":
+        return with_counts(df, "merchant_id", "timestamp", {"merchant_txn_count": _seconds(window_minutes)},
+                           where=f"merchant_txn_count > {int(threshold)}")
     counted = trailing_count(df, "merchant_id", "timestamp", _seconds(window_minutes),
                              "merchant_txn_count", strategy=strategy)
     return counted.where(f"merchant_txn_count > {int(threshold)}")

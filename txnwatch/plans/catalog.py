@@ -16,10 +16,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnwatch.config import RuleSet
+from txnwatch.config import TAG_MERCHANT_VELOCITY, TAG_NIGHT_LARGE, TAG_VELOCITY, RuleSet
+from txnwatch.operators import registry
 from txnwatch.operators import rules as R
 from txnwatch.operators.alerts import explode_detail, to_alerts
 from txnwatch.operators.interval_join import geo_pairs
+from txnwatch.operators.registry import CountRule, RowRule
 from txnwatch.operators.screening import screen
 from txnwatch.operators.windows import window_alerts, window_counts
 from txnwatch.plans import reports, stream_catalog
@@ -253,6 +255,20 @@ def q_bronze_silver_gaps(spark, sf_dir):
     return reports.bronze_silver_reconcile(b.where("hour(timestamp) <> 3"), silver(b, DEFAULT.salt).where("hour(timestamp) <> 4"), DEFAULT.salt)
 
 
+#: Five rules over three keys; the two of an account and the one of a device are the registry's own.
+REGISTRY = (
+    CountRule(TAG_VELOCITY, "user_id", 60, 1),
+    CountRule("DAILY_VELOCITY", "user_id", 1440, 3),
+    RowRule(TAG_NIGHT_LARGE, "amount > 1000.0D AND hour(timestamp) < 5"),
+    CountRule(TAG_MERCHANT_VELOCITY, "merchant_id", 30, 3),
+    CountRule("DEVICE_VELOCITY", "device_id", 120, 2),
+)
+
+
+def q_registry(spark, sf_dir):
+    return registry.score(_tx(spark, sf_dir), REGISTRY)
+
+
 def q_interval_pairs(spark, sf_dir):
     return geo_pairs(_tx(spark, sf_dir), max_gap_seconds=600, min_distance_km=1000)
 
@@ -305,6 +321,9 @@ def queries() -> dict[str, Query]:
                                             out="merchant_txn_count"),
         "sliding_user_alerts": _windows("user_id", "60 minutes", "15 minutes", threshold=2),
         "interval_pairs": q_interval_pairs,
+        "r1_velocity_720m_prefix": _rule(lambda t: R.check_velocity(t, 720, 5, strategy="prefix"), ["txn_count"]),
+        "r4_merchant_velocity_30m_prefix": _rule(lambda t: R.check_merchant_velocity(t, 30, 3, strategy="prefix"), ["merchant_txn_count"]),
+        "registry_rules": q_registry,
         "newest_silver_rows": q_newest_silver,
         "newest_bronze_rows": q_newest_bronze,
         "all_rules_r3_only": _all_rules(WIDE.replace(r1=dict(enabled=False), r2=dict(enabled=False), r4=dict(enabled=False))),

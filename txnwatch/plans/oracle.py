@@ -322,6 +322,17 @@ FROM (SELECT t.user_id, t.transaction_id, p.transaction_id AS prev_transaction_i
       FROM txs t JOIN txs p ON t.user_id = p.user_id AND t.sec - p.sec BETWEEN 0 AND 3600
            AND (t.sec > p.sec OR (t.kafka_partition, t.kafka_offset) > (p.kafka_partition, p.kafka_offset)))
 WHERE round(km, 6) > 1000""")
+    q["r1_velocity_720m_prefix"] = q["r1_velocity_720m"]
+    q["r4_merchant_velocity_30m_prefix"] = q["r4_merchant_velocity_30m"]
+
+    def counting(tag: str, key: str, minutes: int, threshold: int) -> str:
+        frame = f"count(*) OVER (PARTITION BY {key} ORDER BY sec RANGE BETWEEN {60 * minutes} PRECEDING AND CURRENT ROW)"
+        return f"SELECT {TXN_COLS}, '{tag}' AS rule_type, {frame} AS evidence FROM txs QUALIFY evidence > {threshold}"
+
+    q["registry_rules"] = _with("\nUNION ALL\n".join([
+        counting("VELOCITY_FRAUD", "user_id", 60, 1), counting("DAILY_VELOCITY", "user_id", 1440, 3),
+        f"""SELECT {TXN_COLS}, 'NIGHT_LARGE' AS rule_type, NULL AS evidence FROM txs WHERE amount > 1000 AND hour("timestamp") < 5""",
+        counting("MERCHANT_VELOCITY", "merchant_id", 30, 3), counting("DEVICE_VELOCITY", "device_id", 120, 2)]))
     # Windows whose end the watermark, ten minutes behind the newest event, has reached.
     newest = "(SELECT max(date_trunc('millisecond', \"timestamp\")) FROM txn)"
     for name, args in (("stream_tumbling_user_counts", ("user_id", 300, 300)), ("stream_sliding_merchant_counts", ("merchant_id", 1800, 600))):
