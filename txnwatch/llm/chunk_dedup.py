@@ -10,13 +10,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnwatch.llm.common import blocks, buffers, constants, prefix_hash, range_hash, split_join, text_key
+from txnwatch.llm.common import blocks, buffers, constants, prefix_hash, range_hash, split_join
 
 #: Bytes of a chunk: least, mean beyond the least, most.
 LEAST, MEAN, MOST = 24, 32, 160
 #: A run of repeated chunks is cut from this length on; shorter ones are phrases that recur by chance.
 RUN = 100
 
+#: A chunk's place is its start times this number, plus its size.
+PLACE = 1 << 16
 #: Bytes that the rolling hash sees.
 _SPAN = 32
 _GEAR = (constants(256, 21) >> np.uint64(32)).astype(np.uint32)
@@ -58,7 +60,7 @@ def cut_points(data: np.ndarray, offsets: np.ndarray, least: int = LEAST, mean:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, doc_id, start, size, a, b) of each chunk; a and b are its 128-bit digest."""
+    """(key, doc_id, place, a, b) of each chunk; place is its start and size, a and b are its 128-bit digest."""
     for batch in batches:
         data, offsets = buffers(batch.column("text"))
         for i, j in blocks(offsets):
@@ -68,8 +70,8 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = pa.array(owner + i)
             digest = [range_hash(prefix_hash(raw, salt), start, end, salt) ^ (end - start).astype(np.uint64) for salt in (0, 1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key").take(rows), batch.column("doc_id").take(rows), pa.array((start - at[owner]).astype(np.int32)), pa.array((end - start).astype(np.int32)), *(pa.array(x.view(np.int64)) for x in digest)],
-                ["key", "doc_id", "start", "size", "a", "b"],
+                [batch.column("key").take(rows), batch.column("doc_id").take(rows), pa.array((start - at[owner]) * PLACE + end - start), *(pa.array(x.view(np.int64)) for x in digest)],
+                ["key", "doc_id", "place", "a", "b"],
             )
 
 
@@ -82,7 +84,7 @@ def _strip(batches: Iterator[pa.RecordBatch], run: int) -> Iterator[pa.RecordBat
             raw = data[offsets[k] : offsets[k + 1]]
             n, parts, last = 0, [], 0
             merged: list[list[int]] = []
-            for s, size in sorted({(x["start"], x["size"]) for x in again or []}):
+            for s, size in (divmod(x, PLACE) for x in sorted(set(again or []))):
                 if merged and merged[-1][1] == s:
                     merged[-1][1] += size
                 else:
@@ -108,15 +110,16 @@ def strip_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
 
     Of equal chunks the first stays, in the order of doc_id (null last), text key and place; the others go where they make
     up a run of ``run`` bytes or more. Null text is the empty one. Rows with equal doc_id and text are one document. Of
-    equal texts under several ids the first keeps what is new in it.
+    equal texts under several ids the first keeps what is new in it. Texts of one id, and those without, are told apart by a
+    64-bit hash: it goes with every chunk.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), text_key(F.col(text)).alias("key"), F.col(text).alias("text"))
-    chunks = rows.mapInArrow(_chunks, "key binary, doc_id long, start int, size int, a long, b long")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("key").alias("key"), F.col("start").alias("start"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("key"), F.col(text).alias("text"))
+    chunks = rows.mapInArrow(_chunks, "key long, doc_id long, place long, a long, b long")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("key").alias("key"), F.col("place").alias("place"))
     # A chunk that only repeated rows share comes through here as well; below it equals its first.
     first = chunks.groupBy("a", "b").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").select("a", "b", "first")
     again = split_join(chunks, first, ["a", "b"]).where(~order.eqNullSafe(F.col("first")))
-    again = again.groupBy("key", "doc_id").agg(F.collect_set(F.struct("start", "size")).alias("again")).select(F.col("key").alias("_key"), F.col("doc_id").alias("_id"), "again")
+    again = again.groupBy("key", "doc_id").agg(F.collect_set("place").alias("again")).select(F.col("key").alias("_key"), F.col("doc_id").alias("_id"), "again")
     both = rows.join(again, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left").select("doc_id", "text", "again")
     out = both.mapInArrow(lambda it: _strip(it, run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
     return out.withColumnRenamed("doc_id", doc_id)
