@@ -24,7 +24,7 @@ from txnwatch.operators.interval_join import geo_pairs
 from txnwatch.operators.registry import CountRule, RowRule
 from txnwatch.operators.screening import screen
 from txnwatch.operators.windows import window_alerts, window_counts
-from txnwatch.plans import reports, stream_catalog
+from txnwatch.plans import feed, reports, stream_catalog
 from txnwatch.plans.medallion import bronze, silver
 from txnwatch.session import pin_utc
 from txnwatch.sources.events import TXN_COLUMNS, load_transactions
@@ -149,6 +149,26 @@ def q_next_cursor(spark, sf_dir):
     return _ntz(reports.next_cursor(wide_alerts(spark, sf_dir), cursor), "cursor")
 
 
+#: Broker offsets of a micro-batch, and the place that the sequence queries read on from: amid a batch.
+BATCH_OFFSETS = 500
+PLACE = feed.Place(3, 7)
+
+
+def _published(spark, sf_dir):
+    """Alerts with the micro-batch that would have published them."""
+    hits = R.apply_all_rules(_tx(spark, sf_dir), WIDE)
+    alerts = to_alerts(hits, WIDE, alert_time=batch_alert_time(), keep=("kafka_partition", "kafka_offset"))
+    return alerts.withColumn("batch_id", F.expr(f"kafka_offset div {BATCH_OFFSETS}"))
+
+
+def q_alerts_after_place(spark, sf_dir):
+    return feed.after(_published(spark, sf_dir), PLACE).select("batch_id", "position", "alert_id", "kafka_partition", "kafka_offset")
+
+
+def q_next_place(spark, sf_dir):
+    return feed.next_place(feed.after(_published(spark, sf_dir), PLACE), PLACE)
+
+
 def q_alerts_with_severity(spark, sf_dir):
     out = reports.alerts_with_severity(wide_alerts(spark, sf_dir))
     return out.select("alert_id", "rule_type", "rule_id", "severity", "response_minutes")
@@ -307,6 +327,8 @@ def queries() -> dict[str, Query]:
         "latest_alerts": q_latest_alerts,
         "alerts_since_cursor": q_alerts_since,
         "next_cursor": q_next_cursor,
+        "alerts_after_place": q_alerts_after_place,
+        "next_place": q_next_place,
         "alerts_with_severity": q_alerts_with_severity,
         "alerts_not_in_bronze": q_alerts_not_in_bronze,
         "bronze_silver_reconcile": q_reconcile,

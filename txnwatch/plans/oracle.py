@@ -242,6 +242,15 @@ FROM alerts WHERE alert_time > TIMESTAMP '2024-01-29 00:00:00'""")
     q["next_cursor"] = _with(",\n" + _alerts_cte(w) + """
 SELECT coalesce(max(alert_time), TIMESTAMP '2024-01-29 00:00:00') AS cursor
 FROM alerts WHERE alert_time > TIMESTAMP '2024-01-29 00:00:00'""")
+    numbered = _with(",\n" + all_hits_sql(w) + """,
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY alert_id, kafka_partition, kafka_offset) AS position
+  FROM (SELECT kafka_offset // 500 AS batch_id, 'ALERT-' || rule_type || '-' || transaction_id AS alert_id, kafka_partition, kafka_offset FROM hits)),
+rest AS (SELECT * FROM numbered WHERE batch_id > 3 OR (batch_id = 3 AND position > 7))""")
+    q["alerts_after_place"] = numbered + """
+SELECT batch_id, CAST(position AS INTEGER) AS position, alert_id, kafka_partition, kafka_offset FROM rest"""
+    q["next_place"] = numbered + """
+SELECT coalesce(max(batch_id), 3) AS batch_id, coalesce(max(position) FILTER (WHERE batch_id = (SELECT max(batch_id) FROM rest)), 7) AS position FROM rest"""
     q["alerts_with_severity"] = _with(",\n" + _alerts_cte(w) + """
 SELECT alert_id, rule_type,
   CASE rule_type WHEN 'VELOCITY_FRAUD' THEN 'R1' WHEN 'GEO_JUMP' THEN 'R2'
