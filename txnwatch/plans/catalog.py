@@ -23,6 +23,7 @@ from txnwatch.operators.alerts import explode_detail, to_alerts
 from txnwatch.operators.interval_join import geo_pairs
 from txnwatch.operators.registry import CountRule, RowRule
 from txnwatch.operators.screening import screen
+from txnwatch.operators.sketches import trailing_distinct_sketch
 from txnwatch.operators.windows import window_alerts, window_counts
 from txnwatch.plans import feed, reports, stream_catalog
 from txnwatch.plans.medallion import bronze, silver
@@ -285,6 +286,12 @@ REGISTRY = (
 )
 
 
+def q_distinct_users_sketch(spark, sf_dir):
+    """RUL-6 from sketches: accounts at a merchant in the last six buckets of ten minutes, where there are more than two."""
+    counts = trailing_distinct_sketch(_tx(spark, sf_dir), "merchant_id", "user_id", "timestamp", 600, 6, "merchant_user_count")
+    return counts.where("merchant_user_count > 2")
+
+
 def q_registry(spark, sf_dir):
     return registry.score(_tx(spark, sf_dir), REGISTRY)
 
@@ -346,6 +353,7 @@ def queries() -> dict[str, Query]:
         "r1_velocity_720m_prefix": _rule(lambda t: R.check_velocity(t, 720, 5, strategy="prefix"), ["txn_count"]),
         "r4_merchant_velocity_30m_prefix": _rule(lambda t: R.check_merchant_velocity(t, 30, 3, strategy="prefix"), ["merchant_txn_count"]),
         "registry_rules": q_registry,
+        "r4_distinct_users_sketch": q_distinct_users_sketch,
         "newest_silver_rows": q_newest_silver,
         "newest_bronze_rows": q_newest_bronze,
         "all_rules_r3_only": _all_rules(WIDE.replace(r1=dict(enabled=False), r2=dict(enabled=False), r4=dict(enabled=False))),

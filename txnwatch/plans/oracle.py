@@ -342,6 +342,11 @@ WHERE round(km, 6) > 1000""")
         counting("VELOCITY_FRAUD", "user_id", 60, 1), counting("DAILY_VELOCITY", "user_id", 1440, 3),
         f"""SELECT {TXN_COLS}, 'NIGHT_LARGE' AS rule_type, NULL AS evidence FROM txs WHERE amount > 1000 AND hour("timestamp") < 5""",
         counting("MERCHANT_VELOCITY", "merchant_id", 30, 3), counting("DEVICE_VELOCITY", "device_id", 120, 2)]))
+    q["r4_distinct_users_sketch"] = _with("""
+, b AS (SELECT DISTINCT merchant_id, user_id, sec // 600 AS b FROM txs),
+m AS (SELECT DISTINCT merchant_id, b FROM b)
+SELECT m.merchant_id, (m.b + 1) * 600 AS bucket_end, count(DISTINCT b.user_id) AS merchant_user_count
+FROM m JOIN b ON m.merchant_id = b.merchant_id AND b.b BETWEEN m.b - 5 AND m.b GROUP BY m.merchant_id, m.b HAVING count(DISTINCT b.user_id) > 2""")
     # Windows whose end the watermark, ten minutes behind the newest event, has reached.
     newest = "(SELECT max(date_trunc('millisecond', \"timestamp\")) FROM txn)"
     for name, args in (("stream_tumbling_user_counts", ("user_id", 300, 300)), ("stream_sliding_merchant_counts", ("merchant_id", 1800, 600))):
