@@ -57,12 +57,20 @@ def test_the_pipelines_last_stage_keeps_its_documents(spark):
     assert out.n.sum() > 0.9 * words and (out.copies >= 1).all() and set(out.unreachable) == {"low"}
 
 
-def test_domains_without_documents_are_named_and_a_mixture_of_almost_nothing_is_an_error(spark):
+def test_domains_without_documents_are_named(spark):
     rows = [(i, f"word{i % 7} and more of the same kind {i}") for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int")
     got = mixing.mixed(docs, labels).select("unreachable").distinct().collect()
     assert [r.unreachable for r in got] == ["low,toxic"]
+
+
+def test_a_mixture_of_almost_nothing_is_held_at_its_least_and_says_what_it_misses(spark):
+    docs = spark.createDataFrame([(i, f"word{i % 7} and more of the same kind {i}") for i in range(60)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
-    with pytest.raises(ValueError, match="out of reach"):
-        mixing.mixed(docs, labels, targets={"good": 0.1, "low": 0.1, "toxic": 0.0}, budget=0.1)
+    with pytest.warns(UserWarning, match="targets"):
+        got = mixing.mixed(docs, labels, targets={"good": 0.1, "low": 0.1, "toxic": 0.0}, budget=0.1).toPandas()
+    n, r = got.n_words, got.rate
+    assert (n * np.minimum(r, 1)).sum() == pytest.approx(mixing.LEAST_KEPT * n.sum()) and (r >= 0).all()
+    off = max(abs((n * r * got[f"p_{d}"]).sum() / n.sum() - 0.01) / 0.01 for d in ("good", "low"))
+    assert got.miss.nunique() == 1 and got.miss[0] >= off > 10

@@ -40,7 +40,8 @@ MOST_RATE = 100.0
 REACH = 8.0
 #: The fit has stalled when so many steps together lower the largest miss by less than a thousandth of it.
 STALL = 10
-#: Share of the input's words that the mixture keeps at least, each counted once; where the targets ask for less, mixed raises.
+#: Share of the input's words that the mixture keeps at least, each counted once; where the targets ask for less, all rates
+#: are moved towards 1 by one factor until it does.
 LEAST_KEPT = 0.5
 
 
@@ -196,19 +197,24 @@ def mixed(
     Null or empty text has no words and the classifier's prior; repeated rows are scored and counted one by one; without
     labels all posteriors are equal; an empty table gives no rows. Whatever its columns, only doc_id (a number) and text of
     ``docs`` are read. miss and unreachable are the same on all rows: the largest miss of a reachable domain relative to its
-    target, and the names of the others, comma-joined. A warning says where a miss is over TOLERANCE; a mixture that leaves
-    out more than 1 - ``least_kept`` of the words is an error.
+    target, and the names of the others, comma-joined. A warning says where a miss is over TOLERANCE. Where rates would leave
+    out more than 1 - ``least_kept`` of the words, all are moved towards 1 alike, and miss is what then remains.
     """
     domains = sorted(targets)
     soft = cut(posteriors(docs, fit(docs, labels, domains, doc_id, text), domains, doc_id, text))
     steps, report = fit_rates(soft, domains, targets, budget)
-    miss = max((m for d, m in zip(domains, report["miss"], strict=True) if d not in report["unreachable"]), default=0.0)
-    if miss > TOLERANCE:
-        warnings.warn(f"no rates meet the targets: {dict(zip(domains, report['miss'], strict=True))} off, relative to each", stacklevel=2)
     out = with_rates(soft, steps, len(domains))
     kept = out.agg(F.sum(F.col("n_words") * F.least("rate", F.lit(1.0))).alias("n")).first()["n"] or 0
+    misses = dict(zip(domains, report["miss"], strict=True))
     if kept < least_kept * report["words"]:
-        raise ValueError(f"the mixture keeps {kept:.0f} of {report['words']:.0f} words; the targets are out of reach of these documents")
+        # Words kept and totals are linear in the factor.
+        hold = (1 - least_kept) / (1 - kept / report["words"])
+        out = out.withColumn("rate", 1 + F.lit(hold) * (F.col("rate") - 1))
+        now = {d: x + hold * (y - x) for d, x, y in zip(domains, report["before"], report["after"], strict=True)}
+        misses = {d: abs(now[d] - t) / max(t, 1e-6 * budget * report["words"]) for d, t in zip(domains, report["targets"], strict=True)}
+    miss = max((m for d, m in misses.items() if d not in report["unreachable"]), default=0.0)
+    if miss > TOLERANCE:
+        warnings.warn(f"no rates meet the targets: {misses} off, relative to each", stacklevel=2)
     u = F.pmod(F.xxhash64("key", "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     out = out.withColumn("copies", F.floor(F.col("rate") + u).cast("long"))
     shares = [F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(domains)]
