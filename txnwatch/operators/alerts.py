@@ -20,6 +20,7 @@ from txnwatch.config import (
     TAG_VELOCITY,
     RuleSet,
 )
+from txnwatch.functions.time import epoch_seconds
 from txnwatch.schemas import ALERT_COLUMNS
 
 
@@ -54,10 +55,20 @@ def _only(tag: str, column: str | Column) -> Column:
     return F.when(F.col("rule_type") == tag, c)
 
 
-def detail_struct(rules: RuleSet) -> Column:
+def _utc_text(seconds: Column) -> Column:
+    """Whole seconds as ISO-8601 text in UTC, whatever the session's zone."""
+    wall = F.timestamp_add("SECOND", seconds, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    return F.concat(F.replace(wall.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
+
+
+def detail_struct(rules: RuleSet, event_sec: Column | None = None) -> Column:
     """PRJ-11: label, description, thresholds, then the rule's runtime evidence.
 
+    Given the event's second, alerts of counting rules name the window they counted (STR-5): both ends belong to it.
     """
+    sec = event_sec if event_sec is not None else F.lit(None).cast("long")
+    spans = {TAG_VELOCITY: rules.r1, TAG_MERCHANT_VELOCITY: rules.r4}
+    length = _per_rule({t: int(round(float(r.window_minutes) * 60)) for t, r in spans.items()}, "long")
     by_tag = {TAG_VELOCITY: rules.r1, TAG_GEO_JUMP: rules.r2,
               TAG_NIGHT_LARGE: rules.r3, TAG_MERCHANT_VELOCITY: rules.r4}
     label = {t: f"{RULE_IDS[t]}: {r.name} — {r.description}" for t, r in by_tag.items()}
@@ -75,6 +86,8 @@ def detail_struct(rules: RuleSet) -> Column:
         _per_rule({TAG_NIGHT_LARGE: rules.r3.min_amount}, "double").alias("min_amount"),
         _per_rule({TAG_NIGHT_LARGE: rules.r3.start_hour}, "int").alias("start_hour"),
         _per_rule({TAG_NIGHT_LARGE: rules.r3.end_hour}, "int").alias("end_hour"),
+        _utc_text(sec - length).alias("window_start"),
+        _utc_text(F.when(length.isNotNull(), sec)).alias("window_end"),
         _only(TAG_VELOCITY, "txn_count").alias("txn_count"),
         # the pseudonym, never the raw account id
         _only(TAG_VELOCITY, "user_hash").alias("user_hash"),
@@ -99,7 +112,7 @@ def to_alerts(hits: DataFrame, rules: RuleSet | None = None, alert_time: Column
                             "rule_type", "transaction_id", "user_hash", "amount", "`timestamp`",
                             "txn_count", "distance_km", "time_diff_minutes",
                             "merchant_txn_count", "merchant_id", *keep)
-    return keyed.select(*ALERT_COLUMNS[:6], F.to_json(detail_struct(rules)).alias("trigger_detail"),
+    return keyed.select(*ALERT_COLUMNS[:6], F.to_json(detail_struct(rules, epoch_seconds(keyed, "timestamp"))).alias("trigger_detail"),
                         stamp.alias("alert_time"), *keep)
 
 

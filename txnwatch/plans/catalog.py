@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnwatch.config import TAG_MERCHANT_VELOCITY, TAG_NIGHT_LARGE, TAG_VELOCITY, RuleSet
-from txnwatch.operators import registry
+from txnwatch.operators import quantiles, registry
 from txnwatch.operators import rules as R
 from txnwatch.operators.alerts import explode_detail, to_alerts
+from txnwatch.operators.bloom import screen_large
 from txnwatch.operators.interval_join import geo_pairs
 from txnwatch.operators.registry import CountRule, RowRule
 from txnwatch.operators.screening import screen
@@ -292,6 +293,34 @@ def q_distinct_users_sketch(spark, sf_dir):
     return counts.where("merchant_user_count > 2")
 
 
+def _blacklist_bloom(spark, sf_dir, keep):
+    """Screening by address, the list treated as one over the broadcast bound."""
+    tx = _tx(spark, sf_dir)
+    listed = R.check_night_large(tx, 1500, 0, 5).select("ip_address")
+    return screen_large(tx, listed, "ip_address", keep=keep).select("transaction_id", "ip_address", "amount", "timestamp")
+
+
+def q_latency_sketch(spark, sf_dir):
+    """Quantiles in microseconds from one sketch for each micro-batch and rule, merged by rule."""
+    late = _published(spark, sf_dir).selectExpr("batch_id", "rule_type", "unix_micros(alert_time) - unix_micros(CAST(`timestamp` AS TIMESTAMP)) AS micros")
+    sketches = quantiles.histogram(late, ["batch_id", "rule_type"], "micros")
+    return quantiles.quantiles(quantiles.merged(sketches, ["rule_type"]), ["rule_type"], {"p50_micros": 0.5, "p95_micros": 0.95, "p99_micros": 0.99})
+
+
+def q_alert_windows(spark, sf_dir):
+    """STR-5: the window that an alert of a counting rule names."""
+    detail = F.from_json("trigger_detail", "window_start string, window_end string").alias("w")
+    return wide_alerts(spark, sf_dir).select("alert_id", detail).where("w.window_end IS NOT NULL").select("alert_id", "w.*")
+
+
+def q_lost_colliding(spark, sf_dir):
+    """Alerts without their transaction when Bronze lacks an hour and a thousand transactions share each id."""
+    tx = _tx(spark, sf_dir).withColumn("transaction_id", F.expr("concat('TXN-', kafka_offset div 1000)"))
+    alerts = to_alerts(R.apply_all_rules(tx, WIDE), WIDE, alert_time=batch_alert_time(), keep=reports.INGEST_KEY)
+    kept = bronze(tx).where("hour(timestamp) <> 3")
+    return reports.alerts_not_in_bronze(alerts, kept, on=reports.INGEST_KEY).select("rule_type", "transaction_id", *reports.INGEST_KEY)
+
+
 def q_registry(spark, sf_dir):
     return registry.score(_tx(spark, sf_dir), REGISTRY)
 
@@ -365,5 +394,10 @@ def queries() -> dict[str, Query]:
         "recall_by_label": q_recall_by_label,
         "alerts_in_lost_hour": q_alerts_in_lost_hour,
         "bronze_silver_gaps": q_bronze_silver_gaps,
+        "blacklist_bloom_hits": lambda s, d_: _blacklist_bloom(s, d_, "hits"),
+        "blacklist_bloom_pass": lambda s, d_: _blacklist_bloom(s, d_, "pass"),
+        "alert_latency_sketch": q_latency_sketch,
+        "alert_windows": q_alert_windows,
+        "alerts_lost_colliding": q_lost_colliding,
         **stream_catalog.queries(WIDE),
     }

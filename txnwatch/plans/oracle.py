@@ -347,6 +347,39 @@ WHERE round(km, 6) > 1000""")
 m AS (SELECT DISTINCT merchant_id, b FROM b)
 SELECT m.merchant_id, (m.b + 1) * 600 AS bucket_end, count(DISTINCT b.user_id) AS merchant_user_count
 FROM m JOIN b ON m.merchant_id = b.merchant_id AND b.b BETWEEN m.b - 5 AND m.b GROUP BY m.merchant_id, m.b HAVING count(DISTINCT b.user_id) > 2""")
+    # Latencies by their seven leading binary digits, the 50th, 95th and 99th part of the sorted ones.
+    q["alert_latency_sketch"] = _with(",\n" + all_hits_sql(w) + """,
+l AS (SELECT rule_type, epoch_us(make_timestamp((epoch_us("timestamp") // 5000000 * 5 + 5) * 1000000)) - epoch_us("timestamp") AS micros FROM hits),
+c AS (SELECT rule_type, micros >> greatest(length(bin(micros)) - 7, 0) << greatest(length(bin(micros)) - 7, 0) AS low FROM l),
+o AS (SELECT *, row_number() OVER (PARTITION BY rule_type ORDER BY low) AS place, count(*) OVER (PARTITION BY rule_type) AS n FROM c)
+SELECT rule_type, count(*) AS n, min(low) FILTER (WHERE place >= ceil(0.5 * n)) AS p50_micros,
+       min(low) FILTER (WHERE place >= ceil(0.95 * n)) AS p95_micros, min(low) FILTER (WHERE place >= ceil(0.99 * n)) AS p99_micros
+FROM o GROUP BY rule_type""")
+    iso = "strftime(make_timestamp((sec - {}) * 1000000), '%Y-%m-%dT%H:%M:%SZ')"
+    q["alert_windows"] = _with(",\n" + _alerts_cte(w) + f"""
+SELECT alert_id, CASE rule_type WHEN 'VELOCITY_FRAUD' THEN {iso.format(3600)} ELSE {iso.format(1800)} END AS window_start, {iso.format(0)} AS window_end
+FROM alerts WHERE rule_type IN ('VELOCITY_FRAUD', 'MERCHANT_VELOCITY')""")
+    collide = "'TXN-' || CAST(event_id // 1000 AS VARCHAR) AS transaction_id"
+    q["alerts_lost_colliding"] = _with(",\n" + all_hits_sql(w) + """
+SELECT rule_type, transaction_id, kafka_partition, kafka_offset FROM hits WHERE hour("timestamp") = 3""").replace(
+        "'TXN-' || CAST(event_id AS VARCHAR) AS transaction_id", collide)
+    # R2 (1,000 km, an hour) after each of three batches dealt by offset, and how one state differs from the next.
+    q["r2_change_log"] = _with(f"""
+, seen AS (SELECT txs.*, b FROM txs JOIN range(0, 3) r(b) ON kafka_offset % 3 <= b),
+near AS (SELECT *, lag(sec) OVER w AS prev_sec, lag(latitude) OVER w AS prev_lat, lag(longitude) OVER w AS prev_lon
+         FROM seen WINDOW w AS (PARTITION BY b, user_id ORDER BY "timestamp", transaction_id)),
+state AS (SELECT b, kafka_partition, kafka_offset, transaction_id, prev_sec, {haversine('prev_lat', 'prev_lon', 'latitude', 'longitude')} AS km
+          FROM near WHERE prev_sec IS NOT NULL AND sec - prev_sec < 3600),
+hit AS (SELECT b, kafka_partition, kafka_offset, transaction_id, prev_sec, round(km, 6) AS distance_km FROM state WHERE km > 1000)
+SELECT a.b AS batch_id, 'insert' AS op, a.kafka_partition, a.kafka_offset, a.transaction_id, a.prev_sec, a.distance_km
+FROM hit a LEFT JOIN hit p ON p.b = a.b - 1 AND p.kafka_offset = a.kafka_offset WHERE p.b IS NULL OR p.prev_sec <> a.prev_sec OR p.distance_km <> a.distance_km
+UNION ALL
+SELECT p.b + 1, 'retract', p.kafka_partition, p.kafka_offset, p.transaction_id, NULL, NULL
+FROM hit p LEFT JOIN hit a ON a.b = p.b + 1 AND p.kafka_offset = a.kafka_offset WHERE p.b < 2 AND a.b IS NULL""")
+    q["replayed_alerts"] = _with(",\n" + all_hits_sql(w) + """
+SELECT 'ALERT-' || rule_type || '-' || transaction_id AS alert_id, rule_type, user_hash, amount, kafka_partition, kafka_offset FROM hits""")
+    q["replayed_latency"] = _with(",\n" + all_hits_sql(w) + """
+SELECT rule_type, count(*) AS n, true AS measured, true AS within_error FROM hits GROUP BY rule_type""")
     # Windows whose end the watermark, ten minutes behind the newest event, has reached.
     newest = "(SELECT max(date_trunc('millisecond', \"timestamp\")) FROM txn)"
     for name, args in (("stream_tumbling_user_counts", ("user_id", 300, 300)), ("stream_sliding_merchant_counts", ("merchant_id", 1800, 600))):
@@ -385,6 +418,8 @@ SELECT transaction_id, user_id, merchant_id, amount, "timestamp" FROM txn WHERE
     q["blacklist_ip_hits"] = _with("""
 SELECT transaction_id, ip_address, amount, "timestamp" FROM txn
 WHERE ip_address IN (SELECT ip_address FROM txn WHERE amount > 1500.0 AND hour("timestamp") < 5)""")
+    q["blacklist_bloom_hits"] = q["blacklist_ip_hits"]
+    q["blacklist_bloom_pass"] = q["blacklist_ip_hits"].replace("ip_address IN", "ip_address NOT IN")
     q["recall_by_label"] = _with(",\n" + all_hits_sql(w) + """,
 lab AS (
   SELECT transaction_id, 'NIGHT_LARGE' AS rule_type FROM txn WHERE amount > 1000.0 AND hour("timestamp") < 6
