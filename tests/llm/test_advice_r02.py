@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from txnwatch.llm import decontamination, hashed, mixing, queries
+from txnwatch.llm import decontamination, hashed, mixing, quality_rules, queries
 
 SF = "/root/testdata/sf0.1"
 
@@ -86,3 +86,16 @@ def test_near_passages_survive_edited_words(spark):
 def test_near_passages_come_out_of_a_query(spark):
     rows = queries.queries()["op3_near_passages"](spark, "/root/testdata/sf0.001").collect()
     assert all(not r.contaminated or r.near_items for r in rows) and any(r.contaminated for r in rows)
+
+
+def test_long_books_are_kept_and_both_window_forms_agree(spark, monkeypatch):
+    """No text is rejected by its length, and the form for very long texts counts as the packed one does."""
+    rng = np.random.default_rng(2)
+    words = np.array([f"word{i}" for i in range(40_000)] + ["the", "of", "and", "to"] * 4_000)
+    book = " ".join(rng.choice(words, 300_000))
+    texts = [book, "a b c a b c a", "x y", "", None, " ".join(["the cat sat on it"] * 30)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    packed = {r.doc_id: r for r in quality_rules.apply_rules(frame).collect()}
+    assert packed[0].kept and packed[0].n_words == 300_000
+    monkeypatch.setattr(quality_rules, "_AT_BITS", 1)
+    assert {r.doc_id: r for r in quality_rules.apply_rules(frame).collect()} == packed

@@ -44,7 +44,7 @@ MEASURES = {
 }
 
 RULES = (
-    Rule("length", "words", low=50, high=100_000),
+    Rule("length", "words", low=50),
     Rule("word_length", "mean_word_chars", low=3, high=12),
     Rule("symbols", "symbols_per_word", high=0.1),
     Rule("stop_words", "stop_word_share", low=0.05),
