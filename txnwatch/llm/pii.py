@@ -22,11 +22,13 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 
-#: What may be personal data, at high recall; the proposals overlap each other and the base formats.
+#: What may be personal data, at high recall and of any length; the proposals overlap each other and the base formats. A pattern
+#: takes a whole run, whatever becomes of it, so that no start inside a run is tried again; the condition on the match, its
+#: digits and the character behind it then decides.
 GENERATORS = {
-    "address": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?:@|\x20?[\[(]at[\])]\x20?)[A-Za-z0-9-]{1,63}+(?:(?:\.|\x20?[\[(]dot[\])]\x20?)[A-Za-z0-9-]{1,63}+)*+",
-    "number": r"(?<![A-Za-z0-9])[+(]?[0-9](?:[\x20().-]{0,2}[0-9]){6,24}+(?![A-Za-z0-9])",
-    "token": r"(?<![A-Za-z0-9])(?=[A-Za-z_-]{0,40}[0-9])[A-Za-z0-9_-]{16,200}+(?![A-Za-z0-9])",
+    "address": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:@|\x20?[\[(]at[\])]\x20?)[A-Za-z0-9-]++(?:(?:\.|\x20?[\[(]dot[\])]\x20?)[A-Za-z0-9-]++)*+", "true"),
+    "number": (r"(?<![A-Za-z0-9])[+(]?[0-9](?:[\x20().-]{0,2}[0-9])*+", "x.nd >= 7 AND NOT x.a RLIKE '[A-Za-z0-9]'"),
+    "token": (r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{16,}+", "x.nd > 0"),
 }
 #: Words before a span that name what follows; they give the weak labels, so they are no features.
 CUES = r"(?i)(?:token|secret|password|passwd|api.?key|access.?key|bearer|phone|tel|mobile|call|fax|ssn|passport|iban|account|card|mail)[^\p{L}\p{N}]{0,6}$"
@@ -39,7 +41,7 @@ FEATURES = {
     "letters": (3, "CASE WHEN nl = 0 THEN 0 WHEN nl < 5 THEN 1 ELSE 2 END"),
     "separators": (3, "CASE WHEN length(s) = nd + nl THEN 0 WHEN length(s) - nd - nl < 3 THEN 1 ELSE 2 END"),
     "hexadecimal": (2, "CASE WHEN s RLIKE '^[0-9A-Fa-f]+$' THEN 1 ELSE 0 END"),
-    "quoted": (2, "CASE WHEN b RLIKE '[\"\\']$' THEN 1 ELSE 0 END"),
+    "quoted": (2, "CASE WHEN right(b, 1) IN ('\"', '\\'') THEN 1 ELSE 0 END"),
     "plus": (2, "CASE WHEN s LIKE '+%' THEN 1 ELSE 0 END"),
     "at": (2, "CASE WHEN s LIKE '%@%' THEN 1 ELSE 0 END"),
     "dots": (2, "CASE WHEN s RLIKE '[.][0-9]+[.]' THEN 1 ELSE 0 END"),
@@ -79,19 +81,67 @@ class Model:
         return " + ".join([f"{self.start!r}D", *(f"({t.sql()})" for t in self.trees)])
 
 
-def _positions(text: str, pattern: str) -> Column:
-    """(start, end, s) of the leftmost non-overlapping matches, in code points."""
+#: Matches that a fold appends to one array, which each append copies; the arrays are then joined.
+_FOLD = 128
+#: Code points of a place in the index of a span array, and the least length of a span of any kind.
+_PLACE = 64
+_LEAST = 3
+
+
+def _positions(text: str, pattern: str, context: bool = False) -> Column:
+    """(start, end, s) of the leftmost non-overlapping matches, in code points; with ``context`` also b, what stands before the
+    match (the one before it at most included), and a, the character behind it. Linear in the text."""
+    names = ["s", "b", "a"] if context else ["s"]
+    kind = "array<struct<start:int,end:int," + ",".join(f"{n}:string" for n in names) + ">>"
     found = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
     rest = F.when(F.size(found) > 0, F.split(F.col(text), pattern, -1))
-    both = F.arrays_zip(found.alias("m"), F.slice(rest, 1, F.size(found)).alias("r"))
-    zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() AS array<struct<start:int,end:int,s:string>>)").alias("out"))
+    n = F.size(found)
+    zipped = F.arrays_zip(found.alias("m"), F.slice(rest, 1, n).alias("r"), F.slice(rest, 2, n).alias("q"))
+
+    def bound(value: Column, use) -> Column:
+        """``use`` of a value that is computed once."""
+        return F.transform(F.array(value), use)[0]
 
     def step(acc, x):
-        start = acc["at"] + F.length(x["r"])
-        end = start + F.length(x["m"])
-        return F.struct(end.alias("at"), F.array_append(acc["out"], F.struct(start.alias("start"), end.alias("end"), x["m"].alias("s"))).alias("out"))
+        start = acc["at"] + x["gap"]
+        span = F.struct(start.alias("start"), (start + x["size"]).alias("end"), *[x[c].alias(c) for c in names])
+        return F.struct((start + x["size"]).alias("at"), F.array_append(acc["out"], span).alias("out"))
+
+    def block(items):
+        def add(acc, j):
+            inner = F.aggregate(F.slice(items, j * _FOLD + 1, F.lit(_FOLD)), F.struct(acc["at"].alias("at"), F.expr(f"cast(array() AS {kind})").alias("out")), step)
+            return bound(inner, lambda b: F.struct(b["at"].alias("at"), F.array_append(acc["out"], b["out"]).alias("out")))
+        return add
+
+    start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() AS array<{kind}>)").alias("out"))
+    blocks = bound(bound(zipped, lambda z: F.transform(z, _sized(z, context))), lambda items: F.aggregate(
+        F.sequence(F.lit(0), F.floor((F.size(items) - 1) / _FOLD).cast("int")), start, block(items), lambda acc: F.flatten(acc["out"])))
+    return F.when(n > 0, blocks).otherwise(F.expr(f"cast(array() AS {kind})"))
+
 
-    return F.when(F.size(found) > 0, F.aggregate(both, zero, step, lambda acc: acc["out"])).otherwise(zero["out"])
+def _sized(z: Column, context: bool):
+    """A match of ``z`` with the lengths of itself and of the gap before it."""
+    def of(x, i):
+        out = [F.length(x["r"]).alias("gap"), F.length(x["m"]).alias("size"), x["m"].alias("s")]
+        if context:
+            before = F.concat(F.coalesce(F.get(z, i - 1)["m"], F.lit("")), x["r"])
+            out += [F.right(before, F.lit(_BEFORE)).alias("b"), F.left(x["q"], F.lit(1)).alias("a")]
+        return F.struct(*out)
+    return of
+
+
+def _index(spans: str) -> str:
+    """For each place of ``_PLACE`` code points the number of the first span that ends behind its start; spans are in order and disjoint."""
+    up = f"({{}} + {_PLACE - 1}) div {_PLACE}"
+    return f"flatten(transform({spans}, (x, i) -> array_repeat(i, int({up.format('x.end')} - {up.format(f'coalesce(get({spans}, i - 1).end, 0)')}))))"
+
+
+def _meeting(spans: str, index: str, x: str = "x") -> str:
+    """The few of ``spans`` that can meet the span ``x``: as many as fit between the start of its place and its end."""
+    place = f"int({x}.start div {_PLACE})"
+    # The index is named twice, so that the optimizer doesn't copy what computes it into the loop; so are the spans.
+    few = f"slice({spans}, get({index}, {place}) + 1, int(({x}.end - {_PLACE} * {place}) div {_LEAST}) + 2)"
+    return f"CASE WHEN size({spans}) > 0 AND {place} < size({index}) THEN {few} ELSE slice({spans}, 1, 0) END"
 
 
 def _digits(s: str) -> str:
@@ -123,14 +173,17 @@ def base_spans(rows: DataFrame, text: str) -> DataFrame:
 
 
 def _proposals(rows: DataFrame, text: str) -> DataFrame:
-    """``rows`` with ``_proposed``: start, end, f (features), y (weak label: a base span overlaps, or a cue precedes)."""
+    """``rows`` with ``_proposed``: start, end, f (features), taken (a base span overlaps), cue (a cue precedes). Either one is the
+    weak label. The base arrays are in order and disjoint, so a proposal is held against the few of each at its place."""
     may = F.regexp_like(F.col(text), F.lit(r"[0-9@]|[\[(]at[\])]"))
-    none = F.expr("cast(array() AS array<struct<start:int,end:int,s:string>>)")
-    for g, pattern in enumerate(GENERATORS.values()):
-        rows = rows.withColumn(f"_g{g}", F.when(may, _positions(text, pattern)).otherwise(none))
-    found = ", ".join(f"transform(_g{g}, x -> named_struct('g', {g}, 'start', x.start, 'end', x.end, 's', x.s, 'b', substr({text}, greatest(x.start - {_BEFORE}, 0) + 1, x.start - greatest(x.start - {_BEFORE}, 0)), 'nd', length({_digits('x.s')}), 'nl', length(regexp_replace(x.s, '[^A-Za-z]+', ''))))" for g in range(len(GENERATORS)))
-    rows = rows.withColumn("_base", F.expr("concat(" + ", ".join(f"transform(_{k}, x -> named_struct('start', x.start, 'end', x.end))" for k in KINDS) + ")"))
-    rows = rows.withColumn("_found", F.expr(f"concat({found})")).drop(*[f"_g{g}" for g in range(len(GENERATORS))])
+    none = F.expr("cast(array() AS array<struct<start:int,end:int,s:string,b:string,a:string>>)")
+    for g, (pattern, right) in enumerate(GENERATORS.values()):
+        rows = rows.withColumn(f"_m{g}", F.when(may, _positions(text, pattern, context=True)).otherwise(none))
+        counted = f"transform(_m{g}, x -> named_struct('g', {g}, 'start', x.start, 'end', x.end, 's', x.s, 'b', x.b, 'a', x.a, 'nd', length({_digits('x.s')}), 'nl', length(regexp_replace(x.s, '[^A-Za-z]+', ''))))"
+        rows = rows.withColumn(f"_g{g}", F.expr(f"filter({counted}, x -> {right})"))
+    gs = [f"_g{g}" for g in range(len(GENERATORS))]
+    rows = rows.withColumns({f"_i_{k}": F.expr(_index(f"_{k}")) for k in KINDS}).drop(*[f"_m{g}" for g in range(len(GENERATORS))])
+    rows = rows.withColumn("_found", F.concat(*gs)).drop(*gs)
 
     def of(sql: str) -> str:
         for name in ("g", "s", "b", "nd", "nl"):
@@ -138,8 +191,9 @@ def _proposals(rows: DataFrame, text: str) -> DataFrame:
         return sql
 
     features = ", ".join(f"'{name}', {of(sql)}" for name, (_, sql) in FEATURES.items())
-    label = f"size(_base) > 0 AND exists(_base, o -> o.start < x.end AND x.start < o.end) OR x.b RLIKE r'{CUES}'"  # _base named twice, so that the optimizer doesn't copy it into the loop
-    return rows.withColumn("_proposed", F.expr(f"transform(_found, x -> named_struct('start', x.start, 'end', x.end, 'f', named_struct({features}), 'y', {label}))")).drop("_found")
+    taken = " OR ".join(f"exists({_meeting(f'_{k}', f'_i_{k}')}, o -> o.start < x.end AND x.start < o.end)" for k in KINDS)
+    rows = rows.withColumn("_proposed", F.expr(f"transform(_found, x -> named_struct('start', x.start, 'end', x.end, 'f', named_struct({features}), 'taken', {taken}, 'cue', x.b RLIKE r'{CUES}'))"))
+    return rows.drop("_found", *[f"_i_{k}" for k in KINDS])
 
 
 def _replace_name(sql: str, name: str) -> str:
@@ -194,15 +248,15 @@ def boost(table: list[tuple[dict[str, int], float, float]], rounds: int = ROUNDS
     return Model(start, tuple(trees), threshold)
 
 
-def fit(docs: DataFrame, text: str = "text") -> Model:
+def fit(docs: DataFrame, text: str = "text", precision: float = PRECISION) -> Model:
     """The model from the proposals in all documents; one row for each combination of features reaches the driver, whose
     number has a fixed bound, the product of the features' values times two."""
     rows = _proposals(base_spans(docs.select(F.coalesce(F.col(text), F.lit("")).alias("_t")), "_t"), "_t")
-    counts = rows.select(F.explode_outer("_proposed").alias("x")).where("x IS NOT NULL").groupBy("x.f", "x.y").count().collect()
+    counts = rows.select(F.explode_outer("_proposed").alias("x")).where("x IS NOT NULL").selectExpr("x.f", "x.taken OR x.cue AS y").groupBy("f", "y").count().collect()
     table: dict[tuple, list[float]] = defaultdict(lambda: [0.0, 0.0])
     for r in counts:
         table[tuple(r["f"])][0 if r["y"] else 1] += r["count"]
-    return boost([(dict(zip(FEATURES, k, strict=True)), r, w) for k, (r, w) in sorted(table.items())])
+    return boost([(dict(zip(FEATURES, k, strict=True)), r, w) for k, (r, w) in sorted(table.items())], precision=precision)
 
 
 def find(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -215,10 +269,16 @@ def find(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         chosen = "cast(array() AS array<struct<start:int,end:int>>)"
         return rows.select("_row", "_t", *[F.col(f"_{k}").alias(k) for k in KINDS], F.expr(chosen).alias("added"))
     score = model.sql().replace("f.", "x.f.")
-    rows = rows.withColumn("_free", F.expr("filter(_proposed, x -> size(_base) = 0 OR NOT exists(_base, o -> o.start < x.end AND x.start < o.end))"))
-    rows = rows.withColumn("_scored", F.expr(f"transform(_free, x -> named_struct('score', {score}, 'size', x.end - x.start, 'before', -x.start, 'end', x.end))"))
-    rows = rows.withColumn("_sel", F.expr(f"array_distinct(filter(_scored, x -> x.score >= {model.threshold!r}D))"))
-    chosen = "array_sort(transform(filter(_sel, x -> NOT exists(_sel, o -> -o.before < x.end AND -x.before < o.end AND o > x)), x -> named_struct('start', -x.before, 'end', x.end)))"
+    scored = f"filter(transform(filter(_proposed, x -> NOT x.taken), x -> named_struct('g', x.f.generator, 'score', {score}, 'start', x.start, 'end', x.end)), x -> x.score >= {model.threshold!r}D)"
+    rows = rows.withColumn("_sel", F.expr(scored))
+    for g in range(len(GENERATORS)):
+        rows = rows.withColumn(f"_s{g}", F.expr(f"filter(_sel, x -> x.g = {g})"))
+    rows = rows.withColumns({f"_i{g}": F.expr(_index(f"_s{g}")) for g in range(len(GENERATORS))})
+    better = "(o.score > x.score OR o.score = x.score AND (o.end - o.start > x.end - x.start OR o.end - o.start = x.end - x.start AND o.start < x.start))"
+    beaten = " OR ".join(f"exists({_meeting(f'_s{g}', f'_i{g}')}, o -> o.start < x.end AND x.start < o.end AND {better})" for g in range(len(GENERATORS)))
+    # One long for a span: distinct longs are found by hashing, distinct structs by comparing all.
+    packed = f"array_sort(array_distinct(transform(filter(_sel, x -> NOT ({beaten})), x -> x.start * 4294967296L + x.end)))"
+    chosen = f"transform({packed}, x -> named_struct('start', int(x div 4294967296L), 'end', int(x % 4294967296L)))"
     return rows.select("_row", "_t", *[F.col(f"_{k}").alias(k) for k in KINDS], F.expr(chosen).alias("added"))
 
 
