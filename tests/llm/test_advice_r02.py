@@ -91,7 +91,7 @@ def test_near_passages_come_out_of_a_query(spark):
 def test_long_books_are_kept_and_both_window_forms_agree(spark, monkeypatch):
     """No text is rejected by its length, and the form for very long texts counts as the packed one does."""
     rng = np.random.default_rng(2)
-    words = np.array([f"word{i}" for i in range(40_000)] + ["the", "of", "and", "to"] * 4_000)
+    words = np.array(["".join(w) for w in rng.choice(list("abcdefghijklm"), (40_000, 7))] + ["the", "of", "and", "to"] * 4_000)
     book = " ".join(rng.choice(words, 300_000))
     texts = [book, "a b c a b c a", "x y", "", None, " ".join(["the cat sat on it"] * 30)]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
