@@ -101,7 +101,9 @@ def _repeated(rows, span=suffix_dedup.SPAN):
     return out
 
 
-def test_suffix_dedup_is_exact(spark, docs):
+@pytest.mark.parametrize("crowd", [suffix_dedup.CROWD, 3, 0])
+def test_suffix_dedup_is_exact(spark, docs, crowd):
+    """Strings with few contexts are decided in a task, those over ``crowd`` are dealt over tasks: the same result."""
     rng = random.Random(7)
     rows = [(r.doc_id, r.text or "") for r in docs.collect()]
     passage = "".join(rng.choices("abcdefgh ", k=260))
@@ -109,7 +111,7 @@ def test_suffix_dedup_is_exact(spark, docs):
     rows += [(1000 + k, n[:150] + passage[k : 198 + k + k % 5] + n[150:]) for k, n in enumerate(noise)]  # near the threshold, shifted
     rows += [(2000, "ab" * 300), (2001, "abc" * 200), (2002, noise[0]), (2003, noise[0][:199]), (2004, None)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
-    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.strip_repeated(frame).collect())
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.strip_repeated(frame, crowd=crowd).collect())
     assert got == sorted(_repeated([(i, (t or "").encode()) for i, t in rows]))
 
 
@@ -273,14 +275,16 @@ def test_empty_tables(spark, odd):
         assert stage(spark, none, SF).collect() == [], name
 
 
-def test_neighbours_are_found_across_pieces_and_partitions(spark, monkeypatch):
+@pytest.mark.parametrize("crowd", [suffix_dedup.CROWD, 20, 0])
+def test_neighbours_are_found_across_pieces_and_partitions(spark, monkeypatch, crowd):
     """A passage with many different surroundings, in pieces of four suffixes or more."""
-    whole = suffix_dedup._neighbours
+    whole, decide = suffix_dedup._neighbours, suffix_dedup._decide
     monkeypatch.setattr(suffix_dedup, "_neighbours", lambda batches, width: whole(batches, width, bucket=4))
+    monkeypatch.setattr(suffix_dedup, "_decide", lambda batches, span, gram: decide(batches, span, gram, bucket=4))
     rng = random.Random(11)
     passage = "".join(rng.choices("abcdefgh ", k=230))
     rows = [(k, "".join(rng.choices("ijklmnop ", k=250)) + passage + "".join(rng.choices("qrstuvwx ", k=250))) for k in range(80)]
     rows += [(100, passage[:199]), (101, "y" * 100 + passage[:199]), (102, passage[10:210] + "z")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
-    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.strip_repeated(frame).collect())
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.strip_repeated(frame, crowd=crowd).collect())
     assert got == sorted(_repeated([(i, t.encode()) for i, t in rows]))

@@ -6,11 +6,14 @@ same string at the same place. A named place with the bytes around it that its w
 
 1. Named strings that occur once in the corpus are dropped by a count; if all occurrences of one have one context, the
    windows of all of them are repeated.
-2. The other distinct contexts are read as suffixes, forward from the string and backward from it. Splitters sampled by
-   Spark range-partition them by their leading bytes, each bucket is sorted by multikey quicksort on 8-byte tokens, and
-   neighbours are compared, also across bucket boundaries: the longest common prefixes with the neighbours say how far
-   a context can match any other on either side.
-3. Only windows within both reaches are compared with each other, by 128-bit digests.
+2. The other distinct contexts are range-partitioned by their named string, by splitters that Spark samples. A bucket is
+   sorted by multikey quicksort on 8-byte tokens twice: as suffixes forward from the string, and backward from it. The
+   common prefixes of sorted neighbours cut each order into classes of equal prefixes of every length; a window of ``b``
+   bytes ahead of the string is repeated where two contexts share a class of the first ``SPAN - b`` bytes forward and one
+   of ``b`` bytes backward.
+3. A string with more than CROWD distinct contexts is not held by one task. Its suffixes are range-partitioned themselves, in
+   both directions, neighbours are compared also across bucket boundaries, and the windows that neighbours on both sides
+   can match are compared byte by byte.
 """
 
 from __future__ import annotations
@@ -24,11 +27,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnwatch.llm.common import blocks, buffers, cut, mix, prefix_hash, range_hash, split_join, text_key
+from txnwatch.llm.common import blocks, buffers, cut, mix, prefix_hash, range_hash, small_side, split_join, text_key
 
 #: Bytes of a repeated string, and of the string that names it.
 SPAN = 200
 GRAM = 32
+#: Distinct contexts of one named string that a task holds; a string with more is dealt over tasks.
+CROWD = 1 << 15
 
 
 def _least_of(h: np.ndarray, width: int) -> np.ndarray:
@@ -208,9 +213,10 @@ def _neighbours(batches: Iterator[pa.RecordBatch], width: int, bucket: int = 1 <
 
 
 def _windows(batches: Iterator[pa.RecordBatch], span: int, gram: int) -> Iterator[pa.RecordBatch]:
-    """(a, b, id, key, start): digests of the windows of a context that neighbours on both sides can match."""
+    """(w, id, key, start): the windows of a context that neighbours on both sides can match."""
     for batch in batches:
         data, offsets = buffers(batch.column("context"))
+        raw = data.tobytes()
         at, ahead, behind, n = (np.asarray(batch.column(k)).astype(np.int64) for k in ("at", "ahead", "behind", "n"))
         place, before, more = at >> 24, at >> 12 & 4095, at & 4095
         # Window w of the context (0 .. more) has before - w bytes ahead of the string and the rest after it.
@@ -219,12 +225,104 @@ def _windows(batches: Iterator[pa.RecordBatch], span: int, gram: int) -> Iterato
         count = np.maximum(last - first + 1, 0)
         row = np.repeat(np.arange(len(at)), count)
         w = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
-        start = offsets[row] + w
-        digest = [range_hash(prefix_hash(data, salt), start, start + span, salt) for salt in (0, 1)]
         ident = mix(np.asarray(batch.column("h")).view(np.uint64) ^ mix(np.asarray(batch.column("c")).view(np.uint64)))
-        lone = pa.array(n[row] == 1)
-        key = pa.compute.if_else(lone, batch.column("key").take(pa.array(row)), pa.scalar(None, pa.binary()))
-        yield pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in digest), pa.array(ident[row].view(np.int64)), key, pa.array((place - before)[row] + w)], ["a", "b", "id", "key", "start"])
+        key = pa.compute.if_else(pa.array(n[row] == 1), batch.column("key").take(pa.array(row)), pa.scalar(None, pa.binary()))
+        start = (place - before)[row] + w
+        at_raw = offsets[row] + w
+        for i in range(0, len(row), 1 << 14):
+            cut_ = slice(i, i + (1 << 14))
+            yield pa.RecordBatch.from_arrays([pa.array([raw[x : x + span] for x in at_raw[cut_].tolist()], pa.binary()), pa.array(ident[row[cut_]].view(np.int64)), key[cut_], pa.array(start[cut_])], ["w", "id", "key", "start"])
+
+
+def _ranks(rows: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted order of byte rows, and the common prefix of each sorted row with the one before it (0 for the first)."""
+    tokens = np.concatenate([np.ascontiguousarray(rows).view(">u8").astype(np.uint64), size[:, None].astype(np.uint64)], axis=1)
+    order = multikey_order(tokens)
+    same = np.minimum(_common(rows[order[:-1]], rows[order[1:]]), np.minimum(size[order[:-1]], size[order[1:]]))
+    return order, np.append(0, same)
+
+
+def _reach(order: np.ndarray, same: np.ndarray) -> np.ndarray:
+    """For each row, its longest common prefix with a sorted neighbour."""
+    out = np.empty(len(order), np.int64)
+    out[order] = np.maximum(same, np.append(same[1:], 0))
+    return out
+
+
+def _shared(data: np.ndarray, start: np.ndarray, before: np.ndarray, more: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """(context, b) of each window that two contexts share; ``start`` is a context's first byte in ``data``."""
+    top = span - gram
+    forward, n_forward = _rows(data, start + before, more - before + span, 1, -(-span // 8) * 8)
+    backward, n_backward = _rows(data, start + before - 1, before, -1, -(-top // 8) * 8)
+    (f_order, f_same), (b_order, b_same) = _ranks(forward, n_forward), _ranks(backward, n_backward)
+    f_reach, b_reach = _reach(f_order, f_same), _reach(b_order, b_same)
+    f_class, b_class = np.empty(len(start), np.int64), np.empty(len(start), np.int64)
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for b in range(top + 1):
+        rows = np.flatnonzero((f_reach >= span - b) & ((b_reach >= b) & (n_backward >= b)))
+        if len(rows) < 2:
+            continue
+        f_class[f_order] = np.cumsum(f_same < span - b)
+        b_class[b_order] = np.cumsum(b_same < b)
+        pair = f_class[rows] * (len(start) + 1) + b_class[rows]
+        by = np.argsort(pair, kind="stable")
+        equal = pair[by][1:] == pair[by][:-1]
+        twice = rows[by[np.append(equal, False) | np.append(False, equal)]]
+        found.append((twice, np.full(len(twice), b)))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+
+
+def _rows(data: np.ndarray, first: np.ndarray, size: np.ndarray, step: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of ``width`` bytes (padded with zeros) read from ``first`` forward or backward, and their lengths."""
+    out = np.zeros((len(first), width), np.uint8)
+    for column in range(width):
+        inside = np.flatnonzero(size > column)
+        out[inside, column] = data[first[inside] + step * column]
+    return out, size
+
+
+def _decide(batches: Iterator[pa.RecordBatch], span: int, gram: int, bucket: int = 1 << 14) -> Iterator[pa.RecordBatch]:
+    """(key, start, end): spans of repeated windows in contexts that occur once; rows come grouped by their named string.
+
+    A partition is taken in pieces of whole groups, ``bucket`` rows or more.
+    """
+
+    def pieces() -> Iterator[pa.Table]:
+        held, rows, closed, last = [], 0, 0, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            h = np.asarray(batch.column("h"))
+            new = np.flatnonzero(np.append(last is not None and h[0] != last, h[1:] != h[:-1]))
+            if len(new):
+                closed = rows + int(new[-1])
+            held.append(batch)
+            rows, last = rows + len(h), h[-1]
+            if closed >= bucket:
+                table = pa.Table.from_batches(held)
+                yield table.slice(0, closed)
+                held, rows, closed = table.slice(closed).to_batches(), rows - closed, 0
+        if rows:
+            yield pa.Table.from_batches(held)
+
+    for table in pieces():
+        table = table.combine_chunks()
+        data, offsets = buffers(table.column("context"))
+        at, n = (np.asarray(table.column(k)).astype(np.int64) for k in ("at", "n"))
+        place, before, more = at >> 24, at >> 12 & 4095, at & 4095
+        row, b = _shared(data, offsets[:-1], before, more, span, gram)
+        row, b = row[n[row] == 1], b[n[row] == 1]
+        by = np.lexsort((b, row))
+        row, b = row[by], b[by]
+        if len(row):
+            new = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (b[1:] != b[:-1] + 1)))
+            low, high = b[new], b[np.append(new[1:], len(b)) - 1]
+            owner = row[new]
+            yield pa.RecordBatch.from_arrays(
+                [table.column("key").take(pa.array(owner)).combine_chunks(), pa.array((place[owner] - high).astype(np.int32)), pa.array((place[owner] - low + span).astype(np.int32))], ["key", "start", "end"]
+            )
 
 
 def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,21 +347,8 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def repeated_spans(keyed: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """(key, start, end): spans of the texts (doc_id, key, text) whose bytes are covered by repeated strings; they overlap."""
-    places = keyed.select("key", "text").mapInArrow(lambda it: _places(it, span, gram), "h long, c long, key binary, at long")
-    classes = places.groupBy("h").agg(F.count("*").alias("n"), (F.min("c") != F.max("c")).alias("mixed")).where("n > 1").drop("n")
-    again = cut(split_join(places, classes, ["h"]).groupBy("h", "c", "mixed", "key", "at").agg(F.count("*").alias("n")))
-    # A context in a mixed class: its occurrences, and one of them to read it from.
-    contexts = again.groupBy("h", "c", "mixed").agg(F.sum("n").alias("n"), F.min(F.struct("key", "at")).alias("one"))
-    full = split_join(again.drop("n"), contexts.where("n > 1").select("h", "c"), ["h", "c"]).select("key", "at")
-    wanted = contexts.where("mixed").select(F.col("one.key").alias("key"), F.struct("h", "c", F.col("one.at").alias("at"), "n").alias("x"))
-    wanted = wanted.groupBy("key").agg(F.collect_list("x").alias("wanted"))
-    first = keyed.groupBy("key").agg(F.min("doc_id").alias("rep"))
-    read = wanted.join(first, "key").withColumnRenamed("key", "_key")
-    read = keyed.join(read, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("key", "text", "wanted")
-    table = cut(read.mapInArrow(lambda it: _contexts(it, span), "h long, c long, key binary, at long, n long, context binary"))
-
+def _dealt(table: DataFrame, span: int, gram: int) -> DataFrame:
+    """(key, start, end) as _decide gives them, for strings with any number of contexts: no task holds all of one."""
     before = F.shiftright("at", 12).bitwiseAND(F.lit(4095)).cast("int")
     ahead = table.select("h", "c", F.lit(0).alias("back"), F.expr("substr(context, 1 + int(shiftright(at, 12) & 4095))").alias("suffix"))
     behind = table.select("h", "c", F.lit(1).alias("back"), F.substring("context", F.lit(1), before + F.lit(gram)).alias("suffix"))
@@ -280,18 +365,41 @@ def repeated_spans(keyed: DataFrame, span: int = SPAN, gram: int = GRAM) -> Data
         if x["back"] == y["back"] and x["part"] != y["part"]:
             same = common(bytes(x["suffix"]), bytes(y["suffix"]), width)
             more += [(r["h"], r["c"], r["back"], same) for r in (x, y)]
-    reaches = reaches.select("h", "c", "back", "reach").union(keyed.sparkSession.createDataFrame(more, "h long, c long, back int, reach long"))
+    reaches = reaches.select("h", "c", "back", "reach").union(table.sparkSession.createDataFrame(more, "h long, c long, back int, reach long"))
     reach = reaches.groupBy("h", "c").agg(F.max(F.when(F.col("back") == 0, F.col("reach"))).alias("ahead"), F.max(F.when(F.col("back") == 1, F.col("reach"))).alias("behind"))
     open_ = reach.where((F.col("ahead") >= gram) & (F.col("behind") >= gram) & (F.col("ahead") + F.col("behind") >= span + gram))
-    windows = cut(split_join(table, open_, ["h", "c"]).mapInArrow(lambda it: _windows(it, span, gram), "a long, b long, id long, key binary, start long"))
-    twice = windows.groupBy("a", "b").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("a", "b")
-    hits = split_join(windows.where("key IS NOT NULL"), twice, ["a", "b"]).select("key", F.col("start").cast("int").alias("start"), (F.col("start") + span).cast("int").alias("end"))
+    windows = cut(split_join(table, open_, ["h", "c"]).mapInArrow(lambda it: _windows(it, span, gram), "w binary, id long, key binary, start long"))
+    twice = windows.groupBy("w").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("w")
+    return split_join(windows.where("key IS NOT NULL"), twice, ["w"]).select("key", F.col("start").cast("int").alias("start"), (F.col("start") + span).cast("int").alias("end"))
+
+
+def repeated_spans(keyed: DataFrame, span: int = SPAN, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
+    """(key, start, end): spans of the texts (doc_id, key, text) whose bytes are covered by repeated strings; they overlap."""
+    places = keyed.select("key", "text").mapInArrow(lambda it: _places(it, span, gram), "h long, c long, key binary, at long")
+    classes = places.groupBy("h").agg(F.count("*").alias("n"), (F.min("c") != F.max("c")).alias("mixed")).where("n > 1").drop("n")
+    again = cut(split_join(places, classes, ["h"]).groupBy("h", "c", "mixed", "key", "at").agg(F.count("*").alias("n")))
+    # A context in a mixed class: its occurrences, and one of them to read it from.
+    contexts = again.groupBy("h", "c", "mixed").agg(F.sum("n").alias("n"), F.min(F.struct("key", "at")).alias("one"))
+    full = split_join(again.drop("n"), contexts.where("n > 1").select("h", "c"), ["h", "c"]).select("key", "at")
+    wanted = contexts.where("mixed").select(F.col("one.key").alias("key"), F.struct("h", "c", F.col("one.at").alias("at"), "n").alias("x"))
+    wanted = wanted.groupBy("key").agg(F.collect_list("x").alias("wanted"))
+    first = keyed.groupBy("key").agg(F.min("doc_id").alias("rep"))
+    read = wanted.join(first, "key").withColumnRenamed("key", "_key")
+    read = keyed.join(read, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("key", "text", "wanted")
+    table = cut(read.mapInArrow(lambda it: _contexts(it, span), "h long, c long, key binary, at long, n long, context binary"))
+
+    lead = F.substr("context", (F.lit(1) + F.shiftright("at", 12).bitwiseAND(F.lit(4095))).cast("int"), F.lit(gram))
+    crowded = table.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("h")
+    hits = table.join(small_side(crowded), "h", "left_anti").withColumn("lead", lead)
+    hits = hits.repartitionByRange("lead").sortWithinPartitions("lead").select("h", "key", "at", "n", "context").mapInArrow(lambda it: _decide(it, span, gram), "key binary, start int, end int")
+    if not crowded.isEmpty():
+        hits = hits.union(_dealt(split_join(table, crowded, ["h"]), span, gram))
     place, low, high = F.shiftright("at", 24), F.shiftright("at", 12).bitwiseAND(F.lit(4095)), F.col("at").bitwiseAND(F.lit(4095))
     full = full.select("key", (place - low).cast("int").alias("start"), (place - low + high + span).cast("int").alias("end"))
     return full.union(hits)
 
 
-def strip_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN, gram: int = GRAM) -> DataFrame:
+def strip_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (bytes), kept_sha256: a row for each row of ``docs``.
 
     Every byte that a repeated string of ``span`` bytes covers goes, in all its places; overlaps within a text count. Null
@@ -299,6 +407,6 @@ def strip_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     whole text. Only doc_id and text are read.
     """
     keyed = docs.select(F.col(doc_id).alias("doc_id"), text_key(F.col(text)).alias("key"), F.col(text).alias("text"))
-    spans = repeated_spans(keyed, span, gram).groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    spans = repeated_spans(keyed, span, gram, crowd).groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     both = split_join(keyed, cut(spans), ["key"], "left").select("doc_id", "text", "spans")
     return both.mapInArrow(_strip, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string").withColumnRenamed("doc_id", doc_id)
