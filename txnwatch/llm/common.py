@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import gc
 import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -81,6 +82,21 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Cut lineage with a Parquet table below checkpoint_folder; it is smaller than a checkpoint's rows.
+
+    The writing plan is not held afterwards, so Spark's cleaner can drop its shuffle files as soon as the driver collects.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/table-{uuid.uuid4()}"
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return out
+
+
 def buffers(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string or binary Arrow array and its n + 1 offsets; null counts as empty."""
     if isinstance(array, pa.ChunkedArray):

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnwatch.llm.common import blocks, buffers, cut, mix, prefix_hash, range_hash, small_side, split_join, text_key
+from txnwatch.llm.common import blocks, buffers, cut, mix, prefix_hash, range_hash, small_side, split_join, stored, text_key
 
 #: Bytes of a repeated string, and of the string that names it.
 SPAN = 200
@@ -377,16 +377,17 @@ def repeated_spans(keyed: DataFrame, span: int = SPAN, gram: int = GRAM, crowd:
     """(key, start, end): spans of the texts (doc_id, key, text) whose bytes are covered by repeated strings; they overlap."""
     places = keyed.select("key", "text").mapInArrow(lambda it: _places(it, span, gram), "h long, c long, key binary, at long")
     classes = places.groupBy("h").agg(F.count("*").alias("n"), (F.min("c") != F.max("c")).alias("mixed")).where("n > 1").drop("n")
-    again = cut(split_join(places, classes, ["h"]).groupBy("h", "c", "mixed", "key", "at").agg(F.count("*").alias("n")))
+    again = stored(split_join(places, classes, ["h"]).groupBy("h", "c", "mixed", "key", "at").agg(F.count("*").alias("n")))
     # A context in a mixed class: its occurrences, and one of them to read it from.
-    contexts = again.groupBy("h", "c", "mixed").agg(F.sum("n").alias("n"), F.min(F.struct("key", "at")).alias("one"))
-    full = split_join(again.drop("n"), contexts.where("n > 1").select("h", "c"), ["h", "c"]).select("key", "at")
-    wanted = contexts.where("mixed").select(F.col("one.key").alias("key"), F.struct("h", "c", F.col("one.at").alias("at"), "n").alias("x"))
+    mixed = again.where("mixed").drop("mixed")
+    contexts = mixed.groupBy("h", "c").agg(F.sum("n").alias("n"), F.min(F.struct("key", "at")).alias("one"))
+    full = again.where("NOT mixed").select("key", "at").union(split_join(mixed.drop("n"), contexts.where("n > 1").select("h", "c"), ["h", "c"]).select("key", "at"))
+    wanted = contexts.select(F.col("one.key").alias("key"), F.struct("h", "c", F.col("one.at").alias("at"), "n").alias("x"))
     wanted = wanted.groupBy("key").agg(F.collect_list("x").alias("wanted"))
     first = keyed.groupBy("key").agg(F.min("doc_id").alias("rep"))
     read = wanted.join(first, "key").withColumnRenamed("key", "_key")
     read = keyed.join(read, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("key", "text", "wanted")
-    table = cut(read.mapInArrow(lambda it: _contexts(it, span), "h long, c long, key binary, at long, n long, context binary"))
+    table = stored(read.mapInArrow(lambda it: _contexts(it, span), "h long, c long, key binary, at long, n long, context binary"))
 
     lead = F.substr("context", (F.lit(1) + F.shiftright("at", 12).bitwiseAND(F.lit(4095))).cast("int"), F.lit(gram))
     crowded = table.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("h")
@@ -408,5 +409,5 @@ def strip_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     keyed = docs.select(F.col(doc_id).alias("doc_id"), text_key(F.col(text)).alias("key"), F.col(text).alias("text"))
     spans = repeated_spans(keyed, span, gram, crowd).groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    both = split_join(keyed, cut(spans), ["key"], "left").select("doc_id", "text", "spans")
+    both = split_join(keyed, stored(spans), ["key"], "left").select("doc_id", "text", "spans")
     return both.mapInArrow(_strip, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string").withColumnRenamed("doc_id", doc_id)
