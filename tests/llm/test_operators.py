@@ -177,6 +177,21 @@ def test_redaction_leaves_no_address(docs):
     assert out.columns == docs.columns and out.where("text RLIKE '@mail'").count() == 0 and out.count() == hit.count()
 
 
+def test_quality_em_ends_at_a_fixed_point():
+    """Slow tables included: labellers that nearly always agree, and one whose votes tell little."""
+    m = len(quality_model.LABELLERS)
+    rng = np.random.default_rng(5)
+    for noise in (0.02, 0.3, 0.49):
+        truth = rng.random(20_000) < 0.5
+        votes = np.where(rng.random((20_000, m)) < 0.3, 1, np.where((rng.random((20_000, m)) < noise) ^ truth[:, None], 2, 0))
+        pattern, n = np.unique(quality_model._pattern(votes.astype(np.int64)), return_counts=True)
+        post, accuracy = quality_model.expectation_maximisation(pattern, n * 1e6)
+        v = quality_model._unpack(pattern)
+        agreed, cast = (n * post) @ (v == 2) + (n * (1 - post)) @ (v == 0), n @ (v != 1)
+        again = np.clip((agreed + quality_model.START * cast / 2) / (cast * 1.5), 0.55, 0.999)
+        assert np.abs(again - accuracy).max() < 1e-5
+
+
 def test_quality_model_agrees_with_labels(spark, docs):
     labels = spark.read.parquet(f"{SF}/labels.parquet").dropDuplicates(["doc_id"])
     rows = quality_model.classify(docs).join(labels, "doc_id").collect()

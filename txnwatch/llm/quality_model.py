@@ -55,26 +55,30 @@ def _unpack(pattern: np.ndarray, m: int = len(LABELLERS)) -> np.ndarray:
     return pattern[:, None] // (_BASE ** np.arange(m)) % _BASE
 
 
-def expectation_maximisation(pattern: np.ndarray, count: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, np.ndarray]:
+def expectation_maximisation(pattern: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(posterior of good for each pattern, accuracy of each labeller) from counts of vote patterns.
 
     A labeller that votes is right with its accuracy, whatever the class and the others say; no vote says nothing. The
     accuracies start at START, are smoothed by half as many votes of that quality as they have, and stay in 0.55 to 0.999.
+    Rounds go on until no posterior moves by 1e-9, or the probability of votes and accuracies, which no round can lower,
+    has stopped rising.
     """
     v = _unpack(pattern)
     for_good, for_bad = (v == 2).astype(float), (v == 0).astype(float)
-    accuracy, post = np.full(v.shape[1], START), np.zeros(len(v))
-    for _ in range(rounds):
-        odds = np.log(accuracy / (1 - accuracy))
-        now = 1 / (1 + np.exp(-np.clip((for_good - for_bad) @ odds + np.log(PRIOR / (1 - PRIOR)), -500, 500)))
-        done = np.abs(now - post).max(initial=0) < 1e-9
-        post = now
-        if done:
-            break
-        right = (count * post) @ for_good + (count * (1 - post)) @ for_bad
-        cast = count @ (for_good + for_bad)
-        accuracy = np.clip((right + START * cast / 2 + START) / (cast * 1.5 + 1), 0.55, 0.999)
-    return post, accuracy
+    cast = count @ (for_good + for_bad)
+    assumed = cast / 2 + 1
+    accuracy, post, best = np.full(v.shape[1], START), np.zeros(len(v)), -np.inf
+    while True:
+        right, wrong = np.log(accuracy), np.log(1 - accuracy)
+        good = for_good @ right + for_bad @ wrong + np.log(PRIOR)
+        bad = for_good @ wrong + for_bad @ right + np.log(1 - PRIOR)
+        now = 1 / (1 + np.exp(-np.clip(good - bad, -500, 500)))
+        value = count @ np.logaddexp(good, bad) + assumed @ (START * right + (1 - START) * wrong)
+        if np.abs(now - post).max(initial=0) < 1e-9 or value <= best:
+            return now, accuracy
+        post, best = now, value
+        agreed = (count * post) @ for_good + (count * (1 - post)) @ for_bad
+        accuracy = np.clip((agreed + START * assumed) / (cast + assumed), 0.55, 0.999)
 
 
 def _patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
