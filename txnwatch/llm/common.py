@@ -63,10 +63,13 @@ def where_computed(df: DataFrame, condition: Column | str) -> DataFrame:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder that spark.checkpoint.dir names; a scratch folder of this machine only where none is set."""
+    """The shared folder that spark.checkpoint.dir names. In local mode alone it may be unset: a scratch folder stands in."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="run-checkpoint-"))
     return spark.conf.get("spark.checkpoint.dir", None) or sc._jsc.sc().getCheckpointDir().get()
 
 
