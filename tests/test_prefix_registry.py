@@ -83,3 +83,13 @@ def test_registry_edges(spark):
     with pytest.raises(ValueError, match="one tag"):
         registry.score(df, [RowRule("X", "true"), CountRule("X", "user_id", 1, 1)])
     assert {r.rule_type for r in registry.score(df, [RowRule("it's", "true")]).collect()} == {"it's"}
+
+
+def test_block_totals_are_met_without_a_join(spark):
+    """A day's window of hours: no side that a wrong estimate broadcasts, no block copied to the 25 after it."""
+    df = spark.range(4000).selectExpr("concat('U', id % 7) AS user_id", "timestamp_seconds(1700000000 + 97 * id) AS timestamp", "id AS transaction_id")
+    got = counts_by_second(df, "user_id", "timestamp", {"day": 86_400, "hour": 3600})
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Broadcast" not in plan and "sequence(1" not in plan
+    day = {(r.user_id, r["__sec"]): r.txn_count for r in trailing_count(df, "user_id", "timestamp", 86_400, "txn_count").selectExpr("user_id", "unix_seconds(timestamp) AS __sec", "txn_count").collect()}
+    assert {(r.user_id, r["__sec"]): r.day for r in got.collect()} == day and len(day) == 4000
