@@ -113,3 +113,25 @@ def test_keyed_rules_go_on_after_a_restart(spark, scratch):
     write(spark, f"{scratch}/in", events[250:], 2, first=3)
     both = hits_of(keyed(spark, f"{scratch}/in", folder))
     assert both == expected_hits(spark, events) and 0 < len(first) < len(both)
+
+
+def test_users_of_a_lane_share_a_group_and_not_their_rows(spark, scratch):
+    """A group for each lane and bucket, however many users there are; its users' rows are scored apart."""
+    import pandas as pd
+
+    from txnwatch.streaming.keyed import BucketRules, _packed, _unpacked
+
+    at = [("A", 0, 10.0), ("B", 1, 80.0), ("A", 2, 10.0), ("B", 3, 80.0), ("A", 3700, -60.0)]
+    rows = pd.DataFrame([(u, False, s, s * 10**6, f"T{i}", None if i else 2**31 - 1, 2**62 + i, lat, 0.0) for i, (u, s, lat) in enumerate(at)],
+                        columns=["user_id", "marker", "sec", "micros", "transaction_id", "kafka_partition", "kafka_offset", "latitude", "longitude"])
+    held = _unpacked([(_packed(rows[:2]),), (_packed(rows[2:]),)])
+    assert held.kafka_offset.to_list() == [2**62 + i for i in range(5)] and held.kafka_partition.to_list() == [2**31 - 1] + [None] * 4
+    got = BucketRules(RULES.replace(r1=dict(window_minutes=60, threshold=1), r2=dict(max_distance_km=1000, max_interval_minutes=62)), 7200).hits(held)
+    assert [(r.transaction_id, r.rule_type[:3]) for r in got.itertuples()] == [("T2", "VEL"), ("T3", "VEL"), ("T4", "GEO")]
+    assert len(BucketRules(RULES, 7200).hits(_unpacked([]))) == 0
+    write_users = spark.range(300).selectExpr("id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "id AS user_id", "'view' AS event_type", "1.0D AS value", "'{\"k\": 1}' AS props")
+    write_users.coalesce(1).write.parquet(f"{scratch}/users")
+    session = spark.newSession()
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+    plan = keyed_user_rules(transaction_stream(session, f"{scratch}/users"), RULES)._jdf.queryExecution().analyzed().toString()
+    assert "TransformWithState" in plan and "lane#" in plan
