@@ -112,3 +112,14 @@ def test_newest_and_sample_rows(spark):
     top = reports.newest_rows(df, 3, columns=["transaction_id", "amount"]).collect()
     assert [r.transaction_id for r in top] == ["T4", "T3", "T2"]
     assert reports.sample_rows(df, 2).count() == 2
+
+
+def test_recall_groups_once_and_finds_no_null_key(spark):
+    """Null ids and rules are expected and never found, repeated hits count once, and no join sorts both sides."""
+    from txnwatch.plans.reports import recall_by_rule
+
+    rows = [("T1", "A"), ("T1", "A"), ("T2", "A"), (None, "A"), ("T3", None), ("T4", "B")]
+    expected = spark.createDataFrame(rows, "transaction_id string, rule_type string")
+    got = recall_by_rule(expected, spark.createDataFrame([("T1", "A"), ("T1", "A"), (None, "A"), ("T3", None), ("T9", "C")], expected.schema))
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {(r.rule_type, r.expected, r.found, round(r.recall, 4)) for r in got.collect()} == {("A", 3, 1, 0.3333), (None, 1, 0, 0.0), ("B", 1, 0, 0.0)}

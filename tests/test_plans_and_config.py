@@ -99,3 +99,22 @@ def test_all_rules_uses_one_exchange_per_key(spark):
                                      fuse_user_rules=False))
     assert sorted(re.findall(r"hashpartitioning\((\w+)#\d+L?, __bkt", separate)) == [
         "merchant_id", "user_id", "user_id"]
+
+
+def test_exchanges_of_the_rules_grow_with_the_input_and_are_not_merged(spark, tmp_path, monkeypatch):
+    """A task sorts what SPREAD_BYTES of files hold, not a core's share of the table; the rows stay the same."""
+    from txnwatch.operators import trailing
+    from txnwatch.plans import catalog
+
+    spark.range(3000).selectExpr("id AS event_id", "timestampadd(SECOND, CAST(id * 40 AS INT), timestamp_ntz'2024-01-01 00:00:00') AS ts", "id % 11 AS user_id",
+                                 "'view' AS event_type", "CAST(id % 90 AS DOUBLE) AS value", "concat('{\"k\": ', id % 7, '}') AS props").write.parquet(f"{tmp_path}/events.parquet")
+    names = ("all_rules_wide", "r1_velocity_60m", "r2_geo_jump_60m", "r4_distinct_users_30m", "r1_velocity_720m_prefix", "recall_by_rule")
+    assert "REPARTITION_BY_NUM" not in catalog.wide_alerts(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    plain = {n: sorted(map(str, catalog.queries()[n](spark, str(tmp_path)).collect())) for n in names}
+    monkeypatch.setattr(trailing, "SPREAD_BYTES", 500)
+    for n in names:
+        df = catalog.queries()[n](spark, str(tmp_path))
+        assert "REPARTITION_BY_NUM" in df._jdf.queryExecution().executedPlan().toString(), n
+        assert sorted(map(str, df.collect())) == plain[n] and plain[n], n
+    assert trailing._read_bytes(spark.range(5).toDF("a")) < 1000  # and nothing where the source tells no size
+    assert trailing._read_bytes(spark.createDataFrame([(1,)], "a int").rdd.toDF()) == 0

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from txnwatch.config import TAG_GEO_JUMP, TAG_VELOCITY
 from txnwatch.functions.geo import haversine_sql
 from txnwatch.functions.time import epoch_seconds_sql, quote
+from txnwatch.operators.trailing import spread
 
 _SEC, _BKT, _COPY, _T, _W = "__sec", "__bkt", "__copy", "__t", "__w"
 
@@ -78,7 +79,7 @@ def velocity_and_geo_jump(df: DataFrame, window_minutes: float, threshold: int,
             f"{', '.join(['`timestamp`', 'transaction_id', *ties])} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS __prev")
     count = (f"CAST(sum({_W}) OVER ({part} ORDER BY {_T} RANGE BETWEEN UNBOUNDED PRECEDING AND "
              f"CURRENT ROW) AS BIGINT) AS txn_count")
-    scored = shaped.selectExpr("*", prev).selectExpr("*", count).where(f"{_COPY} = 0").selectExpr(
+    scored = spread(shaped, ["user_id", _BKT]).selectExpr("*", prev).selectExpr("*", count).where(f"{_COPY} = 0").selectExpr(
         *map(quote, cols), "txn_count", "__prev.lat AS prev_lat", "__prev.lon AS prev_lon",
         "__prev.ts AS prev_ts", f"({_SEC} - __prev.sec) / 60.0D AS time_diff_minutes")
     scored = scored.selectExpr(

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnwatch.functions.time import epoch_seconds_sql, quote
+from txnwatch.operators.trailing import spread
 
 #: Seconds of a block.
 BLOCK = 3600
@@ -41,7 +42,7 @@ def counts_by_second(df: DataFrame, key: str, ts: str, windows: Mapping[str, int
     asked = seconds.selectExpr("k", "s", f"inline(array({events}))").selectExpr(
         "*", f"CAST(floor(t / {block}) AS BIGINT) AS b", *[f"CAST(NULL AS BIGINT) AS d{d}" for d in spanned])
     running = "OVER (PARTITION BY k, b ORDER BY t NULLS FIRST RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    summed = asked.unionByName(blocks).selectExpr("k", "s", "w", "b", f"sum(n) {running} AS upto", *[f"first(d{d}, true) {running} AS d{d}" for d in spanned])
+    summed = spread(asked.unionByName(blocks), ["k", "b"], df).selectExpr("k", "s", "w", "b", f"sum(n) {running} AS upto", *[f"first(d{d}, true) {running} AS d{d}" for d in spanned])
     between = [
         "CASE b - CAST(floor((s - %d) / %d) AS BIGINT) %s ELSE 0L END" % (w + 1, block, " ".join(f"WHEN {d} THEN d{d}" for d in spanned))
         for w in spans

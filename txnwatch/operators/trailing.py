@@ -28,6 +28,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from txnwatch.functions.time import epoch_seconds_sql, quote
 
@@ -39,6 +40,33 @@ _RUNNING = "RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 _WHOLE = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
 
 
+#: Bytes of input files whose rows an exchange puts into one partition.
+SPREAD_BYTES = 1 << 20
+
+
+def _read_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` reads, as the planner knows them without a job; 0 for sources that do not tell."""
+    if df.isStreaming:
+        return 0
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    unknown = int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str((1 << 63) - 1)))
+    return sum(n for n in sizes if n < unknown)
+
+
+def spread(df: DataFrame, keys: Sequence[str], source: DataFrame | None = None) -> DataFrame:
+    """``df`` exchanged by ``keys`` into a partition for each SPREAD_BYTES that ``source`` (``df``) reads.
+
+    Left to itself, adaptive execution merges shuffle partitions until there is about one for each core, or 64 MB of
+    compressed ones: what a task sorts then grows with the input. Where that is no more than the cores, and for sources of
+    unknown size (a micro-batch), ``df`` stays as it is and the operator above asks for its own exchange.
+    """
+    n = -(-_read_bytes(source if source is not None else df) // SPREAD_BYTES)
+    if n <= df.sparkSession.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(n, *[F.col(quote(k)) for k in keys])
+
+
 def _check(strategy: str) -> None:
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
@@ -82,7 +110,7 @@ def trailing_count(df: DataFrame, key: str, ts: str, window_seconds: int, out: s
     spec = f"PARTITION BY {k}, {_BKT} ORDER BY {_T}"
     count = (f"CAST(sum({_W}) OVER ({spec} {_RUNNING}) + "
              f"sum(CASE WHEN {_OWN} THEN 0 ELSE 1 END) OVER ({spec} {_WHOLE}) AS BIGINT) AS {o}")
-    return scored.selectExpr("*", count).where(_OWN).selectExpr(*map(quote, cols), o)
+    return spread(scored, [key, _BKT]).selectExpr("*", count).where(_OWN).selectExpr(*map(quote, cols), o)
 
 
 def previous_within(df: DataFrame, key: str, ts: str, order: Sequence[str], carry: Sequence[str],
@@ -105,7 +133,7 @@ def previous_within(df: DataFrame, key: str, ts: str, order: Sequence[str], carr
                                                   for c, o in zip(carry, outs)])
     twice = _twice(df, ts, max(int(max_gap_seconds), 1), keep=[key, ts, *order, *carry])
     spec = f"PARTITION BY {quote(key)}, {_BKT} ORDER BY {ordering}"
-    lagged = twice.selectExpr("*", *[f"lag({quote(c)}) OVER ({spec}) AS {o}"
+    lagged = spread(twice, [key, _BKT]).selectExpr("*", *[f"lag({quote(c)}) OVER ({spec}) AS {o}"
                                      for c, o in zip(carry, outs)])
     return lagged.where(_OWN).selectExpr(*map(quote, cols), *outs)
 
@@ -160,7 +188,7 @@ def trailing_distinct(df: DataFrame, key: str, item: str, ts: str, window_second
     events = (f"filter(CASE WHEN {_OWN} THEN {own_events} ELSE {marker_events} END, "
               f"e -> e.probe OR e.w != 0)")
     flat = twice.selectExpr("*", f"explode({events}) AS __e")
-    counted = flat.selectExpr(
+    counted = spread(flat, [key, _BKT]).selectExpr(
         "*", f"CAST(sum(__e.w) OVER (PARTITION BY {k}, {_BKT} ORDER BY __e.t {_RUNNING}) "
              f"AS BIGINT) AS {o}")
     return counted.where("__e.probe").selectExpr(*map(quote, cols), o)

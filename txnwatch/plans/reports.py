@@ -15,6 +15,7 @@ from txnwatch.config import RULE_IDS, SEVERITY
 from txnwatch.functions.masking import pseudonym
 from txnwatch.functions.time import epoch_seconds
 from txnwatch.operators.alerts import rule_id
+from txnwatch.operators.trailing import spread
 
 
 #: Where a record came from; unlike a transaction id, unique.
@@ -145,14 +146,19 @@ def throughput(txns: DataFrame, ts: str = "timestamp", bucket: str = "1 second")
 
 
 def recall_by_rule(expected: DataFrame, alerts: DataFrame) -> DataFrame:
-    """AGG-9: share of expected ``(transaction_id, rule_type)`` hits that alerted."""
-    hit = alerts.select("transaction_id", "rule_type").distinct().withColumn("hit", F.lit(1))
-    joined = expected.select("transaction_id", "rule_type").distinct().join(
-        hit, on=["transaction_id", "rule_type"], how="left")
-    return joined.groupBy("rule_type").agg(
+    """AGG-9: share of expected ``(transaction_id, rule_type)`` hits that alerted.
+
+    Both sides meet in one grouping, in partitions that grow in number and not in size; an id or rule that is null is
+    expected and never found.
+    """
+    keys = ["transaction_id", "rule_type"]
+    sides = expected.selectExpr(*keys, "true AS e", "false AS h").union(
+        alerts.selectExpr(*keys, "false AS e", "transaction_id IS NOT NULL AND rule_type IS NOT NULL AS h"))
+    each = spread(sides, keys, source=alerts).groupBy(*keys).agg(F.max("e").alias("e"), F.max("h").alias("h")).where("e")
+    return each.groupBy("rule_type").agg(
         F.count(F.lit(1)).alias("expected"),
-        F.count("hit").alias("found"),
-        (F.count("hit") / F.count(F.lit(1))).alias("recall"))
+        F.count_if("h").alias("found"),
+        (F.count_if("h") / F.count(F.lit(1))).alias("recall"))
 
 
 def newest_rows(table: DataFrame, n: int = 3, order_by: str = "ingest_time",
