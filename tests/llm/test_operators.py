@@ -303,3 +303,21 @@ def test_neighbours_are_found_across_pieces_and_partitions(spark, monkeypatch, c
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.strip_repeated(frame, crowd=crowd).collect())
     assert got == sorted(_repeated([(i, t.encode()) for i, t in rows]))
+
+
+def test_chunks_are_cut_out_in_small_pieces():
+    """A batch of long texts goes back as several, each about a block, with the same rows."""
+    import hashlib
+
+    import pyarrow as pa
+
+    from txnwatch.llm.chunk_dedup import PLACE, _strip
+
+    texts = [None, "x" * 700_000, "", "y" * 700_000, "z" * 700_000, "ab" * 100]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(texts), pa.array([None, [], None, [0 * PLACE + 150], [], [0 * PLACE + 120]], pa.list_(pa.int64()))], ["doc_id", "text", "again"])
+    out = list(_strip(iter([batch.slice(0, 6)]), 100))
+    assert len(out) > 1 and [d for b in out for d in b.column("doc_id").to_pylist()] == list(range(6))
+    want = [b"", b"x" * 700_000, b"", b"y" * 699_850, b"z" * 700_000, b"ab" * 40]
+    assert [k for b in out for k in b.column("kept").to_pylist()] == want
+    assert [k for b in out for k in b.column("kept_sha256").to_pylist()] == [hashlib.sha256(x).hexdigest() for x in want]
+    assert [n for b in out for n in b.column("n_removed").to_pylist()] == [0, 0, 0, 150, 0, 120]

@@ -75,9 +75,17 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of a block's bytes of text: what is built from one and sent back is small, however long the texts."""
+    for batch in batches:
+        _, offsets = buffers(batch.column("text"))
+        for i, j in blocks(offsets):
+            yield batch.slice(i, j - i)
+
+
 def _strip(batches: Iterator[pa.RecordBatch], run: int) -> Iterator[pa.RecordBatch]:
     """Cuts the runs of repeated chunks of ``run`` bytes or more out of each text."""
-    for batch in batches:
+    for batch in _pieces(batches):
         data, offsets = buffers(batch.column("text"))
         kept, removed, spans = [], [], []
         for k, again in enumerate(batch.column("again").to_pylist()):
