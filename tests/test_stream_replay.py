@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from txnwatch.config import RuleSet
+from txnwatch.plans import catalog
 from txnwatch.schemas import ENVELOPE
+from txnwatch.sources.events import load_transactions
 from txnwatch.sources.wire import to_envelope
 from txnwatch.streaming import StreamJob, late_rows, read_table
 from txnwatch.streaming.job import alert_feed
@@ -83,3 +85,20 @@ def test_session_zone_changes_no_alert_and_no_stamp(spark, scratch):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert all(before - 5 <= r.u / 1e6 <= before + 300 for r in stamps)
     assert {str(r.event_date) for r in stamps} == {"2024-03-05"}
+
+
+def test_scoring_a_large_batch_does_not_leave_a_file_for_each_megabyte(spark, scratch, monkeypatch):
+    """The rules' exchanges of a batch are sized by EXCHANGE_BYTES; a partition a MB wrote an alert file each, for each rule and date."""
+    from txnwatch.operators import trailing
+
+    seen = []
+    real = trailing.spread
+
+    def spied(df, keys, source=None, part_bytes=None):
+        seen.append(part_bytes)
+        return real(df, keys, source, part_bytes)
+
+    monkeypatch.setattr(trailing, "spread", spied)
+    monkeypatch.setattr("txnwatch.operators.fused.spread", spied)
+    StreamJob(scratch, rules=catalog.WIDE).process_batch(to_envelope(load_transactions(spark, "/root/testdata/sf0.001")), 0)
+    assert seen and set(seen) == {8 << 20}

@@ -38,7 +38,7 @@ _SEC, _BKT, _COPY, _T, _W = "__sec", "__bkt", "__copy", "__t", "__w"
 
 
 def velocity_and_geo_jump(df: DataFrame, window_minutes: float, threshold: int,
-                          max_distance_km: float, max_interval_minutes: float) -> DataFrame:
+                          max_distance_km: float, max_interval_minutes: float, part_bytes: int | None = None) -> DataFrame:
     """Hits of R1 and R2 with ``rule_type`` and each rule's evidence (the other
     rule's evidence null), in the hit shape of ``apply_all_rules``."""
     w = int(round(float(window_minutes) * 60))
@@ -79,7 +79,7 @@ def velocity_and_geo_jump(df: DataFrame, window_minutes: float, threshold: int,
             f"{', '.join(['`timestamp`', 'transaction_id', *ties])} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS __prev")
     count = (f"CAST(sum({_W}) OVER ({part} ORDER BY {_T} RANGE BETWEEN UNBOUNDED PRECEDING AND "
              f"CURRENT ROW) AS BIGINT) AS txn_count")
-    scored = spread(shaped, ["user_id", _BKT]).selectExpr("*", prev).selectExpr("*", count).where(f"{_COPY} = 0").selectExpr(
+    scored = spread(shaped, ["user_id", _BKT], part_bytes=part_bytes).selectExpr("*", prev).selectExpr("*", count).where(f"{_COPY} = 0").selectExpr(
         *map(quote, cols), "txn_count", "__prev.lat AS prev_lat", "__prev.lon AS prev_lon",
         "__prev.ts AS prev_ts", f"({_SEC} - __prev.sec) / 60.0D AS time_diff_minutes")
     scored = scored.selectExpr(

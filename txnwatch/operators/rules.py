@@ -52,24 +52,24 @@ def _seconds(minutes: float) -> int:
 
 
 def check_velocity(df: DataFrame, window_minutes: float = 5, threshold: int = 5,
-                   strategy: str = "bucketed") -> DataFrame:
+                   strategy: str = "bucketed", part_bytes: int | None = None) -> DataFrame:
     """R1: per user, rows in ``[t - W, t]`` > ``threshold``; adds ``txn_count``."""
     if strategy == "prefix":
         return with_counts(df, "user_id", "timestamp", {"txn_count": _seconds(window_minutes)},
                            where=f"txn_count > {int(threshold)}")
     counted = trailing_count(df, "user_id", "timestamp", _seconds(window_minutes), "txn_count",
-                             strategy=strategy)
+                             strategy=strategy, part_bytes=part_bytes)
     return counted.where(f"txn_count > {int(threshold)}")
 
 
 def check_merchant_velocity(df: DataFrame, window_minutes: float = 1, threshold: int = 3,
-                            strategy: str = "bucketed") -> DataFrame:
+                            strategy: str = "bucketed", part_bytes: int | None = None) -> DataFrame:
     """R4: per merchant, rows in ``[t - W, t]`` > ``threshold``; adds ``merchant_txn_count``."""
     if strategy == "prefix":
         return with_counts(df, "merchant_id", "timestamp", {"merchant_txn_count": _seconds(window_minutes)},
                            where=f"merchant_txn_count > {int(threshold)}")
     counted = trailing_count(df, "merchant_id", "timestamp", _seconds(window_minutes),
-                             "merchant_txn_count", strategy=strategy)
+                             "merchant_txn_count", strategy=strategy, part_bytes=part_bytes)
     return counted.where(f"merchant_txn_count > {int(threshold)}")
 
 
@@ -83,7 +83,7 @@ def check_merchant_distinct_users(df: DataFrame, window_minutes: float = 1, thre
 
 
 def check_geo_jump(df: DataFrame, max_distance_km: float = 1000, max_interval_minutes: float = 10,
-                   strategy: str = "bucketed") -> DataFrame:
+                   strategy: str = "bucketed", part_bytes: int | None = None) -> DataFrame:
     """R2: distance to the user's previous transaction > ``max_distance_km`` and
     gap < ``max_interval_minutes`` (both strict).
 
@@ -96,7 +96,7 @@ def check_geo_jump(df: DataFrame, max_distance_km: float = 1000, max_interval_mi
         df, "user_id", "timestamp",
         order=["transaction_id", *(c for c in INGEST_IDENTITY if c in df.columns)],
         carry=["latitude", "longitude", "timestamp"],
-        max_gap_seconds=int(gap_limit) + 1, prefix="prev_", strategy=strategy)
+        max_gap_seconds=int(gap_limit) + 1, prefix="prev_", strategy=strategy, part_bytes=part_bytes)
     with_prev = with_prev.withColumnsRenamed({"prev_latitude": "prev_lat",
                                               "prev_longitude": "prev_lon",
                                               "prev_timestamp": "prev_ts"})
@@ -142,7 +142,7 @@ def _conform(df: DataFrame, source: DataFrame, columns: list[str],
 
 def apply_all_rules(df: DataFrame, rules: RuleSet | None = None, strategy: str = "bucketed",
                     inputs: dict[str, DataFrame] | None = None,
-                    fuse_user_rules: bool = True) -> DataFrame:
+                    fuse_user_rules: bool = True, part_bytes: int | None = None) -> DataFrame:
     """RUL-5: add ``user_hash``, run the enabled rules, tag and ``UNION ALL``.
 
     A row hitting k rules yields k rows.  The result always has the same
@@ -153,7 +153,8 @@ def apply_all_rules(df: DataFrame, rules: RuleSet | None = None, strategy: str =
     strategy, R1 and R2 on the same input) both account-keyed rules share one
     exchange (``operators.fused``): one wide shuffle fewer, at the price of a
     third, narrow copy per row -- a clear win where shuffles cross the network,
-    about 0.3 s slower at sf0.1 on one machine.
+    about 0.3 s slower at sf0.1 on one machine.  ``part_bytes`` sizes the
+    bucketed exchanges (``trailing.spread``).
     """
     rules = rules or RuleSet()
     inputs = inputs or {}
@@ -176,21 +177,21 @@ def apply_all_rules(df: DataFrame, rules: RuleSet | None = None, strategy: str =
     if fuse:
         # one (user, bucket) exchange for both account-keyed rules
         both = velocity_and_geo_jump(source("R1"), rules.r1.window_minutes, rules.r1.threshold,
-                                     rules.r2.max_distance_km, rules.r2.max_interval_minutes)
+                                     rules.r2.max_distance_km, rules.r2.max_interval_minutes, part_bytes)
         branches.append(both.selectExpr("*", hashed))
     if rules.r1.enabled and not fuse:
         branches.append(tag(check_velocity(source("R1"), rules.r1.window_minutes,
-                                           rules.r1.threshold, strategy), TAG_VELOCITY))
+                                           rules.r1.threshold, strategy, part_bytes), TAG_VELOCITY))
     if rules.r2.enabled and not fuse:
         branches.append(tag(check_geo_jump(source("R2"), rules.r2.max_distance_km,
-                                           rules.r2.max_interval_minutes, strategy), TAG_GEO_JUMP))
+                                           rules.r2.max_interval_minutes, strategy, part_bytes), TAG_GEO_JUMP))
     if rules.r3.enabled:
         branches.append(tag(check_night_large(source("R3"), rules.r3.min_amount,
                                               rules.r3.start_hour, rules.r3.end_hour),
                             TAG_NIGHT_LARGE))
     if rules.r4.enabled:
         branches.append(tag(check_merchant_velocity(source("R4"), rules.r4.window_minutes,
-                                                    rules.r4.threshold, strategy),
+                                                    rules.r4.threshold, strategy, part_bytes),
                             TAG_MERCHANT_VELOCITY))
     if not branches:
         return _conform(base.where("false"), base, columns)

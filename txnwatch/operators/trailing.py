@@ -54,14 +54,15 @@ def _read_bytes(df: DataFrame) -> int:
     return sum(n for n in sizes if n < unknown)
 
 
-def spread(df: DataFrame, keys: Sequence[str], source: DataFrame | None = None) -> DataFrame:
-    """``df`` exchanged by ``keys`` into a partition for each SPREAD_BYTES that ``source`` (``df``) reads.
+def spread(df: DataFrame, keys: Sequence[str], source: DataFrame | None = None, part_bytes: int | None = None) -> DataFrame:
+    """``df`` exchanged by ``keys`` into a partition for each ``part_bytes`` (SPREAD_BYTES) that ``source`` (``df``) reads.
 
     Left to itself, adaptive execution merges shuffle partitions until there is about one for each core, or 64 MB of
     compressed ones: what a task sorts then grows with the input. Where that is no more than the cores, and for sources of
     unknown size (a micro-batch), ``df`` stays as it is and the operator above asks for its own exchange.
     """
-    n = -(-_read_bytes(source if source is not None else df) // SPREAD_BYTES)
+    size = _read_bytes(source if source is not None else df)
+    n = -(-size // (part_bytes or SPREAD_BYTES))
     if n <= df.sparkSession.sparkContext.defaultParallelism:
         return df
     return df.repartition(n, *[F.col(quote(k)) for k in keys])
@@ -90,7 +91,7 @@ def _twice(df: DataFrame, ts: str, width: int, keep: Sequence[str],
 
 
 def trailing_count(df: DataFrame, key: str, ts: str, window_seconds: int, out: str,
-                   strategy: str = "bucketed") -> DataFrame:
+                   strategy: str = "bucketed", part_bytes: int | None = None) -> DataFrame:
     """Add ``out`` = number of rows with the same ``key`` whose whole-second
     time lies in ``[s - window_seconds, s]`` (the row itself and same-second
     peers included)."""
@@ -110,12 +111,12 @@ def trailing_count(df: DataFrame, key: str, ts: str, window_seconds: int, out: s
     spec = f"PARTITION BY {k}, {_BKT} ORDER BY {_T}"
     count = (f"CAST(sum({_W}) OVER ({spec} {_RUNNING}) + "
              f"sum(CASE WHEN {_OWN} THEN 0 ELSE 1 END) OVER ({spec} {_WHOLE}) AS BIGINT) AS {o}")
-    return spread(scored, [key, _BKT]).selectExpr("*", count).where(_OWN).selectExpr(*map(quote, cols), o)
+    return spread(scored, [key, _BKT], part_bytes=part_bytes).selectExpr("*", count).where(_OWN).selectExpr(*map(quote, cols), o)
 
 
 def previous_within(df: DataFrame, key: str, ts: str, order: Sequence[str], carry: Sequence[str],
                     max_gap_seconds: int, prefix: str = "prev_",
-                    strategy: str = "bucketed") -> DataFrame:
+                    strategy: str = "bucketed", part_bytes: int | None = None) -> DataFrame:
     """Add ``prefix + c`` for ``c`` in ``carry``: the value on the previous row of
     the same key, ordered by ``(ts, *order)``.
 
@@ -133,7 +134,7 @@ def previous_within(df: DataFrame, key: str, ts: str, order: Sequence[str], carr
                                                   for c, o in zip(carry, outs)])
     twice = _twice(df, ts, max(int(max_gap_seconds), 1), keep=[key, ts, *order, *carry])
     spec = f"PARTITION BY {quote(key)}, {_BKT} ORDER BY {ordering}"
-    lagged = spread(twice, [key, _BKT]).selectExpr("*", *[f"lag({quote(c)}) OVER ({spec}) AS {o}"
+    lagged = spread(twice, [key, _BKT], part_bytes=part_bytes).selectExpr("*", *[f"lag({quote(c)}) OVER ({spec}) AS {o}"
                                      for c, o in zip(carry, outs)])
     return lagged.where(_OWN).selectExpr(*map(quote, cols), *outs)
 

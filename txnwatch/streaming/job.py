@@ -76,6 +76,10 @@ _LOG_SCHEMA = StructType([
 ])
 
 
+#: Bytes of Bronze files to a partition of the rules' exchanges: each task then writes an alert file a rule and date, and a part
+#: for each MB left thousands of small ones.
+EXCHANGE_BYTES = 8 << 20
+
 _DATE = StructField("event_date", DateType(), True)
 _LATE = StructField("late", BooleanType(), True)
 _BATCH = StructField("batch_id", LongType(), True)
@@ -312,7 +316,7 @@ class StreamJob:
         if not (r.r1.enabled or r.r2.enabled or r.r3.enabled or r.r4.enabled):
             return
         hits = apply_all_rules(accepted.select(*BRONZE_COLUMNS), r, inputs={
-            "R1": by_user, "R2": by_user, "R4": by_merchant})
+            "R1": by_user, "R2": by_user, "R4": by_merchant}, part_bytes=EXCHANGE_BYTES)
         hit_sec = epoch_seconds(hits, "timestamp")
         hits = hits.filter(hit_sec.between(lo, hi + span))
         ingest = ["kafka_partition", "kafka_offset"]
