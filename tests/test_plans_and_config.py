@@ -2,6 +2,8 @@
 
 import os
 
+from pyspark.sql import functions as F
+
 from txnwatch.config import RuleSet, load_rules
 from txnwatch.operators.rules import apply_all_rules, check_night_large, check_velocity
 from txnwatch.operators.screening import screen
@@ -118,3 +120,18 @@ def test_exchanges_of_the_rules_grow_with_the_input_and_are_not_merged(spark, tm
         assert sorted(map(str, df.collect())) == plain[n] and plain[n], n
     assert trailing._read_bytes(spark.range(5).toDF("a")) < 1000  # and nothing where the source tells no size
     assert trailing._read_bytes(spark.createDataFrame([(1,)], "a int").rdd.toDF()) == 0
+
+
+def test_exchanges_of_large_inputs_stay_below_the_sort_shuffle(spark, monkeypatch):
+    """Beyond 200 partitions a map task sorts all that it writes in memory, so there are no more until each holds 8 MB of files."""
+    from txnwatch.operators import trailing
+
+    def parts(size, **how):
+        monkeypatch.setattr(trailing, "_read_bytes", lambda df: size)
+        return trailing.spread(spark.range(4).withColumn("k", F.col("id")), ["k"], **how).rdd.getNumPartitions()
+
+    mb = 1 << 20
+    assert parts(120 * mb) == 120
+    assert parts(720 * mb) == 200 and parts(1600 * mb) == 200
+    assert parts(1608 * mb) == 201
+    assert parts(720 * mb, part_bytes=8 * mb) == 90

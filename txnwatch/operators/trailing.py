@@ -40,8 +40,12 @@ _RUNNING = "RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 _WHOLE = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
 
 
-#: Bytes of input files whose rows an exchange puts into one partition.
+#: Bytes of input files whose rows an exchange puts into one partition, and those that it puts there rather than make more than
+#: MOST_UNSORTED partitions: up to ``spark.shuffle.sort.bypassMergeThreshold`` (200), tasks write their rows to the exchange as they
+#: come; above, each holds all that it writes in memory, sorted by partition, until it must spill.
 SPREAD_BYTES = 1 << 20
+SPREAD_BYTES_SORTED = 8 << 20
+MOST_UNSORTED = 200
 
 
 def _read_bytes(df: DataFrame) -> int:
@@ -55,14 +59,16 @@ def _read_bytes(df: DataFrame) -> int:
 
 
 def spread(df: DataFrame, keys: Sequence[str], source: DataFrame | None = None, part_bytes: int | None = None) -> DataFrame:
-    """``df`` exchanged by ``keys`` into a partition for each ``part_bytes`` (SPREAD_BYTES) that ``source`` (``df``) reads.
+    """``df`` exchanged by ``keys`` into a partition for each ``part_bytes`` (SPREAD_BYTES) that ``source`` (``df``) reads, and beyond
+    MOST_UNSORTED of them for each SPREAD_BYTES_SORTED.
 
     Left to itself, adaptive execution merges shuffle partitions until there is about one for each core, or 64 MB of
     compressed ones: what a task sorts then grows with the input. Where that is no more than the cores, and for sources of
     unknown size (a micro-batch), ``df`` stays as it is and the operator above asks for its own exchange.
     """
     size = _read_bytes(source if source is not None else df)
-    n = -(-size // (part_bytes or SPREAD_BYTES))
+    each = part_bytes or SPREAD_BYTES
+    n = max(min(-(-size // each), MOST_UNSORTED), -(-size // max(each, SPREAD_BYTES_SORTED)))
     if n <= df.sparkSession.sparkContext.defaultParallelism:
         return df
     return df.repartition(n, *[F.col(quote(k)) for k in keys])
