@@ -135,3 +135,18 @@ def test_exchanges_of_large_inputs_stay_below_the_sort_shuffle(spark, monkeypatc
     assert parts(720 * mb) == 200 and parts(1600 * mb) == 200
     assert parts(1608 * mb) == 201
     assert parts(720 * mb, part_bytes=8 * mb) == 90
+
+
+def test_batches_are_numbered_in_exchanges_that_grow_with_the_input(spark, tmp_path, monkeypatch):
+    from txnwatch.operators import trailing
+    from txnwatch.plans import feed
+
+    schema = "batch_id BIGINT, alert_id STRING, kafka_partition INT, kafka_offset BIGINT"
+    rows = [(i % 40 if i % 13 else None, f"A{i * 7 % 50}" if i % 11 else None, i % 3, i) for i in range(600)]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/alerts")
+    alerts = spark.read.schema(schema).parquet(f"{tmp_path}/alerts")
+    plain = sorted(map(str, feed.numbered(alerts).collect()))
+    monkeypatch.setattr(trailing, "SPREAD_BYTES", 100)
+    wide = feed.numbered(alerts)
+    assert "REPARTITION_BY_NUM" in _plan(wide)
+    assert sorted(map(str, wide.collect())) == plain

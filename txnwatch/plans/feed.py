@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from txnwatch.operators.trailing import spread
 from txnwatch.streaming.job import TABLE_SCHEMAS, read_table
 
 _WITHIN = ("alert_id", "kafka_partition", "kafka_offset")
@@ -30,10 +31,10 @@ class Place:
 def numbered(alerts: DataFrame) -> DataFrame:
     """``alerts`` (with batch_id and the alerts' place in the broker) with ``position``, from 1 in each batch.
 
-    A window partition is one micro-batch's alerts, which the trigger's limits bound.
+    A window partition is one micro-batch's alerts, which the trigger's limits bound; a task's share of them does not grow with the input.
     """
     order = [F.col(c).asc_nulls_first() for c in _WITHIN]
-    return alerts.withColumn("position", F.row_number().over(Window.partitionBy("batch_id").orderBy(*order)))
+    return spread(alerts, ["batch_id"]).withColumn("position", F.row_number().over(Window.partitionBy("batch_id").orderBy(*order)))
 
 
 def after(alerts: DataFrame, place: Place, limit: int | None = None) -> DataFrame:
