@@ -31,15 +31,17 @@ class Place:
 def numbered(alerts: DataFrame) -> DataFrame:
     """``alerts`` (with batch_id and the alerts' place in the broker) with ``position``, from 1 in each batch.
 
-    A window partition is one micro-batch's alerts, which the trigger's limits bound; a task's share of them does not grow with the input.
+    A window partition is one micro-batch's alerts, which the trigger's limits bound.
     """
     order = [F.col(c).asc_nulls_first() for c in _WITHIN]
-    return spread(alerts, ["batch_id"]).withColumn("position", F.row_number().over(Window.partitionBy("batch_id").orderBy(*order)))
+    return alerts.withColumn("position", F.row_number().over(Window.partitionBy("batch_id").orderBy(*order)))
 
 
 def after(alerts: DataFrame, place: Place, limit: int | None = None) -> DataFrame:
     """Alerts beyond ``place`` in order, at most ``limit``; whole batches before it are pruned by batch_id."""
-    rest = numbered(alerts.where(F.col("batch_id") >= place.batch_id))
+    rest = alerts.where(F.col("batch_id") >= place.batch_id)
+    # All that is left goes into tasks of bounded size; a page's poll reads few batches of what may be a large table.
+    rest = numbered(rest if limit else spread(rest, ["batch_id"]))
     rest = rest.where((F.col("batch_id") > place.batch_id) | (F.col("position") > place.position)).orderBy("batch_id", "position")
     return rest.limit(limit) if limit else rest
 
